@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.plans.sizing import summary_join
+from tallyloom.plans.sizing import Summary, summary_join
 
 # Equal-width cells used to narrow an exact quantile down before any value is sorted.
 QUANTILE_CELLS = 4096
@@ -87,16 +87,16 @@ def exact_quantiles(df: DataFrame, key: str, value: str, shares: Sequence[float]
         .select(key, "_cell", "_q", "_w", F.col("r.side").alias("_side"),
                 (F.col("r.rank") - F.col("_start")).alias("_rank"))
     )
-    needed = targets.select(key, "_cell").distinct()
+    targets = Summary(targets)
     up_to = Window.partitionBy(key, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     values = (
-        summary_join(placed, needed, [key, "_cell"], "left_semi")
+        targets.join_to(placed, [key, "_cell"], "left_semi", distinct=True)
         .groupBy(key, "_cell", "_v").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_last", F.sum("_n").over(up_to))
         .withColumn("_first", F.col("_last") - F.col("_n"))
     )
     picked = (
-        summary_join(values, targets, [key, "_cell"])
+        targets.join_to(values, [key, "_cell"])
         .where((F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_last")))
         .groupBy(key, "_q", "_w")
         .agg(F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_lo"),

@@ -46,13 +46,26 @@ def settled(summary: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
     return summary.sparkSession.createDataFrame(table, schema=summary.schema)
 
 
-def summary_join(rows: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Attach a per-key summary to every row.
+class Summary:
+    """A per-key summary that several joins share; it is evaluated once, when made.
 
-    The summary is evaluated once and its row count checked: a small one is broadcast, any other is
-    joined by key with heavy keys spread out.
+    One of at most ``max_rows`` rows is broadcast by every join. A larger one is joined by key with the
+    heavy keys of the other side spread out.
     """
-    local = settled(summary)
-    if local is not None:
-        return rows.join(F.broadcast(local), list(on), how)
-    return spread_join(rows, summary, on, how)
+
+    def __init__(self, summary: DataFrame, max_rows: int = SMALL_ROWS):
+        local = settled(summary, max_rows)
+        self.small = local is not None
+        self.frame = local if local is not None else summary
+
+    def join_to(self, rows: DataFrame, on: Sequence[str], how: str = "inner", distinct: bool = False) -> DataFrame:
+        """Join ``rows`` to the summary, or with ``distinct`` to its distinct keys."""
+        side = self.frame.select(*on).distinct() if distinct else self.frame
+        if self.small:
+            return rows.join(F.broadcast(side), list(on), how)
+        return spread_join(rows, side, on, how)
+
+
+def summary_join(rows: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Attach a per-key summary that no other join needs."""
+    return Summary(summary).join_to(rows, on, how)

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import classifiers, components, evaluation, features, neighbours, ranking, splits
 from tallyloom.operators.classifiers import ForestSpec
+from tallyloom.plans.durable import written
 from tallyloom.queries.registry import query
-from tallyloom.queries.vectors import CUTS_TWO, split_vectors, vectors
+from tallyloom.queries.vectors import CUTS_TWO, stored_split, vectors
 from tallyloom.sources.readers import Tables
 
 
 def _parts(t: Tables, *names: str) -> list[DataFrame]:
-    rows = features.as_vectors(split_vectors(t), "embedding")
+    rows = features.as_vectors(stored_split(t), "embedding")
     return [classifiers.part(rows, name) for name in names]
 
 
@@ -67,7 +68,7 @@ def knn_folds(rows: DataFrame, array: str, ks: list[int], weights: list[str], fo
 
 @query()
 def knn_cv_grid(t: Tables) -> DataFrame:
-    rows = split_vectors(t).where(F.col("part") == "train").drop("part")
+    rows = stored_split(t).where(F.col("part") == "train").drop("part")
     return knn_folds(rows, "embedding", [3, 5, 7], ["uniform", "distance"])
 
 
@@ -96,7 +97,7 @@ def _kept_by_loading(rows: DataFrame, fitted: components.Components, n: int) ->
 def model_matrix(t: Tables) -> DataFrame:
     """Accuracy and seconds of a forest and of nearest neighbours on four variants of the data."""
     spark = t.embeddings.sparkSession
-    rows = splits.stratified_split(vectors(t), "vec_id", "label", CUTS_TWO)
+    rows = written(splits.stratified_split(vectors(t), "vec_id", "label", CUTS_TWO), "split")
     lines = []
     for setup, frame in _data_variants(rows).items():
         frame = frame.persist()
@@ -126,7 +127,7 @@ def _knn_score(train: DataFrame, test: DataFrame, k: int, weights: str) -> float
 
 
 def _binary(t: Tables) -> DataFrame:
-    return split_vectors(t).withColumn("label", (F.col("label") % 2).cast("double"))
+    return stored_split(t).withColumn("label", (F.col("label") % 2).cast("double"))
 
 
 def _binary_forest(t: Tables):
@@ -195,7 +196,7 @@ def pca_outliers(t: Tables) -> DataFrame:
 def pca_classify(t: Tables) -> DataFrame:
     """Test accuracy of three classifiers before and after reduction to 80 % of the variance."""
     spark = t.embeddings.sparkSession
-    rows = split_vectors(t)
+    rows = stored_split(t)
     fitted = components.fit_components(rows.where(F.col("part") == "train"), "embedding")
     after = components.project(rows, "embedding", fitted.first(fitted.kept(0.80)), "embedding")
     lines = []

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators import aggregates, clustering, distributions, evaluation, features, neighbours, ranking, splits
+from tallyloom.plans.durable import written
 from tallyloom.queries.registry import query
 from tallyloom.sources.readers import Tables
 
@@ -23,6 +24,11 @@ def split_vectors(t: Tables) -> DataFrame:
     return splits.stratified_split(vectors(t), "vec_id", "label", CUTS_THREE)
 
 
+def stored_split(t: Tables) -> DataFrame:
+    """As :func:`split_vectors`, written once for queries that read the parts many times."""
+    return written(split_vectors(t), "split")
+
+
 VECTORS_SQL = """vectors AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
   CAST(('0x' || substr(md5(vec_id || '-42'), 1, 8)) AS BIGINT) AS h FROM embeddings)"""
 PARTS_SQL = VECTORS_SQL + """, numbered AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY h, vec_id) AS rn,
@@ -270,7 +276,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, neighbou
 
 
 def _neighbours(t: Tables, name: str, k: int) -> DataFrame:
-    rows = split_vectors(t)
+    rows = stored_split(t)
     found = neighbours.nearest(
         rows.where(F.col("part") == name), rows.where(F.col("part") == "train"), "vec_id", "embedding", "label", k
     )
