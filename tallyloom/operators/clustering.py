@@ -12,8 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +20,7 @@ from pyspark.sql.functions import pandas_udf
 
 from tallyloom.functions.numeric import squared_distance, stable_hash
 from tallyloom.operators.blocks import BLOCK_ROWS, matrix, squared_distances, strips
+from tallyloom.operators.passes import sums_by_slot
 
 # Rows from which starting centres are drawn.
 START_ROWS = 1_000
@@ -65,57 +65,33 @@ def _spread_start(pool: np.ndarray, k: int, seed: int) -> np.ndarray:
     return np.array(centres)
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """Arrow batches of one list column as matrices, without going through Python objects."""
-    for batch in batches:
-        column = batch.column(0)
-        if len(column):
-            yield column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+def _vector_rows(df: DataFrame, array: str) -> DataFrame:
+    return df.select(F.col(array).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
 
 
-def _gather(df: DataFrame, array: str, partial) -> dict[int, tuple[float, np.ndarray]]:
-    """Run ``partial`` on every partition and add its ``(slot, weight, vector)`` rows up by slot."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, weights, vectors = partial(_batches(batches))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(slots, pa.int32()), pa.array(weights, pa.float64()),
-             pa.array([v.tolist() for v in vectors], pa.list_(pa.float64()))],
-            names=["slot", "weight", "v"],
-        )
-
-    rows = df.select(F.col(array).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
-    parts = rows.mapInArrow(run, "slot int, weight double, v array<double>")
-    total = Summarizer.metrics("sum").summary(array_to_vector("v"))
-    sums = parts.groupBy("slot").agg(F.sum("weight").alias("w"), total.alias("s")).select(
-        "slot", "w", vector_to_array("s.sum").alias("v")
-    )
-    return {r["slot"]: (r["w"], np.array(r["v"])) for r in sums.collect()}
-
-
-def _kmeans_pass(df: DataFrame, array: str, models: Sequence[KMeansModel]):
-    """Assign every row under every model; per centre the row count, coordinate sums and cost."""
+def _kmeans_pass(df: DataFrame, array: str, models: Sequence[KMeansModel]) -> list[np.ndarray]:
+    """Assign every row under every model; per centre the row count, the cost and the coordinate sums."""
     stacked = np.concatenate([m.centres for m in models])
     offsets = np.cumsum([0] + [m.k for m in models])
-    d = stacked.shape[1]
 
-    def partial(blocks: Iterator[np.ndarray]):
-        weight, sums = np.zeros(len(stacked)), np.zeros((len(stacked), d + 1))
-        for x in blocks:
+    def partial(blocks: Iterator[list[np.ndarray]]) -> np.ndarray:
+        sums = np.zeros((len(stacked), stacked.shape[1] + 2))
+        for (x,) in blocks:
             for rows in strips(len(x), len(stacked)):
                 part = x[rows]
                 d2 = squared_distances(part, stacked)
+                at = np.arange(len(part))
                 for a, b in zip(offsets[:-1], offsets[1:], strict=True):
                     own = d2[:, a:b].argmin(1)
                     member = np.zeros((len(part), b - a))
-                    member[np.arange(len(part)), own] = 1.0
-                    weight[a:b] += member.sum(0)
-                    sums[a:b, :d] += member.T @ part
-                    sums[a:b, d] += member.T @ d2[np.arange(len(part)), a + own]
-        return np.arange(len(stacked)), weight, sums
+                    member[at, own] = 1.0
+                    sums[a:b, 0] += member.sum(0)
+                    sums[a:b, 1] += member.T @ d2[at, a + own]
+                    sums[a:b, 2:] += member.T @ part
+        return sums
 
-    found = _gather(df, array, partial)
-    return [[found[i] for i in range(a, b)] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    found = sums_by_slot(_vector_rows(df, array), partial)
+    return [found[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
 def fit_kmeans(
@@ -134,10 +110,9 @@ def fit_kmeans(
         for step in range(1, max_iter + 1):
             still = []
             for model, stats in zip(moving, _kmeans_pass(data, array, moving), strict=True):
-                model.cost, model.iterations = float(sum(v[-1] for _, v in stats)), step
-                centres = np.array([
-                    v[:-1] / w if w > 0 else old for (w, v), old in zip(stats, model.centres, strict=True)
-                ])
+                model.cost, model.iterations = float(stats[:, 1].sum()), step
+                filled = stats[:, :1] > 0
+                centres = np.where(filled, stats[:, 2:] / np.maximum(stats[:, :1], 1.0), model.centres)
                 shift = float(((centres - model.centres) ** 2).sum())
                 if shift > limit:
                     still.append(model)
@@ -148,7 +123,7 @@ def fit_kmeans(
             if not moving:
                 break
         for model, stats in zip(models, _kmeans_pass(data, array, models), strict=True):
-            model.cost = float(sum(v[-1] for _, v in stats))
+            model.cost = float(stats[:, 1].sum())
     finally:
         data.unpersist()
     return models
@@ -203,34 +178,33 @@ def _responsibilities(x: np.ndarray, model: MixtureModel) -> tuple[np.ndarray, n
     return np.exp(log_p - total[:, None]), total
 
 
-def _mixture_pass(df: DataFrame, array: str, models: Sequence[MixtureModel]):
-    """E-step under every model; per component its mass, first and second moments and log likelihood."""
+def _mixture_pass(df: DataFrame, array: str, models: Sequence[MixtureModel]) -> list[np.ndarray]:
+    """E-step under every model; per component its mass, log likelihood, and first and second moments."""
     offsets = np.cumsum([0] + [m.k for m in models])
     d = models[0].means.shape[1]
 
-    def partial(blocks: Iterator[np.ndarray]):
-        weight, sums = np.zeros(offsets[-1]), np.zeros((offsets[-1], 2 * d + 1))
-        for x in blocks:
+    def partial(blocks: Iterator[list[np.ndarray]]) -> np.ndarray:
+        sums = np.zeros((offsets[-1], 2 * d + 2))
+        for (x,) in blocks:
             for rows in strips(len(x), 64):
                 part = x[rows]
                 for model, a, b in zip(models, offsets[:-1], offsets[1:], strict=True):
                     r, total = _responsibilities(part, model)
-                    weight[a:b] += r.sum(0)
-                    sums[a:b, :d] += r.T @ part
-                    sums[a:b, d:2 * d] += r.T @ (part * part)
-                    sums[a, 2 * d] += total.sum()
-        return np.arange(offsets[-1]), weight, sums
+                    sums[a:b, 0] += r.sum(0)
+                    sums[a, 1] += total.sum()
+                    sums[a:b, 2:d + 2] += r.T @ part
+                    sums[a:b, d + 2:] += r.T @ (part * part)
+        return sums
 
-    found = _gather(df, array, partial)
-    return [[found[i] for i in range(a, b)] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    found = sums_by_slot(_vector_rows(df, array), partial)
+    return [found[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
-def _moments_to_model(model: MixtureModel, stats, floor: float) -> None:
+def _moments_to_model(model: MixtureModel, stats: np.ndarray, floor: float) -> None:
     d = model.means.shape[1]
-    mass = np.array([w for w, _ in stats])
+    mass = stats[:, 0]
     safe = np.maximum(mass, 1e-10)[:, None]
-    first = np.array([v[:d] for _, v in stats]) / safe
-    second = np.array([v[d:2 * d] for _, v in stats]) / safe
+    first, second = stats[:, 2:d + 2] / safe, stats[:, d + 2:] / safe
     model.weights, model.means = mass / mass.sum(), first
     model.variances = np.maximum(second - first ** 2, 0.0) + floor
 
@@ -257,8 +231,7 @@ def fit_mixtures(
         for step in range(1, max_iter + 1):
             still = []
             for model, stats in zip(moving, _mixture_pass(data, array, moving), strict=True):
-                rows = sum(w for w, _ in stats)
-                score = float(sum(v[-1] for _, v in stats)) / max(rows, 1.0)
+                score = float(stats[:, 1].sum()) / max(float(stats[:, 0].sum()), 1.0)
                 settled = abs(score - model.score) < tol
                 model.score, model.iterations = score, step
                 if not settled:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators import classifiers, components, evaluation, features, neighbours, ranking, splits
+from tallyloom.operators import classifiers, components, evaluation, features, linear, neighbours, ranking, splits
 from tallyloom.operators.classifiers import ForestSpec
 from tallyloom.plans.durable import written
 from tallyloom.queries.registry import query
@@ -43,7 +43,7 @@ def rf_report(t: Tables) -> DataFrame:
 @query()
 def svm_c_sweep(t: Tables) -> DataFrame:
     train, check = _parts(t, "train", "validation")
-    return classifiers.svm_sweep(train, check, "label", [0.01, 0.1, 1, 10, 100])
+    return classifiers.svm_sweep(train, check, "embedding", "label", [0.01, 0.1, 1, 10, 100])
 
 
 @query()
@@ -211,6 +211,7 @@ def pca_classify(t: Tables) -> DataFrame:
         fit_on, score_on = (features.as_vectors(x, "embedding") for x in (train, test))
         forest = ForestSpec(100).estimator("label").fit(fit_on)
         lines.append((name, "forest", float(classifiers.score_of(forest.transform(score_on), "label"))))
-        linear = classifiers.svm("label", 1.0, fit_on.count()).fit(fit_on)
-        lines.append((name, "svm", float(classifiers.score_of(linear.transform(score_on), "label"))))
+        machine = linear.fit_linear_svm(train, "embedding", "label", [1.0])
+        guessed = linear.predict(test, "embedding", machine).withColumn("guess", F.col("predictions")[0])
+        lines.append((name, "svm", float(evaluation.accuracy(guessed, "label", "guess").first()[0])))
     return spark.createDataFrame(lines, "data string, model string, accuracy double")
