@@ -1,0 +1,22 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tallyloom.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    folder = tempfile.mkdtemp(prefix="tallyloom-tests-")
+    session = local_session(8, **{"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": f"{folder}/warehouse"})
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
