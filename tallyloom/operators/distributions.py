@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.plans.sizing import Summary, summary_join
 
-# Equal-width cells used to narrow an exact quantile down before any value is sorted.
-QUANTILE_CELLS = 4096
+# Accuracy of the sketch that narrows an exact quantile down.
+ACCURACY = 10_000
 
 
 def _cell(value, low, high, cells: int):
@@ -51,64 +53,51 @@ def scatter_bins(df: DataFrame, label: str, x: str, y: str, bins: int = 20) -> D
 def exact_quantiles(df: DataFrame, key: str, value: str, shares: Sequence[float]) -> DataFrame:
     """Interpolated quantiles of ``value`` by ``key``, one column ``q0``, ``q1``… per share.
 
-    A first aggregate counts the values of each key in equal-width cells. The running count tells which
-    cell holds each wanted rank, and only the values of those cells are grouped and ranked, so no key is
-    ever sorted as a whole.
+    A sketch of bounded size brackets each quantile of each key; its rank error is at most 1 / ACCURACY,
+    and the bracket allows for three times that. Values below a bracket are only counted. The few inside
+    are grouped by value and ranked, so no key is ever sorted or gathered as a whole.
     """
     rows = df.select(key, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    spans = rows.groupBy(key).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-    placed = summary_join(rows, spans, [key]).select(
-        key, "_v", _cell(F.col("_v"), F.col("_low"), F.col("_high"), QUANTILE_CELLS).alias("_cell")
+    margin = 3.0 / ACCURACY
+    edges = [e for s in shares for e in (max(0.0, s - margin), min(1.0, s + margin))]
+    sketch = Summary(rows.groupBy(key).agg(
+        F.percentile_approx("_v", edges, ACCURACY).alias("_edges"), F.count(F.lit(1)).alias("_rows")
+    ))
+    v = F.col("_v")
+    low, high = ([F.col("_edges")[2 * i + side] for i in range(len(shares))] for side in (0, 1))
+    placed = sketch.join_to(rows, [key])
+    below = placed.groupBy(key, "_rows").agg(
+        F.array(*[F.count_if(v < low[i]) for i in range(len(shares))]).alias("_below")
     )
-    running = Window.partitionBy(key).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    cells = (
-        placed.groupBy(key, "_cell").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_end", F.sum("_n").over(running))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-        .withColumn("_rows", F.sum("_n").over(Window.partitionBy(key)))
-    )
-    wanted = F.array(*[
-        F.struct(
-            F.lit(i).alias("q"),
-            F.floor((F.col("_rows") - 1) * s).alias("lo"),
-            F.ceil((F.col("_rows") - 1) * s).alias("hi"),
-            ((F.col("_rows") - 1) * s - F.floor((F.col("_rows") - 1) * s)).alias("w"),
-        )
-        for i, s in enumerate(shares)
-    ])
-    # Rank `lo` and rank `hi` of every share, looked for in each cell of the key.
-    targets = (
-        cells.select(key, "_cell", "_start", "_end", F.explode(wanted).alias("t"))
-        .select(key, "_cell", "_start", "_end", F.col("t.q").alias("_q"), F.col("t.w").alias("_w"),
-                F.explode(F.array(
-                    F.struct(F.lit(0).alias("side"), F.col("t.lo").alias("rank")),
-                    F.struct(F.lit(1).alias("side"), F.col("t.hi").alias("rank")))).alias("r"))
-        .where((F.col("r.rank") >= F.col("_start")) & (F.col("r.rank") < F.col("_end")))
-        .select(key, "_cell", "_q", "_w", F.col("r.side").alias("_side"),
-                (F.col("r.rank") - F.col("_start")).alias("_rank"))
-    )
-    targets = Summary(targets)
-    up_to = Window.partitionBy(key, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    values = (
-        targets.join_to(placed, [key, "_cell"], "left_semi", distinct=True)
-        .groupBy(key, "_cell", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    within = [(v >= low[i]) & (v <= high[i]) for i in range(len(shares))]
+    brackets = F.array(*[F.when(w, F.lit(i)) for i, w in enumerate(within)])
+    up_to = Window.partitionBy(key, "_q").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    inside = (
+        placed.where(reduce(or_, within)).select(key, "_v", F.explode(F.array_compact(brackets)).alias("_q"))
+        .groupBy(key, "_q", "_v").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_last", F.sum("_n").over(up_to))
-        .withColumn("_first", F.col("_last") - F.col("_n"))
     )
+    # The interpolated quantile lies between the values of two neighbouring ranks.
+    position = (F.col("_rows") - 1) * F.array(*[F.lit(float(s)) for s in shares])[F.col("_q")]
+    last = F.col("_last") + F.col("_below")[F.col("_q")]
+    first = last - F.col("_n")
+
+    def at(rank) -> Column:
+        return F.max(F.when((rank >= first) & (rank < last), v))
+
+    weight = position - F.floor(position)
     picked = (
-        targets.join_to(values, [key, "_cell"])
-        .where((F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_last")))
-        .groupBy(key, "_q", "_w")
-        .agg(F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_lo"),
-             F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_hi"))
-        .select(key, "_q", (F.col("_lo") + F.col("_w") * (F.col("_hi") - F.col("_lo"))).alias("_value"))
+        summary_join(inside, below, [key])
+        .withColumn("_w", weight)
+        .groupBy(key, "_q", "_w").agg(at(F.floor(position)).alias("_lo"), at(F.ceil(position)).alias("_hi"))
+        .withColumn("_value", F.col("_lo") + F.col("_w") * (F.col("_hi") - F.col("_lo")))
     )
     return picked.groupBy(key).agg(
         *[F.max(F.when(F.col("_q") == i, F.col("_value"))).alias(f"q{i}") for i in range(len(shares))]
     )
 
 
-def approx_quantiles(df: DataFrame, key: str, value: str, shares: Sequence[float], accuracy: int = 10_000) -> DataFrame:
+def approx_quantiles(df: DataFrame, key: str, value: str, shares: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
     """As :func:`exact_quantiles`, from one aggregate with a bounded sketch per key."""
     sketch = F.percentile_approx(value, list(shares), accuracy).alias("_q")
     return df.groupBy(key).agg(sketch).select(key, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(shares))])

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation, Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numeric import row_mean
+from tallyloom.operators.ranking import running_total
 
 
 def with_derived(df: DataFrame, across: str, up: str, trio: Sequence[str], top: str, base: str) -> DataFrame:
@@ -100,28 +101,7 @@ def correlated_dimensions(df: DataFrame, vector: str = "features", above: float
 
 
 def drop_lowest_share(scores: DataFrame, key: str, score: str, share: float = 0.20) -> DataFrame:
-    """Mark the lowest scores that together make up at most ``share`` of the total.
-
-    ``scores`` has one row per feature. The running sum is taken over bucket totals first, so the ranking
-    is never done in a single window over all rows.
-    """
-    cells = 1024
-    span = scores.agg(F.min(score).alias("low"), F.max(score).alias("high"), F.sum(score).alias("total"))
-    low, high, total = (span.select(c).scalar() for c in ("low", "high", "total"))
-    width = F.greatest(high - low, F.lit(0)).cast("double")
-    position = F.try_divide((F.col(score) - low).cast("double") * cells, width)
-    placed = scores.withColumn("_cell", F.least(F.floor(F.coalesce(position, F.lit(0.0))), F.lit(cells - 1)))
-    # At most `cells` rows, so a window without partitions is harmless here.
-    before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_cell").agg(F.sum(score).alias("_n"))
-        .select("_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    )
-    within = Window.partitionBy("_cell").orderBy(score, key).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        placed.join(F.broadcast(offsets), "_cell")
-        .withColumn("running", F.col("_before") + F.sum(score).over(within))
-        .withColumn("dropped", F.col("running") <= total * F.lit(str(share)).cast("decimal(9,6)"))
-        .drop("_cell", "_before")
-    )
-
+    """Mark the lowest scores that together make up at most ``share`` of the total."""
+    total = scores.agg(F.sum(score).alias("total")).scalar()
+    running = running_total(scores, [score, key], score)
+    return running.withColumn("dropped", F.col("running") <= total * F.lit(str(share)).cast("decimal(9,6)"))

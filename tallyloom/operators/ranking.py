@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.plans.durable import written
+from tallyloom.plans.sizing import SMALL_ROWS, settled
+
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """The first ``k`` rows: each task keeps k rows and only those are merged."""
@@ -47,3 +50,31 @@ def at_or_above_nth(df: DataFrame, measure: str, n: int, flag: str = "selected")
     """Mark every row whose measure reaches the n-th largest value; ties are all marked."""
     threshold = nth_largest(df, measure, n).scalar()
     return df.withColumn(flag, F.col(measure) >= threshold)
+
+
+def running_total(
+    df: DataFrame, order: Sequence[str], value: str, out: str = "running", max_rows: int = SMALL_ROWS
+) -> DataFrame:
+    """Running sum of ``value`` over all rows in the given order, which must be unique.
+
+    A frame of at most ``max_rows`` rows is summed by one window. A larger one is sorted into ranges, stored
+    with its range numbers (they would differ between evaluations), and each range starts from the total
+    of the ranges before it.
+    """
+    local = settled(df, max_rows)
+    if local is not None:
+        window = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return local.withColumn(out, F.sum(value).over(window))
+    ranged = written(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range: the number of shuffle partitions bounds it.
+    starts = (
+        ranged.groupBy("_range").agg(F.sum(value).alias("_sum"))
+        .select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    )
+    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        ranged.join(F.broadcast(starts), "_range")
+        .withColumn(out, F.col("_start") + F.sum(value).over(within))
+        .drop("_range", "_start")
+    )

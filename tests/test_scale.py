@@ -152,6 +152,13 @@ def test_quantiles_of_a_heavy_class(spark):
         assert np.allclose(exact[r.k], (r.a, r.b))
 
 
+@pytest.mark.parametrize("limit", [0, 10_000])
+def test_running_total(spark, limit):
+    df = spark.range(500).select("id", (F.col("id") % 3).cast("double").alias("v")).repartition(6)
+    got = [r.running for r in ranking.running_total(df, ["v", "id"], "v", max_rows=limit).orderBy("v", "id").collect()]
+    assert got == list(np.cumsum(sorted(i % 3 for i in range(500))))
+
+
 def test_plans(spark, sf_dir):
     # A top-k per group is limited before and after the shuffle.
     assert plan(REGISTRY["topk_per_group"].run(spark, sf_dir)).count("WindowGroupLimit") == 2
