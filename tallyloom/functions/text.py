@@ -81,14 +81,14 @@ def is_year_range(col: Column) -> Column:
     return F.coalesce(col.contains(EN_DASH) | col.rlike(r"^[^0-9]*[0-9]{4}\s*-"), F.lit(False))
 
 
-def words(col: Column, min_length: int = 1) -> Column:
-    """Lower-cased words between white space, of at least ``min_length`` characters; never empty ones."""
-    return F.filter(F.split(F.lower(col), r"\s+"), lambda w: F.length(w) >= max(1, min_length))
+def words(col: Column) -> Column:
+    """Lower-cased texts between white space; the first and last may be empty."""
+    return F.split(F.lower(col), r"\s+")
 
 
 def plain_words(col: Column) -> Column:
-    """Lower-cased runs of ASCII letters, digits and underscores."""
-    return F.filter(F.split(F.lower(col), "[^a-z0-9_]+"), lambda w: F.length(w) > 0)
+    """Lower-cased runs of ASCII letters, digits and underscores; the first and last may be empty."""
+    return F.split(F.lower(col), "[^a-z0-9_]+")
 
 
 def number_text(col: Column) -> Column:

@@ -42,6 +42,15 @@ def count_by(df: DataFrame, keys: Names, name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def word_rows(df: DataFrame, tokens: Column, min_length: int = 1, drop: Sequence[str] = ()) -> DataFrame:
+    """One row per word of at least ``min_length`` characters that is not in ``drop``; never an empty one.
+
+    Words are filtered after the explode, where the test is compiled, not inside the array.
+    """
+    found = df.select(F.explode(tokens).alias("word")).where(F.length("word") >= max(1, min_length))
+    return found.where(~F.col("word").isin(*drop)) if drop else found
+
+
 def minmax_by(df: DataFrame, keys: Names, values: Names) -> DataFrame:
     """Largest and smallest of several columns by key."""
     aggs = [f(v).alias(f"{p}_{v}") for v in values for p, f in (("max", F.max), ("min", F.min))]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numeric import stable_hash
-from tallyloom.plans.sizing import summary_join
+from tallyloom.plans.sizing import Summary, summary_join
 
 SEED = 42
 # The 32-bit hash is cut into this many cells to find the cut-off of each class.
@@ -37,41 +37,41 @@ def stratified_split(
 ) -> DataFrame:
     """Exact split of every class: the rows of a class, in hash order, are cut at whole percentages.
 
-    ``cuts`` lists (part, cumulative percent); the last is 100. The hash range is divided into cells,
-    rows per class and cell are counted, and only the one cell per class in which a cut falls has its
-    rows ranked. Everything else is decided row by row, so no class is sorted or gathered.
+    ``cuts`` lists (part, cumulative percent); the last is 100. The hash range is divided into cells and
+    rows are counted per class and cell. Only the cell in which a cut falls has its rows ranked, which
+    gives the last row before the cut. Those few rows are the cut-offs that every row is compared with,
+    so no class is sorted or gathered and the result is a plain projection.
     """
-    h = stable_hash(seed, F.col(id_col))
-    rows = df.withColumn("_h", h).withColumn("_cell", F.floor(F.col("_h") / (2**32 // CELLS)).cast("int"))
+    rows = df.withColumn("_h", stable_hash(seed, F.col(id_col))).withColumn(
+        "_cell", F.floor(F.col("_h") / (2**32 // CELLS)).cast("int")
+    )
+    keyed = rows.select(label, "_cell", F.struct(F.col("_h").alias("h"), F.col(id_col).alias("id")).alias("_key"))
     running = Window.partitionBy(label).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    cells = (
-        rows.groupBy(label, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    quotas = F.array(*[
+        F.struct(F.lit(i).alias("i"), F.floor(F.col("_rows") * percent / 100).alias("quota"))
+        for i, (_, percent) in enumerate(cuts[:-1])
+    ])
+    start = F.col("_end") - F.col("_n")
+    # Per class and cut: the cell that holds the last row before the cut, and that row's rank within it.
+    wanted = Summary(
+        keyed.groupBy(label, "_cell").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_end", F.sum("_n").over(running))
         .withColumn("_rows", F.sum("_n").over(Window.partitionBy(label)))
+        .select(label, "_cell", "_end", start.alias("_start"), F.explode(quotas).alias("q"))
+        .where((F.col("q.quota") > F.col("_start")) & (F.col("q.quota") <= F.col("_end")))
+        .select(label, "_cell", F.col("q.i").alias("_cut"), (F.col("q.quota") - F.col("_start")).alias("_rank"))
     )
-    aggs, bounds = [], []
-    for i, (_, percent) in enumerate(cuts[:-1]):
-        quota = F.floor(F.col("_rows") * percent / 100)
-        start = F.col("_end") - F.col("_n")
-        # The first cell that is not wholly before the cut, and how many of its rows still are.
-        crossing = F.when(F.col("_end") > quota, F.struct(F.col("_cell").alias("cell"), (quota - start).alias("need")))
-        aggs.append(F.min(crossing).alias(f"_cut{i}"))
-        bounds.append(f"_cut{i}")
-    limits = cells.groupBy(label).agg(*aggs)
-    joined = summary_join(rows, limits, [label])
-
-    def decide(rank: Column) -> Column:
-        part = F.lit(cuts[-1][0])
-        for i in range(len(cuts) - 2, -1, -1):
-            cut = F.col(f"_cut{i}")
-            before = (F.col("_cell") < cut["cell"]) | ((F.col("_cell") == cut["cell"]) & (rank <= cut["need"]))
-            part = F.when(before, F.lit(cuts[i][0])).otherwise(part)
-        return part
-
-    on_edge = F.lit(False)
-    for b in bounds:
-        on_edge = on_edge | (F.col("_cell") == F.col(b)["cell"])
-    in_cell = Window.partitionBy(label, "_cell").orderBy("_h", id_col)
-    clear = joined.where(~on_edge).withColumn(out, decide(F.lit(0)))
-    edge = joined.where(on_edge).withColumn("_rank", F.row_number().over(in_cell)).withColumn(out, decide(F.col("_rank")))
-    return clear.unionByName(edge.drop("_rank")).drop("_h", "_cell", *bounds)
+    in_cell = Window.partitionBy(label, "_cell").orderBy("_key")
+    ranked = wanted.join_to(keyed, [label, "_cell"], "left_semi", distinct=True).withColumn(
+        "_rank", F.row_number().over(in_cell).cast("bigint")
+    )
+    names = [f"_cut{i}" for i in range(len(cuts) - 1)]
+    last_rows = wanted.join_to(ranked, [label, "_cell", "_rank"]).groupBy(label).agg(
+        *[F.max(F.when(F.col("_cut") == i, F.col("_key"))).alias(n) for i, n in enumerate(names)]
+    )
+    key = F.struct(F.col("_h").alias("h"), F.col(id_col).alias("id"))
+    part = F.lit(cuts[-1][0])
+    for (name, _), cut in reversed(list(zip(cuts, names, strict=False))):
+        # A class too small to have a row before the cut has no cut-off.
+        part = F.when(F.coalesce(key <= F.col(cut), F.lit(False)), F.lit(name)).otherwise(part)
+    return summary_join(rows, last_rows, [label], "left").withColumn(out, part).drop("_h", "_cell", *names)

@@ -27,15 +27,19 @@ def broadcast_limit(df: DataFrame) -> int:
     return max(0, int(digits.rstrip("kmg")) * scale)
 
 
-def lookup_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join rows of ``fact`` to a dimension.
+def lookup_join(
+    fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner", spread: bool = False
+) -> DataFrame:
+    """Join ``fact`` to a dimension, ``dim`` being close to a plain scan so that its size estimate holds.
 
     A dimension whose estimated size is under the session's threshold is broadcast, so the fact side is
-    not shuffled at all. A larger one is joined by key with the heavy keys of the fact side spread out.
+    not shuffled at all. A larger one is joined by key. ``spread`` then deals the heavy keys of the fact
+    side out explicitly, which counts its keys first: right for raw rows, needless for rows that were
+    made distinct or aggregated by the key before, whose remaining skew run-time splitting can handle.
     """
     if plan_bytes(dim) <= broadcast_limit(dim):
         return fact.join(F.broadcast(dim), list(on), how)
-    return spread_join(fact, dim, on, how)
+    return spread_join(fact, dim, on, how) if spread else fact.join(dim, list(on), how)
 
 
 def settled(summary: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:

@@ -76,7 +76,7 @@ SELECT word, CAST(count(*) AS BIGINT) AS n FROM words WHERE word <> '' GROUP BY
 def write_kv_roundtrip(t: Tables) -> DataFrame:
     talk = t.conversations
     spark = talk.sparkSession
-    counts = aggregates.count_by(talk.select(F.explode(tx.words(F.col("text"))).alias("word")), ["word"])
+    counts = aggregates.count_by(aggregates.word_rows(talk, tx.words(F.col("text"))), ["word"])
     path = scratch_path(spark, "counts")
     writers.write_pairs(counts, "word", "n", path)
     return writers.read_pairs(spark, path, T.StructField("word", T.StringType()), T.StructField("n", T.LongType()))

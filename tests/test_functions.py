@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import numeric
 from tallyloom.functions import text as tx
+from tallyloom.operators import aggregates
 
 
 def one(spark, value, expression, kind="string"):
@@ -43,13 +44,18 @@ def test_digits(spark):
 
 
 def test_words_drop_empty_tokens(spark):
-    assert one(spark, "  Big  big\tCAT ", lambda c: tx.words(c)) == ["big", "big", "cat"]
-    assert one(spark, "   ", lambda c: tx.words(c)) == []
-    assert one(spark, "to be long", lambda c: tx.words(c, 3)) == ["long"]
+    def found(text, **options):
+        df = spark.createDataFrame([(text,)], "x string")
+        return [r.word for r in aggregates.word_rows(df, tx.words(F.col("x")), **options).collect()]
+
+    assert found("  Big  big\tCAT ") == ["big", "big", "cat"]
+    assert found("   ") == []
+    assert found("to be long", min_length=3) == ["long"]
+    assert found("The cat", drop=tx.STOP_WORDS) == ["cat"]
 
 
 def test_plain_words_split_on_accents(spark):
-    assert one(spark, "Été 2_a!", lambda c: tx.plain_words(c)) == ["t", "2_a"]
+    assert one(spark, "Été 2_a!", lambda c: tx.plain_words(c)) == ["", "t", "2_a", ""]
 
 
 def test_number_text_is_anchored(spark):

@@ -47,7 +47,8 @@ def test_lookup_join_broadcasts_only_what_fits(spark, skewed):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         assert broadcast_limit(dim) == 0 and plan_bytes(dim) > 0
-        spread = lookup_join(fact, dim, ["k"]).count()
+        spread = lookup_join(fact, dim, ["k"], spread=True).count()
+        assert lookup_join(fact, dim, ["k"]).count() == spread
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert broadcast_limit(dim) == 10 * 1024 * 1024
@@ -89,6 +90,8 @@ def test_stratified_split_is_exact_and_complete(spark):
     for label, n in ((r.label, r["count"]) for r in df.groupBy("label").count().collect()):
         assert sizes[label, "train"] == n * 80 // 100
         assert sizes[label, "train"] + sizes[label, "validation"] == n * 90 // 100
+    tiny = spark.createDataFrame([(1, "x"), (2, None), (3, None)], "id int, label string")
+    assert splits.stratified_split(tiny, "id", "label", cuts).count() == 3
     again = splits.stratified_split(df.repartition(13), "id", "label", cuts)
     assert again.join(split, ["id", "label", "part"]).count() == 5000
 
