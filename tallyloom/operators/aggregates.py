@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.plans.sizing import lookup_join
+from tallyloom.plans.skew import PARTS, SALT, heavy_keys, salted
 
 Names = Sequence[str]
 
@@ -146,12 +147,9 @@ def collect_pages(df: DataFrame, keys: Names, value: str, page: int = 1000) -> D
     """All values of each key as sorted lists of at most ``page`` items, numbered by ``part``.
 
     A key of any size thus becomes many bounded rows instead of one unbounded list, and the values of a
-    heavy key are dealt out to several tasks before they are sorted.
+    heavy key are dealt out to several tasks before they are sorted. Together the parts hold every value;
+    which part of a heavy key holds it is left open.
     """
-    from pyspark.sql import Window
-
-    from tallyloom.plans.skew import PARTS, SALT, heavy_keys, salted
-
     keys = list(keys)
     dealt = salted(df.select(*keys, value), heavy_keys(df, keys), keys, [value])
     order = Window.partitionBy(*keys, SALT).orderBy(value)

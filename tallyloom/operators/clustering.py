@@ -65,20 +65,23 @@ def _spread_start(pool: np.ndarray, k: int, seed: int) -> np.ndarray:
     return np.array(centres)
 
 
-def _vector_rows(df: DataFrame, array: str) -> DataFrame:
-    return df.select(F.col(array).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
+def _stored_vectors(df: DataFrame, array: str) -> tuple[DataFrame, int]:
+    """The vectors, persisted for the passes of a fit, and the number of their partitions."""
+    rows = df.select(F.col(array).cast("array<double>").alias("v")).where(F.col("v").isNotNull()).persist()
+    return rows, rows.rdd.getNumPartitions()
 
 
-def _kmeans_pass(df: DataFrame, array: str, models: Sequence[KMeansModel]) -> list[np.ndarray]:
+def _kmeans_pass(rows: DataFrame, partitions: int, models: Sequence[KMeansModel]) -> list[np.ndarray]:
     """Assign every row under every model; per centre the row count, the cost and the coordinate sums."""
     stacked = np.concatenate([m.centres for m in models])
     offsets = np.cumsum([0] + [m.k for m in models])
+    shape = (len(stacked), stacked.shape[1] + 2)
 
     def partial(blocks: Iterator[list[np.ndarray]]) -> np.ndarray:
-        sums = np.zeros((len(stacked), stacked.shape[1] + 2))
+        sums = np.zeros(shape)
         for (x,) in blocks:
-            for rows in strips(len(x), len(stacked)):
-                part = x[rows]
+            for strip in strips(len(x), len(stacked)):
+                part = x[strip]
                 d2 = squared_distances(part, stacked)
                 at = np.arange(len(part))
                 for a, b in zip(offsets[:-1], offsets[1:], strict=True):
@@ -90,7 +93,7 @@ def _kmeans_pass(df: DataFrame, array: str, models: Sequence[KMeansModel]) -> li
                     sums[a:b, 2:] += member.T @ part
         return sums
 
-    found = sums_by_slot(_vector_rows(df, array), partial)
+    found = sums_by_slot(rows, partial, shape, partitions)
     return [found[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
@@ -104,25 +107,23 @@ def fit_kmeans(
     pool = _start_rows(df, id_col, array)
     models = [KMeansModel(k, seed, _spread_start(pool, k, seed)) for k, seed in specs]
     limit = tol * float(pool.var(axis=0).mean())
-    data = df.select(array).persist()
+    data, partitions = _stored_vectors(df, array)
     try:
         moving = list(models)
         for step in range(1, max_iter + 1):
             still = []
-            for model, stats in zip(moving, _kmeans_pass(data, array, moving), strict=True):
+            for model, stats in zip(moving, _kmeans_pass(data, partitions, moving), strict=True):
                 model.cost, model.iterations = float(stats[:, 1].sum()), step
                 filled = stats[:, :1] > 0
                 centres = np.where(filled, stats[:, 2:] / np.maximum(stats[:, :1], 1.0), model.centres)
                 shift = float(((centres - model.centres) ** 2).sum())
+                model.centres = centres
                 if shift > limit:
                     still.append(model)
-                    model.centres = centres
-                elif shift > 0:
-                    model.centres = centres
             moving = still
             if not moving:
                 break
-        for model, stats in zip(models, _kmeans_pass(data, array, models), strict=True):
+        for model, stats in zip(models, _kmeans_pass(data, partitions, models), strict=True):
             model.cost = float(stats[:, 1].sum())
     finally:
         data.unpersist()
@@ -178,16 +179,17 @@ def _responsibilities(x: np.ndarray, model: MixtureModel) -> tuple[np.ndarray, n
     return np.exp(log_p - total[:, None]), total
 
 
-def _mixture_pass(df: DataFrame, array: str, models: Sequence[MixtureModel]) -> list[np.ndarray]:
+def _mixture_pass(rows: DataFrame, partitions: int, models: Sequence[MixtureModel]) -> list[np.ndarray]:
     """E-step under every model; per component its mass, log likelihood, and first and second moments."""
     offsets = np.cumsum([0] + [m.k for m in models])
     d = models[0].means.shape[1]
+    shape = (int(offsets[-1]), 2 * d + 2)
 
     def partial(blocks: Iterator[list[np.ndarray]]) -> np.ndarray:
-        sums = np.zeros((offsets[-1], 2 * d + 2))
+        sums = np.zeros(shape)
         for (x,) in blocks:
-            for rows in strips(len(x), 64):
-                part = x[rows]
+            for strip in strips(len(x), 64):
+                part = x[strip]
                 for model, a, b in zip(models, offsets[:-1], offsets[1:], strict=True):
                     r, total = _responsibilities(part, model)
                     sums[a:b, 0] += r.sum(0)
@@ -196,7 +198,7 @@ def _mixture_pass(df: DataFrame, array: str, models: Sequence[MixtureModel]) ->
                     sums[a:b, d + 2:] += r.T @ (part * part)
         return sums
 
-    found = sums_by_slot(_vector_rows(df, array), partial)
+    found = sums_by_slot(rows, partial, shape, partitions)
     return [found[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
@@ -218,9 +220,9 @@ def fit_mixtures(
     Each starts from a short K-Means run. ``score`` is the mean log likelihood; a model stops when it
     changes by less than ``tol``.
     """
-    data = df.select(id_col, array).persist()
+    starts = fit_kmeans(df, id_col, array, specs, max_iter=10)
+    data, partitions = _stored_vectors(df, array)
     try:
-        starts = fit_kmeans(data, id_col, array, specs, max_iter=10)
         d = starts[0].centres.shape[1]
         spread = max(float(np.mean([m.cost for m in starts])) / max(1, data.count()) / d, floor)
         models = [
@@ -230,7 +232,7 @@ def fit_mixtures(
         moving = list(models)
         for step in range(1, max_iter + 1):
             still = []
-            for model, stats in zip(moving, _mixture_pass(data, array, moving), strict=True):
+            for model, stats in zip(moving, _mixture_pass(data, partitions, moving), strict=True):
                 score = float(stats[:, 1].sum()) / max(float(stats[:, 0].sum()), 1.0)
                 settled = abs(score - model.score) < tol
                 model.score, model.iterations = score, step

@@ -98,10 +98,11 @@ def fit_linear_svm(
     data = df.select(F.col(array).cast("array<double>").alias("v"), code.cast("double").alias("y")).persist()
     try:
         d = data.select(F.max(F.size("v"))).first()[0]
+        partitions = data.rdd.getNumPartitions()
         searches = [_Search(float(c), k, np.zeros(d + 1)) for c in costs for k in range(len(classes))]
         moving, passes = list(searches), 0
         while moving and passes < max_passes:
-            found = _losses(data, np.array([s.candidate() for s in moving]), np.array([s.target for s in moving]))
+            found = _losses(data, partitions, np.array([s.candidate() for s in moving]), np.array([s.target for s in moving]))
             moving = [s for s, row in zip(moving, found, strict=True) if s.offer(float(row[0]), row[1:], tol)]
             passes += 1
     finally:
@@ -110,11 +111,12 @@ def fit_linear_svm(
     return LinearSvm([float(c) for c in costs], classes, weights, passes)
 
 
-def _losses(data: DataFrame, points: np.ndarray, targets: np.ndarray) -> np.ndarray:
+def _losses(data: DataFrame, partitions: int, points: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Squared hinge loss and its gradient for every machine: machines x (1 + weights)."""
+    shape = (len(points), points.shape[1] + 1)
 
     def partial(blocks: Iterator[list[np.ndarray]]) -> np.ndarray:
-        sums = np.zeros((len(points), points.shape[1] + 1))
+        sums = np.zeros(shape)
         for x, y in blocks:
             side = np.where(y[:, None] == targets[None, :], 1.0, -1.0)
             slack = np.maximum(0.0, 1.0 - side * (x @ points[:, :-1].T + points[:, -1]))
@@ -124,7 +126,7 @@ def _losses(data: DataFrame, points: np.ndarray, targets: np.ndarray) -> np.ndar
             sums[:, -1] -= 2.0 * pull.sum(0)
         return sums
 
-    return sums_by_slot(data, partial)
+    return sums_by_slot(data, partial, shape, partitions)
 
 
 def predict(df: DataFrame, array: str, fitted: LinearSvm, out: str = "predictions") -> DataFrame:

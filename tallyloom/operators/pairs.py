@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,22 +14,26 @@ from tallyloom.plans.skew import PARTS, heavy_keys
 BLOCK_MEMBERS = 4_000
 
 
-def member_pairs(df: DataFrame, group: str, member: str, block: int = BLOCK_MEMBERS) -> DataFrame:
+def member_pairs(
+    df: DataFrame, group: str, member: str, carry: Sequence[str] = (), block: int = BLOCK_MEMBERS
+) -> DataFrame:
     """Each unordered pair of distinct members of a group, once per group, as ``a < b``.
 
+    ``carry`` names columns that the group determines; they come along.
+
     The members are joined to themselves on the group. A group with more than ``block`` members is cut
     into blocks by a hash of the member, and each pair of blocks is a join key of its own, so that the
     work on one large group is shared by many tasks.
     """
-    members = df.select(group, member).distinct()
+    members = df.select(group, member, *carry).distinct()
     blocks = heavy_keys(members, [group], block)
     n = F.coalesce(F.col(PARTS), F.lit(1))
     tagged = (
         members.join(F.broadcast(blocks), [group], "left")
-        .select(group, member, n.alias("_n"), F.pmod(F.xxhash64(member), n).cast("int").alias("_own"))
+        .select(group, member, *carry, n.alias("_n"), F.pmod(F.xxhash64(member), n).cast("int").alias("_own"))
     )
     left = tagged.select(
-        group, F.col(member).alias("_x"), F.col("_own").alias("_i"),
+        group, *carry, F.col(member).alias("_x"), F.col("_own").alias("_i"),
         F.explode(F.sequence(F.col("_own"), F.col("_n") - 1)).alias("_j"),
     )
     right = tagged.select(
@@ -37,7 +43,7 @@ def member_pairs(df: DataFrame, group: str, member: str, block: int = BLOCK_MEMB
     return (
         left.join(right, [group, "_i", "_j"])
         .where((F.col("_i") < F.col("_j")) | (F.col("_x") < F.col("_y")))
-        .select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"), group)
+        .select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"), group, *carry)
     )
 
 
@@ -51,9 +57,5 @@ def pair_titles(df: DataFrame, group: str, member: str, title: str, page: int =
 
     ``title`` must be determined by ``group``. A title stays repeated when two groups carry it.
     """
-    if title == group:
-        pairs = member_pairs(df, group, member)
-    else:
-        titles = df.select(group, title).distinct()
-        pairs = member_pairs(df, group, member).join(titles, [group])
+    pairs = member_pairs(df, group, member, [] if title == group else [title])
     return collect_pages(pairs, ["a", "b"], title, page).withColumn("n", F.size(f"{title}_list").cast("bigint"))

@@ -13,7 +13,9 @@ import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+# Partial sums the driver may receive in one pass.
+DIRECT_BYTES = 32 << 20
 
 
 def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -25,20 +27,30 @@ def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
             yield [x, *[c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]]
 
 
-def sums_by_slot(rows: DataFrame, partial: Callable[[Iterator[list[np.ndarray]]], np.ndarray]) -> np.ndarray:
+def sums_by_slot(
+    rows: DataFrame, partial: Callable[[Iterator[list[np.ndarray]]], np.ndarray], shape: tuple[int, int], partitions: int
+) -> np.ndarray:
     """Run ``partial`` on every partition and add up the (slots x width) matrices it returns.
 
-    The first column of ``rows`` is an array of doubles, the others are numbers.
+    The first column of ``rows`` is an array of doubles, the others are numbers. The matrices of few
+    ``partitions`` are added on the driver when together they stay under DIRECT_BYTES; otherwise Spark
+    adds them and only the total is returned.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = partial(_matrices(batches))
+        sums = np.ascontiguousarray(partial(_matrices(batches)), dtype=np.float64)
         offsets = pa.array(np.arange(len(sums) + 1, dtype=np.int32) * sums.shape[1])
-        values = pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(sums).reshape(-1)))
+        values = pa.ListArray.from_arrays(offsets, pa.array(sums.reshape(-1)))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums), dtype=np.int32)), values], names=["slot", "v"])
 
     parts = rows.mapInArrow(run, "slot int, v array<double>")
-    total = Summarizer.metrics("sum").summary(array_to_vector("v")).alias("s")
-    added = parts.groupBy("slot").agg(total).select("slot", vector_to_array("s.sum").alias("v")).toArrow()
-    order = np.argsort(added.column("slot").to_numpy())
-    return np.stack([np.asarray(v) for v in added.column("v").to_pylist()])[order]
+    if partitions * shape[0] * shape[1] * 8 > DIRECT_BYTES:
+        total = Summarizer.metrics("sum").summary(array_to_vector("v")).alias("s")
+        parts = parts.groupBy("slot").agg(total).select("slot", vector_to_array("s.sum").alias("v"))
+    found = parts.toArrow()
+    result = np.zeros(shape)
+    for batch in found.to_batches():
+        if batch.num_rows:
+            values = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            np.add.at(result, batch.column("slot").to_numpy(zero_copy_only=False), values)
+    return result

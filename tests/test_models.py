@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import classifiers, clustering, components, evaluation, features, linear, splits
+from tallyloom.operators import classifiers, clustering, components, evaluation, features, linear, passes, splits
 from tallyloom.operators.classifiers import ForestSpec
 
 
@@ -21,7 +21,9 @@ def blobs(spark):
     return np.array(x), spark.createDataFrame(rows, "id bigint, label int, v array<double>").repartition(4).persist()
 
 
-def test_kmeans_finds_the_groups(blobs):
+@pytest.mark.parametrize("limit", [0, 1 << 25])
+def test_kmeans_finds_the_groups(blobs, monkeypatch, limit):
+    monkeypatch.setattr(passes, "DIRECT_BYTES", limit)
     x, df = blobs
     models = clustering.fit_kmeans(df, "id", "v", [(3, s) for s in range(4)] + [(k, 0) for k in (1, 2, 4)])
     best = clustering.best_kmeans(models[:4])
