@@ -24,28 +24,28 @@ def _cell(value, low, high, cells: int):
 def density_histogram(df: DataFrame, label: str, value: str, bins: int = 50) -> DataFrame:
     """Histogram over shared bins, each class scaled to area 1. Empty bins are not listed."""
     rows = df.where(F.col(value).isNotNull())
-    span = rows.agg(F.min(value).alias("low"), F.max(value).alias("high"))
-    low, high = span.select("low").scalar(), span.select("high").scalar()
+    span = rows.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+    low, high = F.col("_span.low"), F.col("_span.high")
     counts = (
-        rows.select(label, _cell(F.col(value), low, high, bins).alias("bin"))
-        .groupBy(label, "bin").agg(F.count(F.lit(1)).alias("n"))
+        rows.select(label, value, span.alias("_span"))
+        .select(label, _cell(F.col(value), low, high, bins).alias("bin"), (high - low).alias("_width"))
+        .groupBy(label, "bin").agg(F.count(F.lit(1)).alias("n"), F.max("_width").alias("_width"))
     )
     per_label = F.sum("n").over(Window.partitionBy(label))
     return counts.select(
-        label, "bin", "n", F.try_divide(F.col("n") * bins, per_label * (high - low)).alias("density")
+        label, "bin", "n", F.try_divide(F.col("n") * bins, per_label * F.col("_width")).alias("density")
     )
 
 
 def scatter_bins(df: DataFrame, label: str, x: str, y: str, bins: int = 20) -> DataFrame:
     """A scatter plot at scale: points per class and cell of a square grid."""
-    span = df.agg(
+    span = df.agg(F.struct(
         F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1")
-    )
-    edge = {c: span.select(c).scalar() for c in span.columns}
-    cells = df.select(
+    )).scalar()
+    cells = df.select(label, x, y, span.alias("_span")).select(
         label,
-        _cell(F.col(x), edge["x0"], edge["x1"], bins).alias("x_bin"),
-        _cell(F.col(y), edge["y0"], edge["y1"], bins).alias("y_bin"),
+        _cell(F.col(x), F.col("_span.x0"), F.col("_span.x1"), bins).alias("x_bin"),
+        _cell(F.col(y), F.col("_span.y0"), F.col("_span.y1"), bins).alias("y_bin"),
     )
     return cells.groupBy(label, "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("n"))
 

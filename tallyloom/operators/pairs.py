@@ -25,7 +25,8 @@ def member_pairs(
     into blocks by a hash of the member, and each pair of blocks is a join key of its own, so that the
     work on one large group is shared by many tasks.
     """
-    members = df.select(group, member, *carry).distinct()
+    # Filtered here rather than by the join, so that all uses of the members share one shuffle.
+    members = df.where(F.col(group).isNotNull() & F.col(member).isNotNull()).select(group, member, *carry).distinct()
     blocks = heavy_keys(members, [group], block)
     n = F.coalesce(F.col(PARTS), F.lit(1))
     tagged = (
