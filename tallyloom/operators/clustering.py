@@ -274,50 +274,59 @@ def mixture_from_classes(df: DataFrame, array: str, label: str, floor: float = 1
     return [r[label] for r in rows], MixtureModel(len(rows), 0, n / n.sum(), means, variances + floor)
 
 
-def silhouette_rows(df: DataFrame, id_col: str, array: str, cluster: str, block: int = BLOCK_ROWS) -> DataFrame:
-    """Exact silhouette of every row with plain Euclidean distances.
+def silhouette_rows(
+    df: DataFrame, id_col: str, array: str, clusterings: Sequence[str], block: int = BLOCK_ROWS
+) -> DataFrame:
+    """Exact silhouette of every row with plain Euclidean distances, one result column per clustering.
 
     Every row has to be compared with every other one, so the work grows with the square of the rows.
-    The rows are cut into blocks; a task compares two blocks and returns, per row, one distance sum per
-    cluster. For large data use :func:`silhouette_squared`, whose cost is linear.
+    The rows are cut into blocks; a task compares two blocks once for all clusterings and returns, per
+    row, one distance sum per cluster. For large data use :func:`silhouette_squared`, whose cost is linear.
     """
+    names = [f"_c{i}" for i in range(len(clusterings))]
     rows = df.select(
-        F.col(id_col).alias("_id"), F.col(array).cast("array<double>").alias("_v"), F.col(cluster).alias("_c")
+        F.col(id_col).alias("_id"), F.col(array).cast("array<double>").alias("_v"),
+        *[F.col(c).cast("int").alias(n) for c, n in zip(clusterings, names, strict=True)],
     )
     blocks = F.lit(max(1, -(-rows.count() // block)))
     own = F.pmod(F.xxhash64("_id"), blocks).cast("int")
     left = rows.select("*", own.alias("i"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
     right = rows.select("*", own.alias("j"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"))
+    columns = ["_id", "clustering", "mine", "other", "total", "n"]
 
     def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if len(a) == 0 or len(b) == 0:
-            return pd.DataFrame({"_id": [], "_c": [], "other": [], "total": [], "n": []})
+            return pd.DataFrame({c: [] for c in columns})
         x, y = matrix(a["_v"]), matrix(b["_v"])
-        names, code = np.unique(b["_c"].to_numpy(), return_inverse=True)
-        member = np.eye(len(names))[code]
+        # The clusters of all clusterings side by side, as columns of one membership matrix.
+        found = [np.unique(b[n].to_numpy(), return_inverse=True) for n in names]
+        member = np.concatenate([np.eye(len(labels))[code] for labels, code in found], axis=1)
         totals = np.concatenate([np.sqrt(squared_distances(x[r], y)) @ member for r in strips(len(x), len(y))])
+        which = np.concatenate([np.full(len(labels), i) for i, (labels, _) in enumerate(found)])
+        other = np.concatenate([labels for labels, _ in found])
+        mine = np.stack([a[n].to_numpy() for n in names], axis=1)[:, which]
         return pd.DataFrame({
-            "_id": np.repeat(a["_id"].to_numpy(), len(names)), "_c": np.repeat(a["_c"].to_numpy(), len(names)),
-            "other": np.tile(names, len(a)), "total": totals.reshape(-1), "n": np.tile(member.sum(0), len(a)),
-        })
+            "_id": np.repeat(a["_id"].to_numpy(), len(which)), "clustering": np.tile(which, len(a)),
+            "mine": mine.reshape(-1), "other": np.tile(other, len(a)), "total": totals.reshape(-1),
+            "n": np.tile(member.sum(0), len(a)),
+        })[columns]
 
-    types = dict(rows.dtypes)
-    schema = f"_id {types['_id']}, _c {types['_c']}, other {types['_c']}, total double, n double"
+    schema = f"_id {dict(rows.dtypes)['_id']}, clustering int, mine int, other int, total double, n double"
     sums = (
         left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(compare, schema)
-        .groupBy("_id", "_c", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+        .groupBy("_id", "clustering", "mine", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     )
-    mine = F.col("other") == F.col("_c")
-    per_row = sums.groupBy("_id", "_c").agg(
-        F.max(F.when(mine, F.try_divide(F.col("total"), F.col("n") - 1))).alias("a"),
-        F.min(F.when(~mine, F.col("total") / F.col("n"))).alias("b"),
-        F.max(F.when(mine, F.col("n"))).alias("size"),
+    same = F.col("other") == F.col("mine")
+    per_row = sums.groupBy("_id", "clustering").agg(
+        F.max(F.when(same, F.try_divide(F.col("total"), F.col("n") - 1))).alias("a"),
+        F.min(F.when(~same, F.col("total") / F.col("n"))).alias("b"),
+        F.max(F.when(same, F.col("n"))).alias("size"),
     )
     score = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
-    return per_row.select(
-        F.col("_id").alias(id_col), F.col("_c").alias(cluster),
-        F.when((F.col("size") > 1) & F.col("b").isNotNull(), score).otherwise(0.0).alias("silhouette"),
-    )
+    value = F.when((F.col("size") > 1) & F.col("b").isNotNull(), score).otherwise(0.0)
+    return per_row.groupBy(F.col("_id").alias(id_col)).agg(*[
+        F.max(F.when(F.col("clustering") == i, value)).alias(f"silhouette_{c}") for i, c in enumerate(clusterings)
+    ])
 
 
 def silhouette_squared(df: DataFrame, array: str, cluster: str) -> DataFrame:

@@ -50,6 +50,11 @@ def kmeans_ninit(t: Tables) -> DataFrame:
     return restart_costs(vectors(t))
 
 
+@query()
+def kmeans_ninit_reduced(t: Tables) -> DataFrame:
+    return restart_costs(reduced(t))
+
+
 @query()
 def kmeans_elbow(t: Tables) -> DataFrame:
     return with_elbow(cost_curve(vectors(t))[0])
@@ -75,22 +80,31 @@ def kmeans_scores(t: Tables) -> DataFrame:
     """Agreement with the classes and silhouette of the final K-Means."""
     assigned = _final_kmeans(vectors(t), 5)
     rand = evaluation.adjusted_rand(assigned, "label", "cluster")
-    silhouettes = clustering.silhouette_rows(assigned, "vec_id", "embedding", "cluster")
-    return rand.withColumn("silhouette", silhouettes.agg(F.avg("silhouette")).scalar())
+    silhouettes = clustering.silhouette_rows(assigned, "vec_id", "embedding", ["cluster"])
+    return rand.withColumn("silhouette", silhouettes.agg(F.avg("silhouette_cluster")).scalar())
 
 
 def mixture_sweep(rows: DataFrame) -> DataFrame:
-    """Likelihood and silhouette of the best of five restarts for every k."""
+    """Likelihood and silhouette of the best of five restarts for every k; the largest silhouette is marked.
+
+    The clusterings of all k are compared in one pass over the pairs of blocks.
+    """
     models = clustering.fit_mixtures(rows, "vec_id", "embedding", [(k, s) for k in MIXTURE_RANGE for s in range(5)])
-    result = None
-    for k in MIXTURE_RANGE:
-        best = clustering.best_mixture(m for m in models if m.k == k)
-        scored = clustering.mixture_responsibilities(rows, "embedding", best)
-        line = clustering.silhouette_squared(scored, "embedding", "cluster").select(
-            F.lit(k).alias("k"), F.lit(best.score).alias("log_likelihood"), F.lit(best.iterations).alias("iterations"), "silhouette"
+    best = {k: clustering.best_mixture(m for m in models if m.k == k) for k in MIXTURE_RANGE}
+    assigned = rows
+    for k, model in best.items():
+        scored = clustering.mixture_responsibilities(assigned, "embedding", model)
+        assigned = scored.drop("responsibility").withColumnRenamed("cluster", f"k{k}")
+    silhouettes = clustering.silhouette_rows(assigned, "vec_id", "embedding", [f"k{k}" for k in best])
+    lines = F.array(*[
+        F.struct(
+            F.lit(k).alias("k"), F.lit(m.score).alias("log_likelihood"), F.lit(m.iterations).alias("iterations"),
+            F.col(f"s{k}").alias("silhouette"), (F.col(f"s{k}") == F.col("top")).alias("is_best"),
         )
-        result = line if result is None else result.unionByName(line)
-    return result
+        for k, m in best.items()
+    ])
+    means = silhouettes.agg(*[F.avg(f"silhouette_k{k}").alias(f"s{k}") for k in best])
+    return means.withColumn("top", F.greatest(*[f"s{k}" for k in best])).select(F.inline(lines))
 
 
 @query()
@@ -119,8 +133,8 @@ def gmm_scores(t: Tables) -> DataFrame:
     """Agreement with the classes and silhouette of the final mixture."""
     assigned = _mixture(t)
     rand = evaluation.adjusted_rand(assigned, "label", "cluster")
-    silhouettes = clustering.silhouette_rows(assigned, "vec_id", "embedding", "cluster")
-    return rand.withColumn("silhouette", silhouettes.agg(F.avg("silhouette")).scalar())
+    silhouettes = clustering.silhouette_rows(assigned, "vec_id", "embedding", ["cluster"])
+    return rand.withColumn("silhouette", silhouettes.agg(F.avg("silhouette_cluster")).scalar())
 
 
 @query(f"""WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),

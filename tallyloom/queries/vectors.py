@@ -305,6 +305,29 @@ def knn_k_sweep(t: Tables) -> DataFrame:
     return scores.withColumn("accuracy", F.round("accuracy", 6))
 
 
+@query(f"""WITH {PARTS_SQL}, dist AS (SELECT q.vec_id, q.part, q.label AS actual, b.label AS label, b.vec_id AS neighbour,
+  round(sqrt(list_sum(list_transform(list_zip(q.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))), 9) AS d
+  FROM parts q JOIN parts b ON q.part <> 'train' AND b.part = 'train'),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, neighbour) AS rank FROM dist), ks AS (SELECT unnest(range(1, 16)) AS k),
+votes AS (SELECT vec_id, part, actual, k, label, count(*) AS n FROM ranked, ks WHERE rank <= k GROUP BY 1, 2, 3, 4, 5),
+best AS (SELECT vec_id, part, actual, k, arg_max(label, (n, -label)) AS predicted FROM votes GROUP BY 1, 2, 3, 4),
+scores AS (SELECT k, round(avg(CASE WHEN part = 'validation' THEN (predicted = actual)::INT::DOUBLE END), 6) AS validation_accuracy,
+  round(avg(CASE WHEN part = 'test' THEN (predicted = actual)::INT::DOUBLE END), 6) AS test_accuracy FROM best GROUP BY k)
+SELECT CAST(k AS INTEGER) AS k, validation_accuracy, test_accuracy FROM scores ORDER BY validation_accuracy DESC, k LIMIT 1""")
+def knn_best_k(t: Tables) -> DataFrame:
+    """The k that does best on the validation part and its accuracy on the test part, from one search."""
+    rows = stored_split(t)
+    found = neighbours.nearest(
+        rows.where(F.col("part") != "train"), rows.where(F.col("part") == "train"), "vec_id", "embedding", "label", 15
+    )
+    voted = neighbours.vote(found, "vec_id", "label", range(1, 16))
+    truth = rows.select("vec_id", "part", F.col("label").alias("actual"))
+    scores = evaluation.accuracy(voted.join(truth, "vec_id"), "actual", "predicted", ["k", "part"])
+    wide = aggregates.pivot_wide(scores, "k", "part", ["validation", "test"], F.round(F.first("accuracy"), 6))
+    named = wide.select("k", F.col("validation").alias("validation_accuracy"), F.col("test").alias("test_accuracy"))
+    return evaluation.best_config(named, "validation_accuracy", ["k"])
+
+
 @query(f"""WITH {PARTS_SQL}, {NEIGHBOURS_SQL.format(part='validation')}, ks AS (SELECT unnest([3, 5, 7]) AS k), ws AS (SELECT unnest(['uniform', 'distance']) AS weights),
 votes AS (SELECT vec_id, actual, k, weights, label, count(CASE WHEN d = 0 AND weights = 'distance' THEN 1 END) AS hits,
   round(sum(CASE WHEN weights = 'uniform' THEN 1.0::DOUBLE WHEN d > 0 THEN 1 / d ELSE 0 END), 6) AS w FROM ranked, ks, ws WHERE rank <= k GROUP BY 1, 2, 3, 4, 5),
@@ -343,5 +366,6 @@ ab AS (SELECT vec_id, label, max(CASE WHEN other = label THEN total / nullif(n -
   max(CASE WHEN other = label THEN n END) AS size FROM sums GROUP BY 1, 2)
 SELECT vec_id, label, round(CASE WHEN size > 1 AND b IS NOT NULL THEN (b - a) / greatest(a, b) ELSE 0 END, 6) AS silhouette FROM ab""")
 def silhouette_exact(t: Tables) -> DataFrame:
-    scores = clustering.silhouette_rows(vectors(t), "vec_id", "embedding", "label")
-    return scores.withColumn("silhouette", F.round("silhouette", 6))
+    scores = clustering.silhouette_rows(vectors(t), "vec_id", "embedding", ["label"])
+    rounded = scores.select("vec_id", F.round("silhouette_label", 6).alias("silhouette"))
+    return rounded.join(t.embeddings.select("vec_id", "label"), "vec_id")

@@ -142,8 +142,10 @@ def test_silhouettes_equal_brute_force(spark):
         return np.array(scores)
 
     squared = ((x[:, None, :] - x[None, :, :]) ** 2).sum(2)
-    got = clustering.silhouette_rows(df, "id", "v", "label", block=17).orderBy("id").collect()
-    assert np.allclose([r.silhouette for r in got], brute(np.sqrt(squared)))
+    both = df.withColumn("one", F.lit(1))
+    got = clustering.silhouette_rows(both, "id", "v", ["label", "one"], block=17).orderBy("id").collect()
+    assert np.allclose([r.silhouette_label for r in got], brute(np.sqrt(squared)))
+    assert {r.silhouette_one for r in got} == {0.0}
     assert np.isclose(clustering.silhouette_squared(df, "v", "label").first()[0], brute(squared).mean())
 
 
