@@ -130,7 +130,7 @@ def null_profile(t: Tables) -> DataFrame:
 @query(r"""SELECT p_partkey, array_to_string(string_split_regex(p_name, '\s+'), '_') AS snake, lower(p_type) AS low, upper(trim('  ' || p_brand || ' ')) AS bare,
 CAST(length(p_name) AS INTEGER) AS n, regexp_replace(p_brand, '[^0-9]', '', 'g') AS digits, regexp_full_match(p_brand, 'Brand#[0-9]+') AS matched,
 contains(p_name, 'ring') AS has_ring, starts_with(p_type, 'ECO') AS eco, CAST(p_size AS VARCHAR) || '%' AS percent,
-TRY_CAST(replace(p_brand, 'Brand#', '') AS INTEGER) AS brand_no, TRY_CAST(p_brand AS INTEGER) AS bad_no,
+TRY_CAST(replace(p_brand, 'Brand#', '') AS INTEGER) AS brand_no, TRY_CAST(p_brand AS INTEGER) IS NULL AS not_a_number,
 least(p_brand, p_type) AS first_text, greatest(p_brand, p_type) AS last_text,
 CAST(len(list_distinct([p_type, p_type, p_brand])) AS INTEGER) AS n_distinct, string_split(p_name, ' ')[1] AS head,
 CASE WHEN p_size > 25 THEN 'big' ELSE 'small' END AS size_class FROM part""")
@@ -148,7 +148,7 @@ def scalar_tour_string(t: Tables) -> DataFrame:
         F.col("p_type").startswith("ECO").alias("eco"),
         tx.percent_text(F.col("p_size")).alias("percent"),
         F.replace("p_brand", F.lit("Brand#"), F.lit("")).try_cast("int").alias("brand_no"),
-        F.col("p_brand").try_cast("int").alias("bad_no"),
+        F.col("p_brand").try_cast("int").isNull().alias("not_a_number"),
         F.least("p_brand", "p_type").alias("first_text"),
         F.greatest("p_brand", "p_type").alias("last_text"),
         F.size(F.array_distinct(F.array("p_type", "p_type", "p_brand"))).alias("n_distinct"),
