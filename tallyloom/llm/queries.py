@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyloom.llm import oracles
 from tallyloom.llm.common import read_table
 from tallyloom.llm.minhash import NearDuplicates, near_duplicates
+from tallyloom.llm.packing import Packing, pack
+from tallyloom.llm.token_files import TokenFiles, read_token_files, write_token_files
+from tallyloom.plans.durable import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -17,5 +21,22 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), NearDuplicates(words=4, percent=80))
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_minhash_dedup,)}
+def vocabulary() -> str:
+    """The tokenizer file of the queries."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_token_files(read_table(spark, sf_dir, "documents"), path, TokenFiles(vocabulary(), end_id=1))
+    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"), Packing(vocabulary(), end_id=2, capacity=4096))
+
+
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_minhash_dedup, op4_token_files, op10_packing)}
 SQL: dict[str, str] = {"op1_minhash_dedup": oracles.MINHASH}
