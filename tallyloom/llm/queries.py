@@ -11,7 +11,9 @@ from tallyloom.llm import oracles
 from tallyloom.llm.common import read_table
 from tallyloom.llm.minhash import NearDuplicates, near_duplicates
 from tallyloom.llm.packing import Packing, pack
+from tallyloom.llm.secret_scan import KINDS, find_secrets, joined, of_kind
 from tallyloom.llm.token_files import TokenFiles, read_token_files, write_token_files
+from tallyloom.llm.toxicity import score, train
 from tallyloom.plans.durable import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -28,15 +30,31 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    base = KINDS[:3]
+    return find_secrets(read_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *(F.size(of_kind(spans, k)).cast("long").alias(f"n_{k}") for k in base),
+        F.sha2(joined(of_kind(spans, *base)), 256).alias("base_sha256"),
+        joined(spans).alias("spans"),
+    )
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_token_files(read_table(spark, sf_dir, "documents"), path, TokenFiles(vocabulary(), end_id=1))
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return score(docs, train(docs, read_table(spark, sf_dir, "labels"))).select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), Packing(vocabulary(), end_id=2, capacity=4096))
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_minhash_dedup, op4_token_files, op10_packing)}
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_minhash_dedup, op3_secret_scan, op4_token_files, op8_toxicity, op10_packing)}
 SQL: dict[str, str] = {"op1_minhash_dedup": oracles.MINHASH}
