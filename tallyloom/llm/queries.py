@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import oracles
 from tallyloom.llm.common import read_table
+from tallyloom.llm.decontaminate import matches
 from tallyloom.llm.minhash import NearDuplicates, near_duplicates
 from tallyloom.llm.packing import Packing, pack
 from tallyloom.llm.secret_scan import KINDS, find_secrets, joined, of_kind
@@ -47,6 +48,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return score(docs, train(docs, read_table(spark, sf_dir, "labels"))).select("doc_id", "held_out", "score", "predicted")
@@ -56,5 +61,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), Packing(vocabulary(), end_id=2, capacity=4096))
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_minhash_dedup, op3_secret_scan, op4_token_files, op8_toxicity, op10_packing)}
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_minhash_dedup, op3_secret_scan, op4_token_files, op7_decontaminate, op8_toxicity, op10_packing)}
 SQL: dict[str, str] = {"op1_minhash_dedup": oracles.MINHASH}
