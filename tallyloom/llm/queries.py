@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm import oracles
 from tallyloom.llm.common import read_table
 from tallyloom.llm.decontaminate import matches
+from tallyloom.llm.embeddings import PigeonholeJoin, near_vectors
 from tallyloom.llm.minhash import NearDuplicates, near_duplicates
 from tallyloom.llm.packing import Packing, pack
 from tallyloom.llm.secret_scan import KINDS, find_secrets, joined, of_kind
@@ -31,6 +32,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings"), PigeonholeJoin(cosine=0.9))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
     base = KINDS[:3]
@@ -61,5 +66,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), Packing(vocabulary(), end_id=2, capacity=4096))
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_minhash_dedup, op3_secret_scan, op4_token_files, op7_decontaminate, op8_toxicity, op10_packing)}
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_minhash_dedup, op2_embedding_dedup, op3_secret_scan, op4_token_files, op7_decontaminate, op8_toxicity, op10_packing)}
 SQL: dict[str, str] = {"op1_minhash_dedup": oracles.MINHASH}
