@@ -39,6 +39,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Numbers (ids, or elements of arrays) that a table may hold to be broadcast: some 16 MB on each executor.
+BROADCAST_NUMBERS = 1_000_000
+
+
+def bounded_broadcast(stored: DataFrame, numbers: Column | None = None) -> DataFrame:
+    """Mark a stored table for broadcasting if the numbers in it were counted and are few, else leave it as it is.
+
+    ``numbers`` says how many a row holds (one by default). A larger table is joined by key.
+    """
+    total = stored.agg(F.sum(F.lit(1) if numbers is None else numbers)).first()[0] or 0
+    return F.broadcast(stored) if total <= BROADCAST_NUMBERS else stored
+
+
 def _state(edges: DataFrame) -> tuple:
     """Number of edges and an order-free checksum of them."""
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import components
+from tallyloom.llm.common import bounded_broadcast, components
 from tallyloom.plans.durable import written
 
 # Buckets up to this size have their remaining cross-component pairs listed by a join.
@@ -132,8 +132,8 @@ def links_of(bands: DataFrame, texts: DataFrame, measure: Measure, name: str) ->
         .select("key", "hub")
     )
     members = written(bands.join(hubs, "key"), f"{name}-members")
-    needed = members.select("id").distinct()
-    texts = texts.join(needed, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
+    needed = written(members.select("id").distinct(), f"{name}-ids")
+    texts = texts.join(bounded_broadcast(needed), "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
     texts = written(texts, f"{name}-texts")
 
     star = members.where("hub < id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
