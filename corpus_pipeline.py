@@ -1,8 +1,74 @@
-"""The corpus pipeline: toxicity, line dedup, near-dedup, benchmark decontamination, packing."""
+"""The corpus pipeline: toxicity, line dedup, near-dedup, benchmark decontamination, packing.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns what it keeps of ``docs`` with the columns of ``documents``;
+the last returns the places of all pieces in training sequences. ``run`` writes every stage's result to the
+shared folder and reads it back for the next one.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyloom.llm.common import bounded_broadcast, read_table
+from tallyloom.llm.decontaminate import without_matches
+from tallyloom.llm.fuzzy_lines import without_duplicate_lines
+from tallyloom.llm.minhash import NearDuplicates, near_duplicates
+from tallyloom.llm.packing import Packing, pack
+from tallyloom.llm.queries import vocabulary
+from tallyloom.llm.toxicity import harmless, train
+from tallyloom.plans.durable import written
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents not predicted toxic by the model fitted on the labels; those without text stay."""
+    return harmless(docs, train(docs, read_table(spark, sf_dir, "labels")))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents less the lines that another line duplicates; one that loses all its text goes, others stay.
+
+    ``n_chars`` follows the text where that changed.
+    """
+    cut = without_duplicate_lines(docs)
+    left = cut.where((F.col("_cut") == 0) | (F.trim(F.regexp_replace("text", "\\s+", " ")) != ""))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        left = left.withColumn("n_chars", F.when(F.col("_cut") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return left.select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near-duplicates; without words or doc_id all stay."""
+    others = near_duplicates(docs, NearDuplicates(words=5, percent=80)).where("NOT kept")
+    others = written(others.select(F.col("doc_id").alias("_other")).distinct(), "near-duplicates")
+    return docs.join(bounded_broadcast(others), docs["doc_id"].cast("long") == F.col("_other"), "left_anti")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, also under other numbers and names."""
+    return without_matches(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 4096 tokens."""
+    return pack(docs, Packing(vocabulary(), end_id=2, capacity=4096))
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("packing", packing),
+]
+
+# A trained classifier and merges of a tokenizer cannot be written in SQL; tests compare with plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-from collections.abc import Sequence
 from functools import cache
 from pathlib import Path
 
@@ -99,25 +98,6 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
-def running_start(df: DataFrame, part: str, order: Sequence[str], size: Column, name: str) -> DataFrame:
-    """Add ``name``: the sum of ``size`` over all rows before this one in (part, order).
-
-    ``part`` is a column whose values follow the order (a range partition's number): sums within a part
-    are windows of their own, and only one total per part meets in a single window.
-    """
-    sized = df.withColumn("_size", size)
-    totals = sized.groupBy(part).agg(F.sum("_size").alias("_total"))
-    before = W.Window.orderBy(part).rowsBetween(W.Window.unboundedPreceding, -1)
-    starts = totals.select(F.col(part).alias("_part"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
-    inside = W.Window.partitionBy(part).orderBy(*order).rowsBetween(W.Window.unboundedPreceding, -1)
-    return (
-        sized.withColumn("_inside", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
-        .join(starts, F.col(part) == F.col("_part"))
-        .withColumn(name, F.col("_base") + F.col("_inside"))
-        .drop("_size", "_inside", "_part", "_base")
-    )
-
-
 def ranked(df: DataFrame, key: str, order: str, name: str, slices: int) -> DataFrame:
     """Add ``name``: the row's position, from 0, among the rows of its ``key``.
 
@@ -135,3 +115,24 @@ def ranked(df: DataFrame, key: str, order: str, name: str, slices: int) -> DataF
         .withColumn(name, F.col("_base") + F.col("_rank"))
         .drop("_slice", "_rank", "_base")
     )
+
+
+def ordered_rank(df: DataFrame, key: str, order: str, name: str) -> DataFrame:
+    """Add ``name``: the row's position, from 0, among the rows of its ``key`` by ``order``.
+
+    Rows are range-partitioned by (key, order), so a key with very many rows spans several partitions; counts
+    per key and partition give each partition its first position.
+    """
+    cut = written(
+        df.repartitionByRange(key, order).withColumn("_part", F.spark_partition_id()), "ranges"
+    )
+    counts = cut.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_count"))
+    before = W.Window.partitionBy(key).orderBy("_part").rowsBetween(W.Window.unboundedPreceding, -1)
+    bases = counts.select(key, "_part", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_base"))
+    inside = W.Window.partitionBy(key, "_part").orderBy(order)
+    return (
+        cut.withColumn("_rank", F.row_number().over(inside) - 1)
+        .join(bases, [key, "_part"])
+        .withColumn(name, F.col("_base") + F.col("_rank"))
+        .drop("_part", "_rank", "_base")
+    )

@@ -173,7 +173,7 @@ def duplicate_lines(docs: DataFrame, spec: LineDuplicates | None = None) -> Data
 
 
 def without_duplicate_lines(docs: DataFrame, spec: LineDuplicates | None = None) -> DataFrame:
-    """``docs`` with all columns, less the lines to cut, plus ``_lines`` and ``_cut``: lines before and cut.
+    """``docs`` with all columns, less the lines to cut, plus ``_lines`` and ``_cut``: lines before, and lines cut.
 
     A document keeps its text unchanged if nothing is cut; a text of which nothing is left is empty. Null texts
     and rows without doc_id stay as they are.
@@ -183,8 +183,8 @@ def without_duplicate_lines(docs: DataFrame, spec: LineDuplicates | None = None)
     parts = F.split("text", "\n", -1)
     left = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains(F.col("lines"), i)), "\n")
     return (
-        joined.withColumn("_lines", F.coalesce(F.size(parts), F.lit(0)).cast("long"))
-        .withColumn("_cut", F.coalesce(F.size("lines"), F.lit(0)).cast("long"))
+        joined.withColumn("_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long"))
+        .withColumn("_cut", F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long"))
         .withColumn("text", F.when(F.col("lines").isNull(), F.col("text")).otherwise(left))
         .drop("_doc", "lines")
     )

@@ -43,3 +43,74 @@ FROM sets d
 LEFT JOIN same ON same.s = d.s
 LEFT JOIN lowest l ON l.node = same.rep
 """
+
+# The list is derived from the pages as in the query; entries are compared with whole URLs, not by keys.
+URL_LISTS = """
+WITH parsed AS (
+    SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INTEGER) AS fetched,
+        lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)) AS host,
+        regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages
+),
+entries AS (
+    SELECT DISTINCT regexp_replace(host, '^(www|m|blog)\\.', '') AS entry FROM parsed
+    UNION
+    SELECT DISTINCT host || '/' || split_part(path, '/', 2) FROM parsed WHERE split_part(path, '/', 2) <> ''
+),
+marked AS (
+    SELECT entry, md5(entry) AS m FROM entries
+    WHERE entry <> '' AND CAST('0x' || substr(md5(entry), 1, 2) AS INTEGER) < 64
+),
+dated AS (
+    SELECT lower(entry) AS entry, DATE '2024-01-01' + CAST('0x' || substr(m, 3, 2) AS INTEGER) AS first,
+        CAST('0x' || substr(m, 6, 2) AS INTEGER) AS span, substr(m, 5, 1) < '8' AS goes, substr(m, 8, 1) < '6' AS returns
+    FROM marked
+),
+valid AS (
+    SELECT entry, first AS since, CASE WHEN goes THEN first + 1 + span END AS until FROM dated
+    UNION ALL
+    SELECT entry, first + 31 + span, NULL FROM dated WHERE goes AND returns
+),
+hits AS (
+    SELECT p.page_id, p.url, p.fetched, v.entry, v.since
+    FROM parsed p JOIN valid v ON p.fetched >= v.since AND (v.until IS NULL OR p.fetched < v.until)
+        AND (p.host = v.entry OR ends_with(p.host, '.' || v.entry) OR starts_with(p.host || p.path || '/', v.entry || '/') AND contains(v.entry, '/'))
+)
+SELECT p.page_id, p.url, p.fetched, any_value(p.host) AS host, count(h.entry) AS n_entries,
+    max_by(h.entry, length(h.entry)) AS entry, max_by(h.since, length(h.entry)) AS since, count(h.entry) > 0 AS blocked
+FROM parsed p LEFT JOIN hits h ON h.page_id = p.page_id AND h.url = p.url
+GROUP BY p.page_id, p.url, p.fetched
+"""
+
+# No mail is built here: the turn before is the quoted one, and its text belongs to the first turn that wrote it.
+QUOTATIONS = """
+WITH RECURSIVE turns AS MATERIALIZED (
+    SELECT conv_id * 1000000 + turn AS msg_id, conv_id, text,
+        trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS plain,
+        lag(text) OVER w AS before, row_number() OVER w AS nth
+    FROM conversations
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+),
+written AS (
+    SELECT msg_id, conv_id, plain AS part FROM turns
+    UNION
+    SELECT msg_id, conv_id, part FROM (
+        SELECT msg_id, conv_id, trim(regexp_replace(lower(unnest(string_split(text, chr(10)))), '\\s+', ' ', 'g')) AS part FROM turns
+    ) WHERE length(part) >= 24
+),
+parents AS MATERIALIZED (
+    SELECT t.msg_id, min(w.msg_id) AS parent_id
+    FROM turns t JOIN written w
+        ON w.conv_id = t.conv_id AND w.part = trim(regexp_replace(lower(t.before), '\\s+', ' ', 'g')) AND w.msg_id < t.msg_id
+    GROUP BY t.msg_id
+),
+up(msg_id, thread_id, depth) AS (
+    SELECT t.msg_id, t.msg_id, 0 FROM turns t WHERE NOT EXISTS (FROM parents p WHERE p.msg_id = t.msg_id)
+    UNION ALL
+    SELECT p.msg_id, u.thread_id, u.depth + 1 FROM up u JOIN parents p ON p.parent_id = u.msg_id
+)
+SELECT t.msg_id, u.thread_id, p.parent_id, u.depth, row_number() OVER (PARTITION BY u.thread_id ORDER BY t.msg_id) - 1 AS position,
+    regexp_replace(regexp_replace(t.text, '^([ \\t]*\\n)+', ''), '(\\n[ \\t]*)+$', '') AS text,
+    CAST(least(t.nth - 1, 2) AS BIGINT) AS n_quoted
+FROM turns t JOIN up u ON u.msg_id = t.msg_id LEFT JOIN parents p ON p.msg_id = t.msg_id
+"""

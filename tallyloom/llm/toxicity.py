@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -159,6 +160,20 @@ class _Scorer:
         """Log-odds of one sentence."""
         return self.model.bias + sum(map(self.weight, _words(text)))
 
+    def document(self, places: list[tuple[int, int]], text: str | None) -> tuple[float, np.ndarray]:
+        """The noisy-or of the sentences, and the probability of each."""
+        z = np.array([self.sentence(text[a:b]) for a, b in places])
+        return (float(-np.expm1(-np.logaddexp(0, z).sum())) if places else 0.0), 1 / (1 + np.exp(-z))
+
+
+def _toxic(model: Model) -> Callable[[Iterator[pd.Series]], Iterator[pd.Series]]:
+    def task(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = _Scorer(model)
+        for texts in batches:
+            yield pd.Series([scorer.document(sentences_of(t), t)[0] >= 0.5 for t in texts], dtype=bool)
+
+    return task
+
 
 def _score(model: Model):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,9 +182,8 @@ def _score(model: Model):
             scores, spans = [], []
             for text in batch.column(1).to_pylist():
                 places = sentences_of(text)
-                z = np.array([scorer.sentence(text[a:b]) for a, b in places])
-                scores.append(float(-np.expm1(-np.logaddexp(0, z).sum())) if places else 0.0)
-                p = 1 / (1 + np.exp(-z))
+                whole, p = scorer.document(places, text)
+                scores.append(whole)
                 spans.append([
                     {"start": a, "end": b, "score": float(s)} for (a, b), s in zip(places, p, strict=True) if s >= 0.5
                 ])
@@ -181,6 +195,13 @@ def _score(model: Model):
     return task
 
 
+def harmless(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not predicted toxic; null and empty texts stay."""
+    prepare(docs.sparkSession)
+    scorer = F.pandas_udf(_toxic(model), "boolean")
+    return docs.where(~scorer(F.col("text").cast("string")))
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted, offending.
 
