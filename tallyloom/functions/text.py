@@ -60,8 +60,9 @@ def list_items(col: Column) -> Column:
 
 
 def tidy_list(col: Column, noise: Sequence[str] = LIST_NOISE) -> Column:
-    """A comma separated cell without noise, rejoined with one comma and blank."""
-    return F.array_join(list_items(without(col, noise)), ", ")
+    """A comma separated cell without noise, each comma followed by one blank; empty items stay but for final ones."""
+    bare = F.regexp_replace(F.trim(without(col, noise)), r"(?:,\s*)+$", "")
+    return F.regexp_replace(bare, r",\s*", ", ")
 
 
 def tidy_list_distinct(col: Column, noise: Sequence[str] = LIST_NOISE) -> Column:
@@ -72,7 +73,7 @@ def tidy_list_distinct(col: Column, noise: Sequence[str] = LIST_NOISE) -> Column
 def tidy_year(col: Column) -> Column:
     """A year (digits only) or a year range (kept whole); ``Unknown`` when nothing is left."""
     bare = F.trim(F.regexp_replace(compat(col), BRACKETS, ""))
-    year = F.when(bare.contains(EN_DASH), bare).otherwise(digits_only(bare))
+    year = F.when(is_year_range(bare), bare).otherwise(digits_only(bare))
     return F.when(F.length(year) > 0, year).otherwise(F.lit(UNKNOWN))
 
 
@@ -94,6 +95,7 @@ def plain_words(col: Column) -> Column:
 def number_text(col: Column) -> Column:
     """The number written in a text when it is an unsigned decimal and nothing else, otherwise NULL."""
     bare = F.trim(F.replace(col, F.lit('"'), F.lit("")))
+    # Fixed value that must match: what counts as an unsigned decimal.
     return F.when(bare.rlike(r"^\d+(\.\d+)?$"), bare.try_cast("double"))
 
 

@@ -11,8 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.plans.ranks import ordered_rank
 from tallyloom.plans.sizing import lookup_join
-from tallyloom.plans.skew import PARTS, SALT, heavy_keys, salted
 
 Names = Sequence[str]
 
@@ -144,19 +144,16 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def collect_pages(df: DataFrame, keys: Names, value: str, page: int = 1000) -> DataFrame:
-    """All values of each key as sorted lists of at most ``page`` items, numbered by ``part``.
+    """All values of each key in order, as lists of at most ``page`` items, numbered by ``part``.
 
-    A key of any size thus becomes many bounded rows instead of one unbounded list, and the values of a
-    heavy key are dealt out to several tasks before they are sorted. Together the parts hold every value;
-    which part of a heavy key holds it is left open.
+    A key of any size thus becomes bounded rows instead of one unbounded list. Positions come from counts per
+    range of values, so a heavy key is sorted by several tasks, with the same pages at every size. ``df``
+    should be stored or cheap, since it is read more than once.
     """
     keys = list(keys)
-    dealt = salted(df.select(*keys, value), heavy_keys(df, keys), keys, [value])
-    order = Window.partitionBy(*keys, SALT).orderBy(value)
-    paged = dealt.withColumn("_page", F.floor((F.row_number().over(order) - 1) / page))
-    part = F.col("_page") * F.coalesce(F.col(PARTS), F.lit(1)) + F.col(SALT)
+    placed = ordered_rank(df.select(*keys, value), keys, [value], "_place")
     return (
-        paged.withColumn("part", part.cast("bigint"))
+        placed.withColumn("part", F.floor(F.col("_place") / page).cast("bigint"))
         .groupBy(*keys, "part")
         .agg(F.sort_array(F.collect_list(value)).alias(f"{value}_list"))
     )

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -20,10 +21,7 @@ from pyspark.sql.functions import pandas_udf
 
 from tallyloom.functions.numeric import squared_distance, stable_hash
 from tallyloom.operators.blocks import BLOCK_ROWS, matrix, squared_distances, strips
-from tallyloom.operators.passes import sums_by_slot
-
-# Rows from which starting centres are drawn.
-START_ROWS = 1_000
+from tallyloom.operators.passes import matrices, sums_by_slot
 
 
 @dataclass
@@ -46,29 +44,80 @@ class MixtureModel:
     iterations: int = 0
 
 
-def _start_rows(df: DataFrame, id_col: str, array: str, rows: int = START_ROWS) -> np.ndarray:
-    """A fixed number of rows in hash order: the pool that starting centres come from."""
-    picked = df.orderBy(stable_hash(7, F.col(id_col))).limit(rows).select(F.col(array).cast("array<double>"))
-    return np.array([r[0] for r in picked.collect()], dtype=np.float64)
-
-
-def _spread_start(pool: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """k-means++ seeding (Arthur and Vassilvitskii, 2007) within the pool."""
-    rng = np.random.default_rng(seed)
-    centres = [pool[rng.integers(len(pool))]]
-    nearest = squared_distances(pool, centres[0][None, :])[:, 0]
-    while len(centres) < k:
-        total = nearest.sum()
-        chance = nearest / total if total > 0 else None
-        centres.append(pool[rng.choice(len(pool), p=chance)])
-        nearest = np.minimum(nearest, squared_distances(pool, centres[-1][None, :])[:, 0])
-    return np.array(centres)
-
-
-def _stored_vectors(df: DataFrame, array: str) -> tuple[DataFrame, int]:
-    """The vectors, persisted for the passes of a fit, and the number of their partitions."""
-    rows = df.select(F.col(array).cast("array<double>").alias("v")).where(F.col("v").isNotNull()).persist()
-    return rows, rows.rdd.getNumPartitions()
+@dataclass
+class _Centred:
+    """The vectors less their mean, persisted for the passes of a fit, each with a hash of its id."""
+
+    rows: DataFrame
+    partitions: int
+    mean: np.ndarray
+    variance: float
+    count: int
+
+
+def _centred(df: DataFrame, id_col: str, array: str) -> _Centred:
+    """Distances are taken about the mean, so a large common offset of the data costs no precision."""
+    rows = df.select(F.col(array).cast("array<double>").alias("v"), stable_hash(7, F.col(id_col)).cast("bigint").alias("h"))
+    rows = rows.where(F.col("v").isNotNull())
+    summary = Summarizer.metrics("count", "mean", "variance").summary(array_to_vector("v"))
+    found = rows.agg(summary.alias("s")).select("s.*").first()
+    mean, n = found["mean"].toArray(), found["count"]
+
+    def shift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = batch.column(0)
+            moved = v.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) - mean
+            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * moved.shape[1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.ListArray.from_arrays(offsets, pa.array(moved.reshape(-1))), batch.column(1)], names=["v", "h"]
+            )
+
+    data = rows.mapInArrow(shift, "v array<double>, h bigint").persist()
+    variance = float(found["variance"].toArray().mean()) * (n - 1) / max(n, 1)
+    return _Centred(data, data.rdd.getNumPartitions(), mean, variance, n)
+
+
+def _gumbel(h: np.ndarray, seed: int, step: int) -> np.ndarray:
+    """Independent draws that depend on row, seed and step alone."""
+    x = h.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((seed * 1_000_003 + step + 1) * 0x2545F4914F6CDD1D % 2**64)
+    for _ in range(2):
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    u = ((x >> np.uint64(11)).astype(np.float64) + 0.5) / 2**53
+    return -np.log(-np.log(u))
+
+
+def _starts(data: _Centred, specs: Sequence[tuple[int, int]]) -> list[np.ndarray]:
+    """k-means++ seeding (Arthur and Vassilvitskii, 2007) over all rows, all models in the same passes.
+
+    A row is drawn with a chance in proportion to its squared distance from the centres so far: the row with
+    the largest log distance plus Gumbel noise, a maximum that partitions find on their own.
+    """
+    centres = [np.zeros((0, data.mean.size)) for _ in specs]
+    for step in range(max(k for k, _ in specs)):
+        wanted = [i for i, (k, _) in enumerate(specs) if step < k]
+
+        def draw(batches: Iterator[pa.RecordBatch], step: int = step, wanted: Sequence[int] = wanted) -> Iterator[pa.RecordBatch]:
+            best: dict[int, tuple[float, np.ndarray]] = {}
+            for x, h in matrices(batches):
+                for i in wanted:
+                    d2 = squared_distances(x, centres[i]).min(1) if step else np.ones(len(x))
+                    with np.errstate(divide="ignore"):
+                        score = np.maximum(np.log(d2), -1e9) + _gumbel(h, specs[i][1], step)
+                    at = int(score.argmax())
+                    if i not in best or score[at] > best[i][0]:
+                        best[i] = (float(score[at]), x[at])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(best), pa.int32()), pa.array([s for s, _ in best.values()], pa.float64()),
+                    pa.array([v for _, v in best.values()], pa.list_(pa.float64())),
+                ],
+                names=["model", "score", "v"],
+            )
+
+        found = data.rows.mapInArrow(draw, "model int, score double, v array<double>")
+        for r in found.groupBy("model").agg(F.max(F.struct("score", "v")).alias("best")).collect():
+            centres[r["model"]] = np.vstack([centres[r["model"]], r["best"]["v"]])
+    return centres
 
 
 def _kmeans_pass(rows: DataFrame, partitions: int, models: Sequence[KMeansModel]) -> list[np.ndarray]:
@@ -79,7 +128,7 @@ def _kmeans_pass(rows: DataFrame, partitions: int, models: Sequence[KMeansModel]
 
     def partial(blocks: Iterator[list[np.ndarray]]) -> np.ndarray:
         sums = np.zeros(shape)
-        for (x,) in blocks:
+        for x, _ in blocks:
             for strip in strips(len(x), len(stacked)):
                 part = x[strip]
                 d2 = squared_distances(part, stacked)
@@ -104,11 +153,12 @@ def fit_kmeans(
 
     ``tol`` bounds the squared movement of the centres relative to the mean variance of the data.
     """
-    pool = _start_rows(df, id_col, array)
-    models = [KMeansModel(k, seed, _spread_start(pool, k, seed)) for k, seed in specs]
-    limit = tol * float(pool.var(axis=0).mean())
-    data, partitions = _stored_vectors(df, array)
+    specs = list(specs)
+    centred = _centred(df, id_col, array)
+    data, partitions = centred.rows, centred.partitions
+    limit = tol * centred.variance
     try:
+        models = [KMeansModel(k, seed, c) for (k, seed), c in zip(specs, _starts(centred, specs), strict=True)]
         moving = list(models)
         for step in range(1, max_iter + 1):
             still = []
@@ -125,6 +175,7 @@ def fit_kmeans(
                 break
         for model, stats in zip(models, _kmeans_pass(data, partitions, models), strict=True):
             model.cost = float(stats[:, 1].sum())
+            model.centres = model.centres + centred.mean
     finally:
         data.unpersist()
     return models
@@ -137,11 +188,12 @@ def best_kmeans(models: Iterable[KMeansModel]) -> KMeansModel:
 
 def assign_nearest(df: DataFrame, array: str, centres: np.ndarray, out: str = "cluster") -> DataFrame:
     """Index of the nearest centre of every row; the lowest index among equals."""
-    fixed = np.asarray(centres, dtype=np.float64)
+    shift = np.asarray(centres, dtype=np.float64).mean(axis=0)
+    fixed = np.asarray(centres, dtype=np.float64) - shift
 
     @pandas_udf("int")
     def pick(v: pd.Series) -> pd.Series:
-        return pd.Series(squared_distances(matrix(v), fixed).argmin(1).astype(np.int32))
+        return pd.Series(squared_distances(matrix(v) - shift, fixed).argmin(1).astype(np.int32) if len(v) else [], dtype="int32")
 
     return df.withColumn(out, pick(F.col(array).cast("array<double>")))
 
@@ -167,7 +219,9 @@ def nearest_centroid(df: DataFrame, array: str, centres: DataFrame, centre_id: s
 def _log_density(x: np.ndarray, model: MixtureModel) -> np.ndarray:
     """Log of weight times density of every row under every component."""
     precision = 1.0 / model.variances
-    quadratic = (x * x) @ precision.T - 2.0 * x @ (model.means * precision).T + (model.means ** 2 * precision).sum(1)
+    shift = model.means.mean(axis=0)
+    x, means = x - shift, model.means - shift
+    quadratic = (x * x) @ precision.T - 2.0 * x @ (means * precision).T + (means ** 2 * precision).sum(1)
     constant = x.shape[1] * np.log(2 * np.pi) + np.log(model.variances).sum(1)
     return np.log(np.maximum(model.weights, 1e-300)) - 0.5 * (constant + quadratic)
 
@@ -187,7 +241,7 @@ def _mixture_pass(rows: DataFrame, partitions: int, models: Sequence[MixtureMode
 
     def partial(blocks: Iterator[list[np.ndarray]]) -> np.ndarray:
         sums = np.zeros(shape)
-        for (x,) in blocks:
+        for x, _ in blocks:
             for strip in strips(len(x), 64):
                 part = x[strip]
                 for model, a, b in zip(models, offsets[:-1], offsets[1:], strict=True):
@@ -221,12 +275,13 @@ def fit_mixtures(
     changes by less than ``tol``.
     """
     starts = fit_kmeans(df, id_col, array, specs, max_iter=10)
-    data, partitions = _stored_vectors(df, array)
+    centred = _centred(df, id_col, array)
+    data, partitions = centred.rows, centred.partitions
     try:
         d = starts[0].centres.shape[1]
-        spread = max(float(np.mean([m.cost for m in starts])) / max(1, data.count()) / d, floor)
+        spread = max(float(np.mean([m.cost for m in starts])) / max(1, centred.count) / d, floor)
         models = [
-            MixtureModel(m.k, m.seed, np.full(m.k, 1.0 / m.k), m.centres, np.full_like(m.centres, spread))
+            MixtureModel(m.k, m.seed, np.full(m.k, 1.0 / m.k), m.centres - centred.mean, np.full_like(m.centres, spread))
             for m in starts
         ]
         moving = list(models)
@@ -242,6 +297,8 @@ def fit_mixtures(
             moving = still
             if not moving:
                 break
+        for model in models:
+            model.means = model.means + centred.mean
     finally:
         data.unpersist()
     return models
@@ -288,7 +345,9 @@ def silhouette_rows(
         F.col(id_col).alias("_id"), F.col(array).cast("array<double>").alias("_v"),
         *[F.col(c).cast("int").alias(n) for c, n in zip(clusterings, names, strict=True)],
     )
-    blocks = F.lit(max(1, -(-rows.count() // block)))
+    middle = rows.agg(F.count(F.lit(1)).alias("n"), Summarizer.mean(array_to_vector("_v")).alias("mean")).first()
+    blocks = F.lit(max(1, -(-middle["n"] // block)))
+    shift = middle["mean"].toArray() if middle["n"] else np.zeros(0)
     own = F.pmod(F.xxhash64("_id"), blocks).cast("int")
     left = rows.select("*", own.alias("i"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
     right = rows.select("*", own.alias("j"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"))
@@ -297,11 +356,15 @@ def silhouette_rows(
     def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if len(a) == 0 or len(b) == 0:
             return pd.DataFrame({c: [] for c in columns})
-        x, y = matrix(a["_v"]), matrix(b["_v"])
+        x, y = matrix(a["_v"]) - shift, matrix(b["_v"]) - shift
+        p, q = a["_id"].to_numpy(), b["_id"].to_numpy()
         # The clusters of all clusterings side by side, as columns of one membership matrix.
         found = [np.unique(b[n].to_numpy(), return_inverse=True) for n in names]
         member = np.concatenate([np.eye(len(labels))[code] for labels, code in found], axis=1)
-        totals = np.concatenate([np.sqrt(squared_distances(x[r], y)) @ member for r in strips(len(x), len(y))])
+        # A row is at distance 0 from itself, whatever the expanded form leaves.
+        totals = np.concatenate([
+            np.where(p[r, None] == q[None], 0.0, np.sqrt(squared_distances(x[r], y))) @ member for r in strips(len(x), len(y))
+        ])
         which = np.concatenate([np.full(len(labels), i) for i, (labels, _) in enumerate(found)])
         other = np.concatenate([labels for labels, _ in found])
         mine = np.stack([a[n].to_numpy() for n in names], axis=1)[:, which]
@@ -332,23 +395,24 @@ def silhouette_rows(
 def silhouette_squared(df: DataFrame, array: str, cluster: str) -> DataFrame:
     """Mean silhouette with squared Euclidean distances, in one pass after the cluster moments.
 
-    The mean squared distance to a cluster follows from its size, its mean and its mean squared length,
-    so no pair of rows is compared.
+    The mean squared distance to a cluster is the squared distance to its mean plus its variance, so no pair of
+    rows is compared.
     """
     x = F.col(array).cast("array<double>")
-    summary = Summarizer.metrics("count", "mean", "normL2").summary(array_to_vector(x))
+    summary = Summarizer.metrics("count", "mean", "variance").summary(array_to_vector(x))
     rows = df.groupBy(cluster).agg(summary.alias("s")).select(cluster, "s.*").orderBy(cluster).collect()
     code = {r[cluster]: i for i, r in enumerate(rows)}
     size = np.array([float(r["count"]) for r in rows])
     means = np.array([r["mean"].toArray() for r in rows])
-    squares = np.array([float((r["normL2"].toArray() ** 2).sum()) for r in rows]) / size
+    within = np.array([float(r["variance"].toArray().sum()) * (r["count"] - 1) / r["count"] for r in rows])
+    shift = means.mean(axis=0)
 
     @pandas_udf("double")
     def score(v: pd.Series, c: pd.Series) -> pd.Series:
         m = matrix(v)
         own = c.map(code).to_numpy()
         at = np.arange(len(m))
-        mean_d2 = np.maximum((m * m).sum(1)[:, None] + squares[None, :] - 2.0 * m @ means.T, 0.0)
+        mean_d2 = squared_distances(m - shift, means - shift) + within[None, :]
         a = mean_d2[at, own] * size[own] / np.maximum(size[own] - 1, 1)
         mean_d2[at, own] = np.inf
         b = mean_d2.min(1) if len(size) > 1 else np.zeros(len(m))

@@ -6,13 +6,18 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.operators.passes import sums_by_slot
+from tallyloom.plans.ranks import ordered_sum
 from tallyloom.plans.sizing import Summary, summary_join
 
 # Accuracy of the sketch that narrows an exact quantile down.
 ACCURACY = 10_000
+# Partitions to expect when it is decided whether the driver or Spark adds up the matrices of a correlation.
+SLOTS = 1_024
 
 
 def _cell(value, low, high, cells: int):
@@ -55,7 +60,8 @@ def exact_quantiles(df: DataFrame, key: str, value: str, shares: Sequence[float]
 
     A sketch of bounded size brackets each quantile of each key; its rank error is at most 1 / ACCURACY,
     and the bracket allows for three times that. Values below a bracket are only counted. The few inside
-    are grouped by value and ranked, so no key is ever sorted or gathered as a whole.
+    are grouped by value and counted up over ranges of values, so no key is ever sorted or gathered as a whole
+    and no bracket ends up in one task.
     """
     rows = df.select(key, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     margin = 3.0 / ACCURACY
@@ -71,16 +77,15 @@ def exact_quantiles(df: DataFrame, key: str, value: str, shares: Sequence[float]
     )
     within = [(v >= low[i]) & (v <= high[i]) for i in range(len(shares))]
     brackets = F.array(*[F.when(w, F.lit(i)) for i, w in enumerate(within)])
-    up_to = Window.partitionBy(key, "_q").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    inside = (
+    inside = ordered_sum(
         placed.where(reduce(or_, within)).select(key, "_v", F.explode(F.array_compact(brackets)).alias("_q"))
-        .groupBy(key, "_q", "_v").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_last", F.sum("_n").over(up_to))
+        .groupBy(key, "_q", "_v").agg(F.count(F.lit(1)).alias("_n")),
+        [key, "_q"], ["_v"], F.col("_n"), "_before",
     )
     # The interpolated quantile lies between the values of two neighbouring ranks.
     position = (F.col("_rows") - 1) * F.array(*[F.lit(float(s)) for s in shares])[F.col("_q")]
-    last = F.col("_last") + F.col("_below")[F.col("_q")]
-    first = last - F.col("_n")
+    first = F.col("_before") + F.col("_below")[F.col("_q")]
+    last = first + F.col("_n")
 
     def at(rank) -> Column:
         return F.max(F.when((rank >= first) & (rank < last), v))
@@ -131,10 +136,24 @@ def column_spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair of columns in long form, from a single pass."""
     names = list(columns)
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
-    wide = df.agg(*[F.corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
-    entries = [F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.lit(1.0).alias("r")) for c in names]
-    for i, (a, b) in enumerate(pairs):
-        for x, y in ((a, b), (b, a)):
-            entries.append(F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"_{i}").alias("r")))
-    return wide.select(F.inline(F.array(*entries)))
+    d = len(names)
+    # Centred by the means, so that nothing cancels; a missing cell becomes NaN and is left out pair by pair.
+    means = df.agg(*[F.coalesce(F.avg(F.col(c).cast("double")), F.lit(0.0)).alias(f"_{i}") for i, c in enumerate(names)]).first()
+    cells = [F.coalesce(F.col(c).cast("double") - F.lit(means[i]), F.lit(float("nan"))) for i, c in enumerate(names)]
+
+    def sums(blocks):
+        found = np.zeros((4 * d, d))
+        for (x,) in blocks:
+            known = ~np.isnan(x)
+            x, known = np.where(known, x, 0.0), known.astype(np.float64)
+            found += np.concatenate([known.T @ known, x.T @ known, (x * x).T @ known, x.T @ x])
+        return found
+
+    rows = df.select(F.array(*cells).alias("v"))
+    n, first, squares, products = sums_by_slot(rows, sums, (4 * d, d), SLOTS).reshape(4, d, d)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        # first[i, j] sums column i over the rows that have both columns.
+        spread = n * squares - first**2
+        r = (n * products - first * first.T) / np.sqrt(spread * spread.T)
+    lines = [(a, b, 1.0 if i == j else None if np.isnan(r[i, j]) else float(r[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)]
+    return df.sparkSession.createDataFrame(lines, "a string, b string, r double")

@@ -90,9 +90,10 @@ class _Search:
 
 
 def fit_linear_svm(
-    df: DataFrame, array: str, label: str, costs: Sequence[float], max_passes: int = 200, tol: float = 1e-3
+    df: DataFrame, array: str, label: str, costs: Sequence[float], max_passes: int = 2_000, tol: float = 1e-3
 ) -> LinearSvm:
-    """One machine per cost and class. Stops when each gradient has shrunk to ``tol`` of its first length."""
+    """One machine per cost and class. Stops when each gradient has shrunk to ``tol`` of its first length; a machine
+    that has not got there in ``max_passes`` passes raises an error."""
     classes = [r[0] for r in df.select(label).distinct().orderBy(label).collect()]
     code = F.coalesce(F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)), F.lit(0)) - 1
     data = df.select(F.col(array).cast("array<double>").alias("v"), code.cast("double").alias("y")).persist()
@@ -107,6 +108,8 @@ def fit_linear_svm(
             passes += 1
     finally:
         data.unpersist()
+    if moving:
+        raise RuntimeError(f"{len(moving)} of {len(searches)} machines did not converge in {max_passes} passes")
     weights = np.array([s.x for s in searches]).reshape(len(costs), len(classes), d + 1)
     return LinearSvm([float(c) for c in costs], classes, weights, passes)
 
@@ -131,14 +134,15 @@ def _losses(data: DataFrame, partitions: int, points: np.ndarray, targets: np.nd
 
 def predict(df: DataFrame, array: str, fitted: LinearSvm, out: str = "predictions") -> DataFrame:
     """The class with the largest margin under every cost, as an array in the order of the costs."""
-    weights, classes = fitted.weights, np.asarray(fitted.classes)
+    weights, classes = fitted.weights, fitted.classes
 
-    @pandas_udf("array<double>")
+    @pandas_udf("array<int>")
     def choose(v: pd.Series) -> pd.Series:
         x = matrix(v)
         if not len(x):
             return pd.Series([], dtype=object)
         margins = np.einsum("nd,ckd->nck", x, weights[:, :, :-1]) + weights[None, :, :, -1]
-        return pd.Series(list(classes[margins.argmax(2)].astype(np.float64)))
+        return pd.Series(list(margins.argmax(2).astype(np.int32)))
 
-    return df.withColumn(out, choose(F.col(array).cast("array<double>")))
+    named = F.array(*[F.lit(c) for c in classes])
+    return df.withColumn(out, F.transform(choose(F.col(array).cast("array<double>")), lambda i: named[i]))

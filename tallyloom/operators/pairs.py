@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.aggregates import collect_pages
+from tallyloom.plans.durable import written
+from tallyloom.plans.sizing import Summary
 from tallyloom.plans.skew import PARTS, heavy_keys
 
 # Members of one group that a single task pairs up; a larger group is cut into blocks of this size.
@@ -27,10 +29,10 @@ def member_pairs(
     """
     # Filtered here rather than by the join, so that all uses of the members share one shuffle.
     members = df.where(F.col(group).isNotNull() & F.col(member).isNotNull()).select(group, member, *carry).distinct()
-    blocks = heavy_keys(members, [group], block)
+    blocks = Summary(heavy_keys(members, [group], block))
     n = F.coalesce(F.col(PARTS), F.lit(1))
     tagged = (
-        members.join(F.broadcast(blocks), [group], "left")
+        blocks.join_to(members, [group], "left")
         .select(group, member, *carry, n.alias("_n"), F.pmod(F.xxhash64(member), n).cast("int").alias("_own"))
     )
     left = tagged.select(
@@ -58,5 +60,5 @@ def pair_titles(df: DataFrame, group: str, member: str, title: str, page: int =
 
     ``title`` must be determined by ``group``. A title stays repeated when two groups carry it.
     """
-    pairs = member_pairs(df, group, member, [] if title == group else [title])
+    pairs = written(member_pairs(df, group, member, [] if title == group else [title]), "pairs")
     return collect_pages(pairs, ["a", "b"], title, page).withColumn("n", F.size(f"{title}_list").cast("bigint"))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 DIRECT_BYTES = 32 << 20
 
 
-def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """The vector column of each batch as a matrix, followed by the other columns."""
     for batch in batches:
         if batch.num_rows:
@@ -38,7 +38,7 @@ def sums_by_slot(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.ascontiguousarray(partial(_matrices(batches)), dtype=np.float64)
+        sums = np.ascontiguousarray(partial(matrices(batches)), dtype=np.float64)
         offsets = pa.array(np.arange(len(sums) + 1, dtype=np.int32) * sums.shape[1])
         values = pa.ListArray.from_arrays(offsets, pa.array(sums.reshape(-1)))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums), dtype=np.int32)), values], names=["slot", "v"])

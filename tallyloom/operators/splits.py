@@ -42,11 +42,14 @@ def stratified_split(
     gives the last row before the cut. Those few rows are the cut-offs that every row is compared with,
     so no class is sorted or gathered and the result is a plain projection.
     """
-    rows = df.withColumn("_h", stable_hash(seed, F.col(id_col))).withColumn(
-        "_cell", F.floor(F.col("_h") / (2**32 // CELLS)).cast("int")
+    # Rows without a label are a class of their own.
+    named = F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit(""))
+    rows = (
+        df.withColumn("_class", named).withColumn("_h", stable_hash(seed, F.col(id_col)))
+        .withColumn("_cell", F.floor(F.col("_h") / (2**32 // CELLS)).cast("int"))
     )
-    keyed = rows.select(label, "_cell", F.struct(F.col("_h").alias("h"), F.col(id_col).alias("id")).alias("_key"))
-    running = Window.partitionBy(label).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    keyed = rows.select("_class", "_cell", F.struct(F.col("_h").alias("h"), F.col(id_col).alias("id")).alias("_key"))
+    running = Window.partitionBy("_class").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
     quotas = F.array(*[
         F.struct(F.lit(i).alias("i"), F.floor(F.col("_rows") * percent / 100).alias("quota"))
         for i, (_, percent) in enumerate(cuts[:-1])
@@ -54,19 +57,19 @@ def stratified_split(
     start = F.col("_end") - F.col("_n")
     # Per class and cut: the cell that holds the last row before the cut, and that row's rank within it.
     wanted = Summary(
-        keyed.groupBy(label, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+        keyed.groupBy("_class", "_cell").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_end", F.sum("_n").over(running))
-        .withColumn("_rows", F.sum("_n").over(Window.partitionBy(label)))
-        .select(label, "_cell", "_end", start.alias("_start"), F.explode(quotas).alias("q"))
+        .withColumn("_rows", F.sum("_n").over(Window.partitionBy("_class")))
+        .select("_class", "_cell", "_end", start.alias("_start"), F.explode(quotas).alias("q"))
         .where((F.col("q.quota") > F.col("_start")) & (F.col("q.quota") <= F.col("_end")))
-        .select(label, "_cell", F.col("q.i").alias("_cut"), (F.col("q.quota") - F.col("_start")).alias("_rank"))
+        .select("_class", "_cell", F.col("q.i").alias("_cut"), (F.col("q.quota") - F.col("_start")).alias("_rank"))
     )
-    in_cell = Window.partitionBy(label, "_cell").orderBy("_key")
-    ranked = wanted.join_to(keyed, [label, "_cell"], "left_semi", distinct=True).withColumn(
+    in_cell = Window.partitionBy("_class", "_cell").orderBy("_key")
+    ranked = wanted.join_to(keyed, ["_class", "_cell"], "left_semi", distinct=True).withColumn(
         "_rank", F.row_number().over(in_cell).cast("bigint")
     )
     names = [f"_cut{i}" for i in range(len(cuts) - 1)]
-    last_rows = wanted.join_to(ranked, [label, "_cell", "_rank"]).groupBy(label).agg(
+    last_rows = wanted.join_to(ranked, ["_class", "_cell", "_rank"]).groupBy("_class").agg(
         *[F.max(F.when(F.col("_cut") == i, F.col("_key"))).alias(n) for i, n in enumerate(names)]
     )
     key = F.struct(F.col("_h").alias("h"), F.col(id_col).alias("id"))
@@ -74,4 +77,7 @@ def stratified_split(
     for (name, _), cut in reversed(list(zip(cuts, names, strict=False))):
         # A class too small to have a row before the cut has no cut-off.
         part = F.when(F.coalesce(key <= F.col(cut), F.lit(False)), F.lit(name)).otherwise(part)
-    return summary_join(rows, last_rows, [label], "left").withColumn(out, part).drop("_h", "_cell", *names)
+    return (
+        summary_join(rows, last_rows, ["_class"], "left").withColumn(out, part)
+        .drop("_h", "_cell", "_class", *names)
+    )

@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.plans.durable import written
 from tallyloom.plans.skew import spread_join
 
-# Rows a summary (one row per class, bin or column) may have before it stops counting as small.
+# Rows and bytes a summary (one row per class, bin or column) may have before it stops counting as small.
 SMALL_ROWS = 50_000
+SMALL_BYTES = 8 << 20
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -43,9 +45,9 @@ def lookup_join(
 
 
 def settled(summary: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
-    """Evaluate a summary once and return it as a local frame, or None when it exceeds ``max_rows``."""
+    """Evaluate a summary and return it as a local frame, or None when it exceeds ``max_rows`` or SMALL_BYTES."""
     table = summary.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
+    if table.num_rows > max_rows or table.nbytes > SMALL_BYTES:
         return None
     return summary.sparkSession.createDataFrame(table, schema=summary.schema)
 
@@ -53,14 +55,14 @@ def settled(summary: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
 class Summary:
     """A per-key summary that several joins share; it is evaluated once, when made.
 
-    One of at most ``max_rows`` rows is broadcast by every join. A larger one is joined by key with the
-    heavy keys of the other side spread out.
+    One of at most ``max_rows`` rows is broadcast by every join. A larger one is stored, so that no join
+    evaluates it again, and joined by key with the heavy keys of the other side spread out.
     """
 
     def __init__(self, summary: DataFrame, max_rows: int = SMALL_ROWS):
         local = settled(summary, max_rows)
         self.small = local is not None
-        self.frame = local if local is not None else summary
+        self.frame = local if local is not None else written(summary, "summary")
 
     def join_to(self, rows: DataFrame, on: Sequence[str], how: str = "inner", distinct: bool = False) -> DataFrame:
         """Join ``rows`` to the summary, or with ``distinct`` to its distinct keys."""

@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is heavy from this many rows on; a heavy key gets one salt per HEAVY_ROWS rows.
+# A key is heavy from this many rows on; a heavy key gets one salt per HEAVY_ROWS rows. All heavy keys are
+# spread; there are at most rows / HEAVY_ROWS of them, some hundred thousand for 10^11 rows.
 HEAVY_ROWS = 1_000_000
-# At most this many keys are treated as heavy. The largest key left out holds under 1/1000 of all rows,
-# so it needs no spreading, and the table of heavy keys stays small enough to broadcast.
-MOST_KEYS = 1_000
 
 SALT = "_salt"
 PARTS = "_parts"
@@ -24,28 +22,32 @@ def heavy_keys(df: DataFrame, on: Sequence[str], heavy_rows: int = HEAVY_ROWS) -
         df.groupBy(*on)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(n >= heavy_rows)
-        .orderBy(n.desc(), *on)
-        .limit(MOST_KEYS)
         .select(*on, F.ceil(n / heavy_rows).cast("int").alias(PARTS))
     )
 
 
+def _with_parts(df: DataFrame, heavy: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Attach the number of parts of a row's key, null for ordinary keys; a null key may be heavy as well."""
+    named = heavy.select(*[F.col(c).alias(f"_heavy{i}") for i, c in enumerate(on)], PARTS)
+    same = F.lit(True)
+    for i, c in enumerate(on):
+        same = same & F.col(c).eqNullSafe(F.col(f"_heavy{i}"))
+    return df.join(F.broadcast(named), same, "left").drop(*[f"_heavy{i}" for i in range(len(on))])
+
+
 def salted(df: DataFrame, heavy: DataFrame, on: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Add the salt of each row: a stable hash of ``by`` for heavy keys, 0 for all others.
 
     The salt depends only on the row, so a recomputed task puts every row where it was before.
     """
     parts = F.coalesce(F.col(PARTS), F.lit(1))
-    return (
-        df.join(F.broadcast(heavy), list(on), "left")
-        .withColumn(SALT, F.pmod(F.xxhash64(*by), parts).cast("int"))
-    )
+    return _with_parts(df, heavy, on).withColumn(SALT, F.pmod(F.xxhash64(*by), parts).cast("int"))
 
 
 def replicated(df: DataFrame, heavy: DataFrame, on: Sequence[str]) -> DataFrame:
     """Repeat the rows of heavy keys once per salt; all other rows appear once, with salt 0."""
     return (
-        df.join(F.broadcast(heavy), list(on), "left")
+        _with_parts(df, heavy, on)
         .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(PARTS), F.lit(1)) - 1)))
         .drop(PARTS)
     )

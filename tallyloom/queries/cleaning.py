@@ -51,7 +51,9 @@ def list_cells(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", cell.alias("cell"))
 
 
-@query(f"WITH {LIST_SQL} SELECT p_partkey, array_to_string(items, ', ') AS names FROM items")
+@query(f"""WITH {LIST_SQL}, bare AS (
+  SELECT p_partkey, trim(replace(replace(replace(cell, '|', ''), 'Stars:', ''), '\'\'', '')) AS b FROM cells)
+SELECT p_partkey, array_to_string(list_transform(string_split(b, ','), lambda x: ltrim(x)), ', ') AS names FROM bare""")
 def clean_list(t: Tables) -> DataFrame:
     return list_cells(t).select("p_partkey", tx.tidy_list(F.col("cell")).alias("names"))
 
@@ -62,25 +64,28 @@ def clean_list_distinct(t: Tables) -> DataFrame:
     return list_cells(t).select("p_partkey", tx.tidy_list_distinct(F.col("cell")).alias("names"))
 
 
-YEAR_CASES_SQL = """CASE o_orderkey % 5
+YEAR_CASES_SQL = """CASE o_orderkey % 6
     WHEN 0 THEN '(' || y || ')' WHEN 1 THEN '[I] ' || y WHEN 2 THEN y || '–'
-    WHEN 3 THEN translate(y, '0123456789', '０１２３４５６７８９') ELSE ' <> ' END"""
+    WHEN 3 THEN translate(y, '0123456789', '０１２３４５６７８９')
+    WHEN 4 THEN '(' || y || ' -' || y || ')' ELSE ' <> ' END"""
 
 
 @query(f"""WITH raw AS (SELECT o_orderkey, {YEAR_CASES_SQL} AS year_text
   FROM (SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders)),
 bare AS (SELECT o_orderkey, trim(regexp_replace(translate(year_text, '０１２３４５６７８９', '0123456789'), '[()\\[\\]{{}}<>]', '', 'g')) AS b
   FROM raw),
-clean AS (SELECT o_orderkey, CASE WHEN contains(b, '–') THEN b ELSE regexp_replace(b, '[^0-9]', '', 'g') END AS y FROM bare)
-SELECT o_orderkey, CASE WHEN y = '' THEN 'Unknown' ELSE y END AS year, contains(y, '–') AS is_range FROM clean""")
+clean AS (SELECT o_orderkey, contains(b, '–') OR contains(b, '-') AS spans, b FROM bare)
+SELECT o_orderkey, CASE WHEN spans THEN b ELSE coalesce(nullif(regexp_replace(b, '[^0-9]', '', 'g'), ''), 'Unknown') END AS year,
+  spans AS is_range FROM clean""")
 def year_normalise(t: Tables) -> DataFrame:
     y = F.year("o_orderdate").cast("string")
-    case = F.col("o_orderkey") % 5
+    case = F.col("o_orderkey") % 6
     messy = (
         F.when(case == 0, F.concat(F.lit("("), y, F.lit(")")))
         .when(case == 1, F.concat(F.lit("[I] "), y))
         .when(case == 2, F.concat(y, F.lit(tx.EN_DASH)))
         .when(case == 3, F.translate(y, "0123456789", FULL_WIDTH))
+        .when(case == 4, F.concat(F.lit("("), y, F.lit(" -"), y, F.lit(")")))
         .otherwise(F.lit(" <> "))
     )
     cleaned = t.orders.select("o_orderkey", tx.tidy_year(messy).alias("year"))

@@ -65,76 +65,90 @@ def kmeans_elbow_reduced(t: Tables) -> DataFrame:
     return with_elbow(cost_curve(reduced(t))[0])
 
 
-def _final_kmeans(rows: DataFrame, k: int) -> DataFrame:
-    models = clustering.fit_kmeans(rows, "vec_id", "embedding", [(k, s) for s in range(SEEDS)])
-    return clustering.assign_nearest(rows, "embedding", clustering.best_kmeans(models).centres)
+def _final_kmeans(rows: DataFrame) -> DataFrame:
+    """Clusters of the best model at the elbow of the cost curve (the last k if it has none)."""
+    curve, best = cost_curve(rows)
+    elbow = with_elbow(curve).where("is_elbow").first()
+    return clustering.assign_nearest(rows, "embedding", best[elbow["k"] if elbow else max(K_RANGE)].centres)
+
+
+def _agreement(assigned: DataFrame) -> DataFrame:
+    """Adjusted Rand index with the classes, and the silhouette by squared distances, whose cost is linear."""
+    rand = evaluation.adjusted_rand(assigned, "label", "cluster")
+    return rand.withColumn("silhouette", clustering.silhouette_squared(assigned, "embedding", "cluster").scalar())
 
 
 @query()
 def kmeans_assign(t: Tables) -> DataFrame:
-    return _final_kmeans(vectors(t), 5).select("vec_id", "label", "cluster")
+    return _final_kmeans(vectors(t)).select("vec_id", "label", "cluster")
 
 
 @query()
 def kmeans_scores(t: Tables) -> DataFrame:
     """Agreement with the classes and silhouette of the final K-Means."""
-    assigned = _final_kmeans(vectors(t), 5)
-    rand = evaluation.adjusted_rand(assigned, "label", "cluster")
-    silhouettes = clustering.silhouette_rows(assigned, "vec_id", "embedding", ["cluster"])
-    return rand.withColumn("silhouette", silhouettes.agg(F.avg("silhouette_cluster")).scalar())
+    return _agreement(_final_kmeans(vectors(t)))
 
 
-def mixture_sweep(rows: DataFrame) -> DataFrame:
-    """Likelihood and silhouette of the best of five restarts for every k; the largest silhouette is marked.
+@query()
+def kmeans_scores_reduced(t: Tables) -> DataFrame:
+    """As kmeans_scores, on the components that hold 80 % of the variance."""
+    return _agreement(_final_kmeans(reduced(t)))
+
 
-    The clusterings of all k are compared in one pass over the pairs of blocks.
-    """
+def _mixtures(rows: DataFrame) -> dict[int, clustering.MixtureModel]:
+    """The best of five restarts for every k."""
     models = clustering.fit_mixtures(rows, "vec_id", "embedding", [(k, s) for k in MIXTURE_RANGE for s in range(5)])
-    best = {k: clustering.best_mixture(m for m in models if m.k == k) for k in MIXTURE_RANGE}
-    assigned = rows
+    return {k: clustering.best_mixture(m for m in models if m.k == k) for k in MIXTURE_RANGE}
+
+
+def mixture_sweep(rows: DataFrame, best: dict[int, clustering.MixtureModel]) -> DataFrame:
+    """Likelihood and silhouette (by squared distances) for every k; the largest silhouette is marked."""
+    lines = []
     for k, model in best.items():
-        scored = clustering.mixture_responsibilities(assigned, "embedding", model)
-        assigned = scored.drop("responsibility").withColumnRenamed("cluster", f"k{k}")
-    silhouettes = clustering.silhouette_rows(assigned, "vec_id", "embedding", [f"k{k}" for k in best])
-    lines = F.array(*[
-        F.struct(
-            F.lit(k).alias("k"), F.lit(m.score).alias("log_likelihood"), F.lit(m.iterations).alias("iterations"),
-            F.col(f"s{k}").alias("silhouette"), (F.col(f"s{k}") == F.col("top")).alias("is_best"),
-        )
-        for k, m in best.items()
-    ])
-    means = silhouettes.agg(*[F.avg(f"silhouette_k{k}").alias(f"s{k}") for k in best])
-    return means.withColumn("top", F.greatest(*[f"s{k}" for k in best])).select(F.inline(lines))
+        assigned = clustering.mixture_responsibilities(rows, "embedding", model)
+        score = clustering.silhouette_squared(assigned, "embedding", "cluster").first()[0]
+        lines.append((k, float(model.score), model.iterations, float(score)))
+    top = max(lines, key=lambda x: (x[3], -x[0]))
+    return rows.sparkSession.createDataFrame(
+        [(*x, x[0] == top[0]) for x in lines], "k int, log_likelihood double, iterations int, silhouette double, is_best boolean"
+    )
 
 
 @query()
 def gmm_diag(t: Tables) -> DataFrame:
-    return mixture_sweep(vectors(t))
+    rows = vectors(t)
+    return mixture_sweep(rows, _mixtures(rows))
 
 
 @query()
 def gmm_diag_reduced(t: Tables) -> DataFrame:
-    return mixture_sweep(reduced(t))
+    rows = reduced(t)
+    return mixture_sweep(rows, _mixtures(rows))
 
 
-def _mixture(t: Tables) -> DataFrame:
-    rows = vectors(t)
-    models = clustering.fit_mixtures(rows, "vec_id", "embedding", [(2, s) for s in range(5)])
-    return clustering.mixture_responsibilities(rows, "embedding", clustering.best_mixture(models))
+def _final_mixture(rows: DataFrame) -> DataFrame:
+    """Responsibilities and clusters under the mixture whose k has the largest silhouette."""
+    best = _mixtures(rows)
+    k = mixture_sweep(rows, best).where("is_best").first()["k"]
+    return clustering.mixture_responsibilities(rows, "embedding", best[k])
 
 
 @query()
 def gmm_assign(t: Tables) -> DataFrame:
-    return _mixture(t).select("vec_id", "label", "cluster", F.array_max("responsibility").alias("probability"))
+    scored = _final_mixture(vectors(t))
+    return scored.select("vec_id", "label", "cluster", F.array_max("responsibility").alias("probability"))
 
 
 @query()
 def gmm_scores(t: Tables) -> DataFrame:
     """Agreement with the classes and silhouette of the final mixture."""
-    assigned = _mixture(t)
-    rand = evaluation.adjusted_rand(assigned, "label", "cluster")
-    silhouettes = clustering.silhouette_rows(assigned, "vec_id", "embedding", ["cluster"])
-    return rand.withColumn("silhouette", silhouettes.agg(F.avg("silhouette_cluster")).scalar())
+    return _agreement(_final_mixture(vectors(t)))
+
+
+@query()
+def gmm_scores_reduced(t: Tables) -> DataFrame:
+    """As gmm_scores, on the components that hold 80 % of the variance."""
+    return _agreement(_final_mixture(reduced(t)))
 
 
 @query(f"""WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),

@@ -40,10 +40,69 @@ def rf_report(t: Tables) -> DataFrame:
     return evaluation.classification_report(scored.withColumn("guess", F.col("prediction").cast("int")), "label", "guess")
 
 
+def _best_k(train: DataFrame, check: DataFrame, ks: range = range(1, 16)) -> int:
+    """The number of neighbours that does best on the validation part."""
+    found = neighbours.nearest(check, train, "vec_id", "embedding", "label", max(ks))
+    voted = neighbours.vote(found, "vec_id", "label", ks)
+    actual = check.select("vec_id", F.col("label").alias("actual"))
+    sweep = evaluation.accuracy(voted.join(actual, "vec_id"), "actual", "predicted", ["k"])
+    return evaluation.best_config(sweep, "accuracy", ["k"]).first()["k"]
+
+
+def _voted(train: DataFrame, test: DataFrame, k: int) -> DataFrame:
+    """Test rows with the vote of their k nearest neighbours."""
+    found = neighbours.nearest(test, train, "vec_id", "embedding", "label", k)
+    return neighbours.vote(found, "vec_id", "label", [k]).join(test.select("vec_id", "label"), "vec_id")
+
+
+@query()
+def knn_report(t: Tables) -> DataFrame:
+    """Per-class report on the test part of the neighbour vote with the best k."""
+    train, check, test = _parts(t, "train", "validation", "test")
+    return evaluation.classification_report(_voted(train, test, _best_k(train, check)), "label", "predicted")
+
+
+COSTS = [0.01, 0.1, 1, 10, 100]
+
+
+def _best_svm(train: DataFrame, check: DataFrame) -> linear.LinearSvm:
+    """The machine whose cost does best on the validation part."""
+    sweep = classifiers.svm_sweep(train, check, "embedding", "label", COSTS)
+    c = evaluation.best_config(sweep, "accuracy", ["c"]).first()["c"]
+    return linear.fit_linear_svm(train, "embedding", "label", [c])
+
+
+@query()
+def svm_report(t: Tables) -> DataFrame:
+    """Per-class report on the test part of the linear machine with the best cost."""
+    train, check, test = _parts(t, "train", "validation", "test")
+    guessed = linear.predict(test, "embedding", _best_svm(train, check)).withColumn("guess", F.col("predictions")[0])
+    return evaluation.classification_report(guessed, "label", "guess")
+
+
+@query()
+def best_models_on_test(t: Tables) -> DataFrame:
+    """Test accuracy of the best neighbour vote, forest and linear machine, each chosen on the validation part."""
+    train, check, test = _parts(t, "train", "validation", "test")
+    specs = [ForestSpec(n, d) for n in (50, 100, 150) for d in (10, 20, None)]
+    grid = classifiers.forest_grid(train, check, "label", specs)
+    best = specs[evaluation.best_config(grid, "accuracy", ["position"]).first()["position"]]
+    forest = best.estimator("label").fit(train).transform(test)
+    k, machine = _best_k(train, check), _best_svm(train, check)
+    guessed = linear.predict(test, "embedding", machine).withColumn("guess", F.col("predictions")[0])
+    lines = [
+        ("knn", f"k={k}", evaluation.accuracy(_voted(train, test, k), "label", "predicted").first()[0]),
+        ("forest", f"trees={best.trees} depth={best.depth}", classifiers.score_of(forest, "label")),
+        ("svm", f"c={machine.costs[0]:g}", evaluation.accuracy(guessed, "label", "guess").first()[0]),
+    ]
+    rows = [(m, p, float(a)) for m, p, a in lines]
+    return t.embeddings.sparkSession.createDataFrame(rows, "model string, parameters string, accuracy double")
+
+
 @query()
 def svm_c_sweep(t: Tables) -> DataFrame:
     train, check = _parts(t, "train", "validation")
-    return classifiers.svm_sweep(train, check, "embedding", "label", [0.01, 0.1, 1, 10, 100])
+    return classifiers.svm_sweep(train, check, "embedding", "label", COSTS)
 
 
 @query()
@@ -132,7 +191,7 @@ def _binary(t: Tables) -> DataFrame:
 
 def _binary_forest(t: Tables):
     train = _binary(t).where(F.col("part") == "train")
-    return ForestSpec(100, 10).estimator("label").fit(features.as_vectors(train, "embedding"))
+    return ForestSpec(100).estimator("label").fit(features.as_vectors(train, "embedding"))
 
 
 @query()
@@ -151,7 +210,7 @@ def select_by_importance(t: Tables) -> DataFrame:
 def reduced_vs_full(t: Tables) -> DataFrame:
     rows = _binary(t)
     return classifiers.full_against_reduced(
-        rows.where(F.col("part") == "train"), rows.where(F.col("part") == "test"), "embedding", "label", ForestSpec(100, 10)
+        rows.where(F.col("part") == "train"), rows.where(F.col("part") == "test"), "embedding", "label", ForestSpec(100)
     )
 
 
@@ -184,11 +243,12 @@ def pca_loading_drop(t: Tables) -> DataFrame:
 
 @query()
 def pca_outliers(t: Tables) -> DataFrame:
-    """Accuracy, precision and recall of distance outliers against the flag of the matching label row."""
-    flags = t.labels.select(F.col("doc_id").alias("vec_id"), (F.col("toxic") == 1).alias("is_outlier"))
-    rows = vectors(t).join(flags, "vec_id")
+    """Accuracy, precision and recall of distance outliers against far points put among the vectors."""
+    far = F.pmod(F.xxhash64("vec_id"), F.lit(20)) == 0
+    moved = F.transform("embedding", lambda x: F.when(F.col("is_outlier"), x * 8).otherwise(x))
+    rows = vectors(t).withColumn("is_outlier", far).withColumn("embedding", moved)
     train = splits.hashed_part("vec_id", [("train", 0.8), ("test", 1.0)]) == "train"
-    marked = components.distance_outliers(rows, "embedding", train, top=20)
+    marked = components.distance_outliers(rows, "embedding", train, top=100)
     return evaluation.binary_scores(marked, F.col("is_outlier"), F.col("outlier"))
 
 

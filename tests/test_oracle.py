@@ -11,6 +11,7 @@ from tests.oracle import difference
 LARGE = [
     "price_drift", "orders_only_match", "customers_in_tvf", "customers_all_match", "country_store_ratio", "yoy_customers",
     "orders_by_weekday", "hidden_gems", "pair_cooccurrence", "split_stratified", "split_two_way", "box_stats", "cum_drop",
+    "pair_titles",
 ]
 
 
