@@ -17,6 +17,13 @@ SETTINGS = {
 }
 
 
+def use_settings(spark: SparkSession) -> None:
+    """Apply the settings for re-planning at run time to a session that a cluster has made."""
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql.adaptive.") and not key.endswith("advisoryPartitionSizeInBytes"):
+            spark.conf.set(key, value)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", **extra: str) -> SparkSession:
     """A single-machine session for tests and benchmarks; a cluster brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("tallyloom")
