@@ -47,6 +47,11 @@ def present(col: Column) -> Column:
     return F.coalesce(F.length(F.trim(col)) > 0, F.lit(False))
 
 
+def field_count(col: Column, separator: str = ",") -> Column:
+    """Number of fields of a separated line, empty ones included."""
+    return F.size(F.split(col, separator, -1))
+
+
 def without(col: Column, noise: Sequence[str] = LIST_NOISE) -> Column:
     """Remove each literal text in ``noise``."""
     for text in noise:

@@ -181,6 +181,21 @@ def fit_kmeans(
     return models
 
 
+def lloyd(df: DataFrame, id_col: str, array: str, centres: np.ndarray, steps: int) -> list[tuple[int, int, float]]:
+    """(cluster, rows, cost) of the last of ``steps`` assignments, each but the first to the means of the one before."""
+    centred = _centred(df, id_col, array)
+    model = KMeansModel(len(centres), 0, np.asarray(centres, dtype=np.float64) - centred.mean)
+    try:
+        for step in range(steps):
+            if step:
+                filled = stats[:, :1] > 0
+                model.centres = np.where(filled, stats[:, 2:] / np.maximum(stats[:, :1], 1.0), model.centres)
+            (stats,) = _kmeans_pass(centred.rows, centred.partitions, [model])
+    finally:
+        centred.rows.unpersist()
+    return [(i, int(s[0]), float(s[1])) for i, s in enumerate(stats)]
+
+
 def best_kmeans(models: Iterable[KMeansModel]) -> KMeansModel:
     """Lowest cost; the earliest restart among equals."""
     return min(models, key=lambda m: (m.cost, m.seed))

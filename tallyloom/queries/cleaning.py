@@ -18,14 +18,19 @@ FULL_WIDTH = "０１２３４５６７８９"
 
 @query("""SELECT p_partkey, name, brand FROM (
   SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN '  ' ELSE p_name END AS name,
-         CASE WHEN p_size % 11 = 0 THEN NULL ELSE p_brand END AS brand FROM part)
-WHERE length(trim(name)) > 0 AND length(trim(brand)) > 0""")
+         CASE WHEN p_size % 11 = 0 THEN NULL ELSE p_brand END AS brand, p_size % 13 <> 0 AND p_size % 17 <> 0 AS whole FROM part)
+WHERE length(trim(name)) > 0 AND length(trim(brand)) > 0 AND whole""")
 def clean_required(t: Tables) -> DataFrame:
+    # Some lines have a field too many, some one too few.
+    line = F.concat_ws(
+        ",", F.col("p_partkey").cast("string"), "p_type", F.when(F.col("p_size") % 13 == 0, F.lit("")),
+        F.when(F.col("p_size") % 17 != 0, F.col("p_container") if "p_container" in t.part.columns else F.lit("x")),
+    )
     messy = t.part.select(
-        "p_partkey",
+        "p_partkey", line.alias("line"),
         F.when(F.col("p_size") % 7 == 0, F.lit("  ")).otherwise(F.col("p_name")).alias("name"),
         F.when(F.col("p_size") % 11 != 0, F.col("p_brand")).alias("brand"),
-    )
+    ).where(tx.field_count(F.col("line")) == 3).drop("line")
     return messy.where(tx.present(F.col("name")) & tx.present(F.col("brand")))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +66,27 @@ def kmeans_elbow_reduced(t: Tables) -> DataFrame:
     return with_elbow(cost_curve(reduced(t))[0])
 
 
+def _lloyd_sql(steps: int) -> str:
+    """Assignments and means in turns; the first centres are the vectors with the three smallest ids."""
+    parts = ["""x AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), d AS (SELECT unnest(range(1, 65)) AS i),
+c0 AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cluster, v AS c FROM x ORDER BY vec_id LIMIT 3)"""]
+    for s in range(steps):
+        parts.append(f"""a{s} AS (SELECT vec_id, any_value(v) AS v, arg_min(cluster, (e, cluster)) AS cluster, min(e) AS e FROM (
+  SELECT vec_id, v, cluster, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS e FROM x, c{s}) GROUP BY vec_id)""")
+        parts.append(f"""c{s + 1} AS (SELECT cluster, list(m ORDER BY i) AS c FROM (
+  SELECT cluster, i, avg(v[i]) AS m FROM a{s}, d GROUP BY 1, 2) GROUP BY cluster)""")
+    return f"WITH {', '.join(parts)} SELECT cluster, count(*) AS n, round(sum(e), 5) AS cost FROM a{steps - 1} GROUP BY cluster"
+
+
+@query(_lloyd_sql(4))
+def kmeans_lloyd(t: Tables) -> DataFrame:
+    """Four steps of K-Means from stated centres, as the fits take them."""
+    rows = vectors(t)
+    starts = np.array([r.embedding for r in rows.orderBy("vec_id").limit(3).select("embedding").collect()])
+    lines = clustering.lloyd(rows, "vec_id", "embedding", starts, 4)
+    return rows.sparkSession.createDataFrame([(i, n, round(c, 5)) for i, n, c in lines if n], "cluster int, n long, cost double")
+
+
 def _final_kmeans(rows: DataFrame) -> DataFrame:
     """Clusters of the best model at the elbow of the cost curve (the last k if it has none)."""
     curve, best = cost_curve(rows)

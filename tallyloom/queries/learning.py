@@ -9,7 +9,7 @@ from tallyloom.operators import classifiers, components, evaluation, features, l
 from tallyloom.operators.classifiers import ForestSpec
 from tallyloom.plans.durable import written
 from tallyloom.queries.registry import query
-from tallyloom.queries.vectors import CUTS_TWO, stored_split, vectors
+from tallyloom.queries.vectors import CUTS_TWO, PARTS_SQL, stored_split, vectors
 from tallyloom.sources.readers import Tables
 
 
@@ -125,10 +125,24 @@ def knn_folds(rows: DataFrame, array: str, ks: list[int], weights: list[str], fo
     return per_fold.groupBy("k", "weights").agg(F.avg("accuracy").alias("accuracy"))
 
 
-@query()
+@query(f"""WITH {PARTS_SQL},
+folded AS (SELECT vec_id, label, v, CAST(('0x' || substr(md5('fold-' || vec_id || '-42'), 1, 8)) AS BIGINT) % 3 AS fold
+  FROM parts WHERE part = 'train'),
+dist AS (SELECT q.vec_id, q.fold, q.label AS actual, b.label AS label, b.vec_id AS neighbour,
+  round(sqrt(list_sum(list_transform(list_zip(q.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))), 9) AS d
+  FROM folded q JOIN folded b ON q.fold <> b.fold),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, neighbour) AS rank FROM dist),
+ks AS (SELECT unnest([3, 5, 7]) AS k), ws AS (SELECT unnest(['uniform', 'distance']) AS weights),
+votes AS (SELECT vec_id, fold, actual, k, weights, label, count(CASE WHEN d = 0 AND weights = 'distance' THEN 1 END) AS hits,
+  round(sum(CASE WHEN weights = 'uniform' THEN 1.0::DOUBLE WHEN d > 0 THEN 1 / d ELSE 0 END), 6) AS w
+  FROM ranked, ks, ws WHERE rank <= k GROUP BY 1, 2, 3, 4, 5, 6),
+best AS (SELECT vec_id, fold, actual, k, weights, arg_max(label, (hits, w, -label)) AS predicted FROM votes GROUP BY 1, 2, 3, 4, 5),
+folds AS (SELECT k, weights, fold, avg(CASE WHEN predicted = actual THEN 1.0::DOUBLE ELSE 0 END) AS a FROM best GROUP BY 1, 2, 3)
+SELECT CAST(k AS INTEGER) AS k, weights, round(avg(a), 6) AS accuracy FROM folds GROUP BY k, weights""")
 def knn_cv_grid(t: Tables) -> DataFrame:
     rows = stored_split(t).where(F.col("part") == "train").drop("part")
-    return knn_folds(rows, "embedding", [3, 5, 7], ["uniform", "distance"])
+    grid = knn_folds(rows, "embedding", [3, 5, 7], ["uniform", "distance"])
+    return grid.withColumn("accuracy", F.round("accuracy", 6))
 
 
 def _data_variants(rows: DataFrame) -> dict[str, DataFrame]:
