@@ -151,7 +151,8 @@ def write_token_files(docs: DataFrame, path: str, spec: TokenFiles) -> None:
     spark.createDataFrame([(bytearray(dictionary),)], "value binary").select(
         F.col("value").cast("string")
     ).coalesce(1).write.text(f"{path}/dictionary")
-    frames = docs.mapInArrow(_frames(spec, dictionary), "doc_id long, n_tokens long, frame binary")
+    # Stored, since range partitioning reads its input twice and must not encode everything twice.
+    frames = written(docs.mapInArrow(_frames(spec, dictionary), "doc_id long, n_tokens long, frame binary"), "frames")
     ordered = (
         frames.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
         .select(F.spark_partition_id().cast("long").alias("part"), "doc_id", "n_tokens", "frame")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterable
 from functools import cache
 
@@ -11,8 +12,12 @@ from functools import cache
 CHUNKS_KEPT = 250_000
 LONGEST_KEPT = 64
 
-# A word of lower-case Latin-1 letters and the punctuation behind it.
-_PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,!?;:]*)")
+# Chunks of Latin-1 letters, digits and ASCII signs other than the apostrophe, and how they fall into words: runs
+# of letters, single digits, runs of signs. Fixed values that must agree with the vocabulary's own splitting.
+_PLAIN = re.compile("[a-z0-9ß-öø-ÿ!-&(-/:-@\\[-`{-~]+")
+_PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+# Letters whose lower case does not depend on what stands around them.
+_LATIN = re.compile("[\u0021-\u012f\u0131-\u024f]+")
 
 
 @cache
@@ -27,8 +32,8 @@ class WordPieces(dict):
     """Maps a chunk between white space to its ids (little-endian unsigned 32-bit), for a word-level vocabulary.
 
     Holds for a tokenizer that lower-cases, drops white space and never merges across it, so a text's ids
-    are those of its chunks one after another. Chunks seen before cost a dictionary look-up. A plain word
-    with its punctuation goes straight to the library's merges, any other chunk through the whole library.
+    are those of its chunks one after another. Chunks seen before cost a dictionary look-up. A chunk of
+    plain letters, digits and signs goes straight to the library's merges, any other through the whole library.
     """
 
     def __init__(self, path: str):
@@ -37,20 +42,25 @@ class WordPieces(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
         self.older: dict[bytes, bytes] = {}
 
-    def _pieces(self, part: str) -> list[int]:
-        letters = _byte_letters()
-        return [t.id for t in self.tokenizer.model.tokenize("".join(letters[b] for b in part.encode()))]
-
     def _encode(self, chunk: bytes) -> bytes:
+        if chunk.isalpha():
+            return self._packed(chunk.lower().decode())
+        word = chunk.rstrip(b".,!?;:")
+        if word.isalpha():
+            return self[word] + self[chunk[len(word) :]]
         text = chunk.decode("utf-8", "replace")
-        plain = _PLAIN.fullmatch(text)
-        if plain:
-            ids = [i for part in plain.groups() if part for i in self._pieces(part)]
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        low = text.lower() if _LATIN.fullmatch(text) else text
+        if _PLAIN.fullmatch(low) and "<|" not in text:
+            letters = _byte_letters()
+            parts = [p if p.isascii() else "".join([letters[b] for b in p.encode()]) for p in _PARTS.findall(low)]
+            return b"".join(map(self._packed, parts))
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _packed(self, part: str) -> bytes:
+        return array("I", [t.id for t in self.merges.tokenize(part)]).tobytes()
 
     def __missing__(self, chunk: bytes) -> bytes:
         value = self.older.get(chunk)
