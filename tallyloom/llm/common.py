@@ -115,24 +115,3 @@ def ranked(df: DataFrame, key: str, order: str, name: str, slices: int) -> DataF
         .withColumn(name, F.col("_base") + F.col("_rank"))
         .drop("_slice", "_rank", "_base")
     )
-
-
-def ordered_rank(df: DataFrame, key: str, order: str, name: str) -> DataFrame:
-    """Add ``name``: the row's position, from 0, among the rows of its ``key`` by ``order``.
-
-    Rows are range-partitioned by (key, order), so a key with very many rows spans several partitions; counts
-    per key and partition give each partition its first position.
-    """
-    cut = written(
-        df.repartitionByRange(key, order).withColumn("_part", F.spark_partition_id()), "ranges"
-    )
-    counts = cut.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_count"))
-    before = W.Window.partitionBy(key).orderBy("_part").rowsBetween(W.Window.unboundedPreceding, -1)
-    bases = counts.select(key, "_part", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_base"))
-    inside = W.Window.partitionBy(key, "_part").orderBy(order)
-    return (
-        cut.withColumn("_rank", F.row_number().over(inside) - 1)
-        .join(bases, [key, "_part"])
-        .withColumn(name, F.col("_base") + F.col("_rank"))
-        .drop("_part", "_rank", "_base")
-    )

@@ -42,6 +42,7 @@ class LineDuplicates:
             partial(char_shingles, size=self.size),
             partial(char_minhash, length=self.bands * self.rows),
             self.percent,
+            self.rows,
             max(0.0, self.percent / 100 - 0.35),
         )
 
@@ -178,13 +179,13 @@ def without_duplicate_lines(docs: DataFrame, spec: LineDuplicates | None = None)
     A document keeps its text unchanged if nothing is cut; a text of which nothing is left is empty. Null texts
     and rows without doc_id stay as they are.
     """
-    cuts = written(duplicate_lines(docs, spec).select(F.col("doc_id").alias("_doc"), "lines"), "line-cuts")
-    joined = docs.join(bounded_broadcast(cuts, F.size("lines")), docs["doc_id"].cast("long") == F.col("_doc"), "left")
+    cuts = written(duplicate_lines(docs, spec).select(F.col("doc_id").alias("_doc"), F.col("lines").alias("_lost")), "line-cuts")
+    joined = docs.join(bounded_broadcast(cuts, F.size("_lost")), docs["doc_id"].cast("long") == F.col("_doc"), "left")
     parts = F.split("text", "\n", -1)
-    left = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains(F.col("lines"), i)), "\n")
+    left = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains(F.col("_lost"), i)), "\n")
     return (
         joined.withColumn("_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long"))
-        .withColumn("_cut", F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long"))
-        .withColumn("text", F.when(F.col("lines").isNull(), F.col("text")).otherwise(left))
-        .drop("_doc", "lines")
+        .withColumn("_cut", F.when(F.col("_lost").isNull(), 0).otherwise(F.size("_lost")).cast("long"))
+        .withColumn("text", F.when(F.col("_lost").isNull(), F.col("text")).otherwise(left))
+        .drop("_doc", "_lost")
     )

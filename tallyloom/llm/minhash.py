@@ -35,6 +35,7 @@ class NearDuplicates:
             partial(word_shingles, size=self.words),
             partial(circulant_minhash, length=self.bands * self.rows),
             self.percent,
+            self.rows,
             max(0.0, self.percent / 100 - 0.25),
         )
 

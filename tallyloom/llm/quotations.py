@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import ordered_rank
 from tallyloom.plans.durable import written
+from tallyloom.plans.ranks import ordered_rank
 
 # Lines of fewer normalised characters link nothing by themselves.
 LEAST_LINE = 24
@@ -102,7 +102,7 @@ def reply_threads(messages: DataFrame) -> DataFrame:
         state = written(moved.select(
             "msg_id", F.coalesce("next", "up").alias("up"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")
         ), "ancestors")
-    placed = ordered_rank(state.select("msg_id", F.col("up").alias("thread_id"), F.col("steps").alias("depth")), "thread_id", "msg_id", "position")
+    placed = ordered_rank(state.select("msg_id", F.col("up").alias("thread_id"), F.col("steps").alias("depth")), ["thread_id"], ["msg_id"], "position")
 
     own = runs.groupBy("msg_id").agg(
         F.array_sort(F.collect_list(F.when(F.col("level") == 0, F.struct("first", "lines")))).alias("own"),

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import bounded_broadcast, components
+from tallyloom.llm.shingles import band_keys
 from tallyloom.plans.durable import written
 
 # Buckets up to this size have their remaining cross-component pairs listed by a join.
@@ -33,6 +34,8 @@ class Measure:
     elements: Callable[[bytes], np.ndarray]
     signature: Callable[[np.ndarray], np.ndarray]
     percent: int
+    # Coordinates of a band, as the keys were made.
+    rows: int
     # Share of equal signature coordinates under which a pair inside a block is not compared: many standard
     # deviations below the threshold, so that a pair at the threshold is lost far more rarely than by banding.
     agree: float
@@ -75,10 +78,18 @@ def verified(pairs: DataFrame, texts: DataFrame, measure: Measure) -> DataFrame:
 
 def _block_links(measure: Measure) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def task(rows: pd.DataFrame) -> pd.DataFrame:
-        """Links between two blocks of a bucket; pairs already joined by a link found here are skipped."""
+        """Links between two blocks of a bucket.
+
+        Pairs already joined by a link found here are skipped, and so are pairs that an earlier band brings
+        together as well: that bucket has them.
+        """
         rows = rows.sort_values("id").drop_duplicates(["id", "side"])
         sets = {i: measure.elements(t.encode()) for i, t in zip(rows["id"], rows["text"], strict=True)}
-        marks = {i: measure.signature(s).astype(np.uint8) for i, s in sets.items()}
+        signatures = {i: measure.signature(s) for i, s in sets.items()}
+        marks = {i: s.astype(np.uint8) for i, s in signatures.items()}
+        keys = {i: band_keys(s, measure.rows) for i, s in signatures.items()}
+        # An id that was repeated with another text may lack the key; without any, nothing is skipped.
+        band = next((int(at[0]) for k in keys.values() if (at := np.flatnonzero(k == rows["key"].iloc[0])).size), 0)
         label = dict(zip(rows["id"], rows["label"], strict=True))
         parent: dict[int, int] = {}
 
@@ -92,9 +103,11 @@ def _block_links(measure: Measure) -> Callable[[pd.DataFrame], pd.DataFrame]:
         if not left or not right:
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         other = np.stack([marks[y] for y in right])
+        earlier = np.stack([keys[y][:band] for y in right])
         found = []
         for x in left:
-            close = np.flatnonzero((other == marks[x]).mean(axis=1) >= measure.agree)
+            new = ~(earlier == keys[x][:band]).any(axis=1)
+            close = np.flatnonzero(new & ((other == marks[x]).mean(axis=1) >= measure.agree))
             for y in (right[j] for j in close):
                 p, q = root(label[x]), root(label[y])
                 if p != q and measure.linked(sets[x], sets[y]):
