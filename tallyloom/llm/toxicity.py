@@ -3,7 +3,8 @@
 Only documents carry labels. A sentence's probability is a logistic function of its words (whole words and
 prefixes, hashed); a document is toxic unless all of its sentences are harmless: p = 1 - prod(1 - p_s). The
 weights maximise the likelihood of the document labels, so that blame falls on the sentences which explain
-them, and the same scores then say where the offending sentences are.
+them, and the same scores then say where the offending sentences are. A sentence without any word that was
+found telling has probability 0, so that length alone never makes a document toxic.
 """
 
 from __future__ import annotations
@@ -30,12 +31,13 @@ PREFIXES = range(4, 9)
 @dataclass(frozen=True)
 class Fit:
     """The classifier is fitted on at most ``documents`` labelled documents (lowest hash of doc_id) of at most
-    ``longest`` code points. Features must occur in ``least`` toxic ones and be ``lift`` times as frequent
-    there; the ``features`` strongest are kept."""
+    ``longest`` code points. Features must be ``lift`` times as frequent in
+    toxic ones with a log likelihood ratio (G squared) of at least ``surprise``, which chance hardly ever gives;
+    the ``features`` strongest are kept."""
 
     documents: int = 6_000
     longest: int = 20_000
-    least: int = 3
+    surprise: float = 14.0
     lift: float = 3.0
     features: int = 20_000
     rounds: int = 300
@@ -82,6 +84,10 @@ class Model:
     weights: dict[int, float]
 
 
+def _times_log(n: np.ndarray, ratio: np.ndarray) -> np.ndarray:
+    return n * np.log(np.where(n > 0, ratio, 1.0))
+
+
 def _fit(toxic: np.ndarray, sizes: list[np.ndarray], features: list[np.ndarray], fit: Fit) -> Model:
     positive = int(toxic.sum())
     if not positive or positive == toxic.size:
@@ -93,17 +99,23 @@ def _fit(toxic: np.ndarray, sizes: list[np.ndarray], features: list[np.ndarray],
     without = np.bincount(place, 1 - of, known.size)
     share = with_label / positive
     lifted = share / ((without + 0.5) / (toxic.size - positive))
-    strength = np.where((with_label >= fit.least) & (lifted >= fit.lift), share * np.log(np.maximum(lifted, 1)), 0)
+    total = with_label + without
+    surprise = 2 * (
+        _times_log(with_label, with_label / (total * positive / toxic.size))
+        + _times_log(without, without / (total * (1 - positive / toxic.size)))
+    )
+    strength = np.where((surprise >= fit.surprise) & (lifted >= fit.lift), surprise, 0)
     order = np.lexsort((known, -strength))[: fit.features]
     chosen = np.sort(known[order[strength[order] > 0]])
 
-    # Instances are all sentences; entries (sentence, feature) those of chosen features.
+    # Instances are the sentences with a chosen feature; the others are taken to be harmless.
     bag = np.repeat(np.arange(toxic.size), [s.size for s in sizes])
     flat = np.concatenate(features)
     sentence = np.repeat(np.arange(bag.size), np.concatenate(sizes))
     column = np.searchsorted(chosen, flat)
     hit = np.zeros(flat.size, bool) if not chosen.size else chosen[np.minimum(column, chosen.size - 1)] == flat
-    sentence, column = sentence[hit], column[hit]
+    kept, sentence = np.unique(sentence[hit], return_inverse=True)
+    bag, column = bag[kept], column[hit]
 
     w, b = np.zeros(chosen.size), -4.0
     squares, b_square = np.full(chosen.size, 1e-8), 1e-8
@@ -111,8 +123,9 @@ def _fit(toxic: np.ndarray, sizes: list[np.ndarray], features: list[np.ndarray],
         z = b + np.bincount(sentence, w[column], bag.size)
         p = 1 / (1 + np.exp(-z))
         total = np.bincount(bag, np.logaddexp(0, z), toxic.size)
+        # No sentence of a document may have evidence; its label then teaches nothing.
         # Derivative of the negative log likelihood by the total of a document's softplus scores.
-        slope = np.where(toxic == 1, -1 / np.maximum(np.expm1(total), 1e-9), 1.0) / toxic.size
+        slope = np.where(toxic == 1, -1 / np.maximum(np.expm1(total), 1e-3), 1.0) / toxic.size
         gradient = slope[bag] * p
         gw = np.bincount(column, gradient[sentence], chosen.size) + fit.ridge * w / toxic.size
         gb = gradient.sum()
@@ -134,8 +147,13 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit | None = None) -> Model:
     usable = (
         labels.where("toxic IN (0, 1)").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
-    texts = docs.select("doc_id", F.col("text").cast("string")).where(F.length("text").between(1, fit.longest))
-    sample = texts.join(usable, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit.documents)
+    texts = docs.select("doc_id", F.col("text").cast("string"))
+    fitting = texts.where(F.length("text").between(1, fit.longest)).select("doc_id").distinct()
+    # Ids and labels are chosen without the texts, which then need not be shuffled: the sample is bounded.
+    chosen = fitting.join(usable, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit.documents).toArrow()
+    sample = texts.where(F.length("text").between(1, fit.longest)).join(
+        F.broadcast(docs.sparkSession.createDataFrame(chosen, "doc_id long, toxic int")), "doc_id"
+    )
     bags = sample.select(F.col("toxic").cast("int"), "text").mapInArrow(
         _bags, "toxic int, sizes array<int>, features array<long>"
     ).toArrow()
@@ -157,13 +175,14 @@ class _Scorer:
         self.weight = weight
 
     def sentence(self, text: str) -> float:
-        """Log-odds of one sentence."""
-        return self.model.bias + sum(map(self.weight, _words(text)))
+        """Log-odds of one sentence; without any evidence it is taken to be harmless."""
+        weights = [w for w in map(self.weight, _words(text)) if w]
+        return self.model.bias + sum(weights) if weights else -np.inf
 
     def document(self, places: list[tuple[int, int]], text: str | None) -> tuple[float, np.ndarray]:
         """The noisy-or of the sentences, and the probability of each."""
         z = np.array([self.sentence(text[a:b]) for a, b in places])
-        return (float(-np.expm1(-np.logaddexp(0, z).sum())) if places else 0.0), 1 / (1 + np.exp(-z))
+        return float(-np.expm1(-np.logaddexp(0, z).sum())), np.exp(-np.logaddexp(0, -z))
 
 
 def _toxic(model: Model) -> Callable[[Iterator[pd.Series]], Iterator[pd.Series]]:
