@@ -1,24 +1,95 @@
-"""The stages one after another, and each against what its input asks for."""
+"""The stages one after another, each against a plain Python version of what its input asks for."""
+
+import re
+from collections import defaultdict
 
 import corpus_pipeline
+from tallyloom.llm.fuzzy_lines import normal
+from tallyloom.llm.toxicity import _Scorer, sentences_of, train
 from tallyloom.plans.durable import written
 
 SMALL = "/root/testdata/sf0.001"
 
 
+def classes(sets, percent=80):
+    """Smallest key reachable over sets that are similar enough."""
+    found = {k: k for k in sets}
+    links = [
+        (a, b) for a in sets for b in sets
+        if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    ]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(found[a], found[b])
+            changed |= found[a] != low or found[b] != low
+            found[a] = found[b] = low
+    return found
+
+
+def plain_toxicity(spark, docs, texts):
+    scorer = _Scorer(train(docs, spark.read.parquet(f"{SMALL}/labels.parquet")))
+    return {d: t for d, t in texts.items() if scorer.document(sentences_of(t), t)[0] < 0.5}
+
+
+def plain_lines(spark, docs, texts):
+    places = defaultdict(list)
+    for d, t in texts.items():
+        for i, line in enumerate(t.split("\n")):
+            if len(normal(line)) >= 16:
+                places[normal(line)].append((d, i))
+    named = classes({x: {x[i : i + 8] for i in range(len(x) - 7)} for x in places})
+    members = defaultdict(list)
+    for line, name in named.items():
+        members[name] += places[line]
+    cut = {p for ps in members.values() for p in sorted(ps)[1:]}
+    left = {}
+    for d, t in texts.items():
+        kept = "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in cut)
+        if kept.strip() or kept == t:
+            left[d] = kept
+    return left
+
+
+def plain_near(spark, docs, texts):
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets = {}
+    for d, t in texts.items():
+        w = re.findall("[^\x20\x09-\x0d]+", t.translate(low))
+        sets[d] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    return {d: texts[d] for d, name in classes(sets).items() if name == d}
+
+
+def plain_decontaminate(spark, docs, texts):
+    def grams(text):
+        w = re.findall(r"[^\W_]+", text.lower())
+        return {tuple(w[i : i + 13]) for i in range(len(w) - 12)}
+
+    bench = set().union(*(grams(r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()))
+    return {d: t for d, t in texts.items() if not grams(t) & bench}
+
+
+PLAIN = [plain_toxicity, plain_lines, plain_near, plain_decontaminate]
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    columns = docs.columns
-    for name, stage in corpus_pipeline.STAGES[:-1]:
+    columns, removed = docs.columns, 0
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for (name, stage), plain in zip(corpus_pipeline.STAGES[:-1], PLAIN, strict=True):
         kept = written(stage(spark, docs, SMALL), name)
         assert kept.columns == columns
-        before, after = {r.doc_id for r in docs.collect()}, {r.doc_id for r in kept.collect()}
-        assert after <= before and len(after) > 0.5 * len(before) and kept.count() == len(after)
-        docs = kept
+        expected = plain(spark, docs, texts)
+        got = {r.doc_id: r for r in kept.collect()}
+        assert {d: r.text for d, r in got.items()} == expected and kept.count() == len(got)
+        assert all(r.n_chars == len(r.text) for r in got.values())
+        removed += len(texts) - len(expected)
+        docs, texts = kept, expected
+    assert removed
     rows = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
-    assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()}
-    again = corpus_pipeline.run(spark, SMALL).collect()
-    assert sorted(again) == sorted(rows)
+    assert {r.doc_id for r in rows} == set(texts)
+    assert sorted(corpus_pipeline.run(spark, SMALL).collect()) == sorted(rows)
 
 
 def test_empty_table_and_nulls(spark):
