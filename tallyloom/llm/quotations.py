@@ -89,19 +89,22 @@ def reply_threads(messages: DataFrame) -> DataFrame:
     best = F.max(F.struct(-F.col("level"), "whole", "parts", (-F.col("source")).alias("source")))
     parents = written(found.groupBy("msg_id").agg((-best["source"]).alias("parent_id")), "parents")
 
-    # Pointer doubling: ``up`` is an ancestor ``steps`` replies above; done when it has no parent itself.
-    table = rows.select("msg_id").join(parents, "msg_id", "left")
-    state = written(table.select(
-        "msg_id", F.coalesce("parent_id", "msg_id").alias("up"), F.col("parent_id").isNotNull().cast("int").alias("steps")
-    ), "ancestors")
-    while True:
-        above = state.where("up <> msg_id").select(F.col("msg_id").alias("at"), F.col("up").alias("next"), F.col("steps").alias("more"))
-        moved = state.join(above, F.col("up") == F.col("at"), "left")
-        if moved.where("at IS NOT NULL").isEmpty():
-            break
-        state = written(moved.select(
-            "msg_id", F.coalesce("next", "up").alias("up"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")
-        ), "ancestors")
+    # Pointer doubling over the replies: ``up`` is an ancestor ``steps`` replies above, and the row is settled once
+    # that is known to be the root. Only unsettled rows are joined again.
+    replies = parents.select("msg_id", F.col("parent_id").alias("up"), F.lit(1).alias("steps"), F.lit(False).alias("settled"))
+    state = written(replies, "ancestors")
+    while not state.where("NOT settled").isEmpty():
+        above = state.select(
+            F.col("msg_id").alias("at"), F.col("up").alias("next"), F.col("steps").alias("more"), F.col("settled").alias("known")
+        )
+        moved = state.where("NOT settled").join(above, F.col("up") == F.col("at"), "left").select(
+            "msg_id", F.coalesce("next", "up").alias("up"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+            (F.col("at").isNull() | F.col("known")).alias("settled"),
+        )
+        state = written(state.where("settled").union(moved), "ancestors")
+    state = rows.select("msg_id").join(state, "msg_id", "left").select(
+        "msg_id", F.coalesce("up", "msg_id").alias("up"), F.coalesce("steps", F.lit(0)).alias("steps")
+    )
     placed = ordered_rank(state.select("msg_id", F.col("up").alias("thread_id"), F.col("steps").alias("depth")), ["thread_id"], ["msg_id"], "position")
 
     own = runs.groupBy("msg_id").agg(
