@@ -91,22 +91,58 @@ def _multipliers(length: int) -> np.ndarray:
 
 def char_minhash(elements: np.ndarray, length: int) -> np.ndarray:
     """Signature of one set of shingle hashes: the minimum under ``length`` multiplicative permutations."""
-    return _signatures([elements], length)[0]
+    return _signatures(elements, np.zeros(1, np.int64), length)[0]
+
+
+def _signatures(flat: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Signatures of non-empty sets that lie one after another, in pieces that stay in the processor's cache."""
+    out = np.empty((starts.size, length), np.uint32)
+    values = (flat >> _U(32)).astype(np.uint32)
+    ends = np.append(starts[1:], values.size)
+    first = 0
+    while first < starts.size:
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + 16_384, "right")))
+        piece, at = values[starts[first] : ends[last - 1]], starts[first:last] - starts[first]
+        product = np.empty_like(piece)
+        for k, a in enumerate(_multipliers(length)):
+            out[first:last, k] = np.minimum.reduceat(np.multiply(piece, a, out=product), at)
+        first = last
+    return out
+
+
+def _line_bands(lines: list[str], spec: LineDuplicates) -> np.ndarray:
+    """Band keys of several normalised lines at once."""
+    lines = [x.ljust(spec.size, "\0") for x in lines]
+    hashes = _rolled(_codes("\n".join(lines)), spec.size)
+    counts = np.array([len(x) for x in lines]) - spec.size + 1
+    # Runs that reach into the next line are left out: one for each code point of a run but the first, and the break.
+    ends = np.cumsum(counts + spec.size) - spec.size
+    inside = np.ones(hashes.size, bool)
+    across = (ends[:-1, None] + np.arange(spec.size)).ravel()
+    inside[across] = False
+    starts = np.cumsum(counts) - counts
+    return band_keys(_signatures(hashes[inside], starts, spec.bands * spec.rows), spec.rows)
 
 
-def _signatures(sets: list[np.ndarray], length: int) -> np.ndarray:
-    """Signatures of several non-empty sets, in pieces that stay in the processor's cache."""
-    out = np.empty((len(sets), length), np.uint32)
+def _portions(lines: list[str], size: int = 1 << 18) -> Iterator[slice]:
+    """Slices of lines of about ``size`` code points together."""
     first, held = 0, 0
-    for n, s in enumerate(sets):
-        held += s.size
-        if held >= 16_384 or n == len(sets) - 1:
-            flat = (np.concatenate(sets[first : n + 1]) >> _U(32)).astype(np.uint32)
-            starts = np.concatenate([[0], np.cumsum([x.size for x in sets[first:n]], dtype=np.int64)]).astype(np.int64)
-            for k, a in enumerate(_multipliers(length)):
-                out[first : n + 1, k] = np.minimum.reduceat(flat * a, starts)
+    for n, line in enumerate(lines):
+        held += len(line)
+        if held >= size:
+            yield slice(first, n + 1)
             first, held = n + 1, 0
-    return out
+    if first < len(lines):
+        yield slice(first, len(lines))
+
+
+def _long_lines(text: str | None, least: int) -> list[tuple[int, str]]:
+    """(number, normal form) of the lines that are compared."""
+    found = []
+    for number, line in enumerate((text or "").lower().split("\n")):
+        if len(line) >= least and len(line := " ".join(line.split())) >= least:
+            found.append((number, line))
+    return found
 
 
 def _sketch(spec: LineDuplicates):
@@ -114,18 +150,16 @@ def _sketch(spec: LineDuplicates):
         for batch in batches:
             docs, numbers, lines = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for number, line in enumerate((text or "").split("\n")):
-                    if len(line) >= spec.least and len(line := normal(line)) >= spec.least:
-                        docs.append(doc_id), numbers.append(number), lines.append(line)
-            for at in range(0, len(lines), 2_000):
-                some = slice(at, at + 2_000)
-                sets = [_rolled(np.pad(c, (0, max(0, spec.size - c.size))), spec.size) for c in map(_codes, lines[some])]
-                marks = _signatures(sets, spec.bands * spec.rows)
+                for number, line in _long_lines(text, spec.least):
+                    docs.append(doc_id), numbers.append(number), lines.append(line)
+            for some in _portions(lines):
+                keys = _line_bands(lines[some], spec)
+                offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * keys.shape[1])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(docs[some], pa.int64()), pa.array(numbers[some], pa.int32()),
                         pa.array([line_key(x) for x in lines[some]], pa.int64()),
-                        pa.array([band_keys(m, spec.rows) for m in marks], pa.list_(pa.int64())),
+                        pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())),
                     ],
                     names=["doc_id", "line", "id", "bands"],
                 )
@@ -136,10 +170,10 @@ def _sketch(spec: LineDuplicates):
 def _texts(spec: LineDuplicates):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                lines = {x for x in (normal(y) for y in (text or "").split("\n") if len(y) >= spec.least) if len(x) >= spec.least}
+            lines = list({x for text in batch.column(0).to_pylist() for _, x in _long_lines(text, spec.least)})
+            for some in _portions(lines, 1 << 22):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([line_key(x) for x in lines], pa.int64()), pa.array(list(lines), pa.string())], names=["id", "text"]
+                    [pa.array([line_key(x) for x in lines[some]], pa.int64()), pa.array(lines[some], pa.string())], names=["id", "text"]
                 )
 
     return task
@@ -160,11 +194,10 @@ def duplicate_lines(docs: DataFrame, spec: LineDuplicates | None = None) -> Data
     texts = docs.select("text").mapInArrow(_texts(spec), "id long, text string")
     links = links_of(bands, texts, spec.measure(), "line")
     named = written(components(links, "a", "b"), "line-components")
-    lines = sketches.select("doc_id", "line", "id").distinct()
-    classed = lines.join(bounded_broadcast(named), F.col("id") == F.col("node"), "left").select(
+    # Repeated rows of a document give the same lines again, which neither the minimum nor the set below mind.
+    classed = sketches.select("doc_id", "line", "id").join(bounded_broadcast(named), F.col("id") == F.col("node"), "left").select(
         "doc_id", "line", F.coalesce("component", "id").alias("class")
     )
-    classed = written(classed, "line-classes")
     firsts = (
         classed.groupBy("class").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1").select("class", "first")

@@ -84,7 +84,10 @@ def circulant_minhash(elements: np.ndarray, length: int) -> np.ndarray:
 
 
 def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
-    """One signed 64-bit key per band of ``rows`` coordinates; equal bands at the same place have equal keys."""
-    bands = signature.reshape(-1, rows).astype(_U)
-    keys = (bands * _odd(37, rows)).sum(axis=1, dtype=_U) + np.arange(len(bands), dtype=_U) * _U(0x9E3779B97F4A7C15)
+    """One signed 64-bit key per band of ``rows`` coordinates; equal bands at the same place have equal keys.
+
+    ``signature`` is one signature or a matrix with one per row.
+    """
+    bands = signature.reshape(*signature.shape[:-1], -1, rows).astype(_U)
+    keys = (bands * _odd(37, rows)).sum(axis=-1, dtype=_U) + np.arange(bands.shape[-2], dtype=_U) * _U(0x9E3779B97F4A7C15)
     return mixed(keys).view(np.int64)

@@ -102,12 +102,13 @@ def _block_links(measure: Measure) -> Callable[[pd.DataFrame], pd.DataFrame]:
         left, right = (rows.loc[rows["side"].isin(s), "id"].tolist() for s in ((0, 2), (1, 2)))
         if not left or not right:
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        other = np.stack([marks[y] for y in right])
+        other, theirs = np.stack([marks[y] for y in right]), np.array([label[y] for y in right])
         earlier = np.stack([keys[y][:band] for y in right])
         found = []
         for x in left:
-            new = ~(earlier == keys[x][:band]).any(axis=1)
-            close = np.flatnonzero(new & ((other == marks[x]).mean(axis=1) >= measure.agree))
+            close = np.flatnonzero(theirs != label[x])
+            close = close[~(earlier[close] == keys[x][:band]).any(axis=1)]
+            close = close[(other[close] == marks[x]).mean(axis=1) >= measure.agree]
             for y in (right[j] for j in close):
                 p, q = root(label[x]), root(label[y])
                 if p != q and measure.linked(sets[x], sets[y]):
