@@ -44,91 +44,184 @@ class Templates:
     run: int = 13
 
 
-def _tokens(text: Column, values: bool) -> Column:
-    """Template tokens of a text; with ``values`` placeholders are followed by what they stand for."""
+def _is_slot(token: Column) -> Column:
+    return token.substr(1, 1).isin(*MARKS)
+
+
+def _tokens(text: Column) -> Column:
+    """Template tokens of a text, placeholders followed by what they stand for."""
     unit = f"{NUMBER}(\\S*)\\s+({'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\\p{{L}}\\p{{Nd}}])"
-    kept = "$0" if values else ""
-    marked = F.regexp_replace(text, _NAME, f"{NAME}{kept}")
-    marked = F.regexp_replace(marked, _NUMBER, f" {NUMBER}{kept} ")
-    marked = F.lower(F.regexp_replace(marked, unit, f"{NUMBER}$1 {UNIT}{'$2' if values else ''} "))
-    between = f"[^\\p{{L}}\\p{{M}}\\p{{Nd}}{MARKS}]+"
-    if values:  # separators inside numbers stay
-        between = (
-            f"[^\\p{{L}}\\p{{M}}\\p{{Nd}}{MARKS}.,:/]+|(?<!\\p{{Nd}})[.,:/]+|[.,:/]+(?!\\p{{Nd}})"
-        )
+    marked = F.regexp_replace(text, _NAME, f"{NAME}$0")
+    marked = F.regexp_replace(marked, _NUMBER, f" {NUMBER}$0 ")
+    marked = F.lower(F.regexp_replace(marked, unit, f"{NUMBER}$1 {UNIT}$2 "))
+    # Separators inside numbers stay.
+    between = f"[^\\p{{L}}\\p{{M}}\\p{{Nd}}{MARKS}.,:/]+|(?<!\\p{{Nd}})[.,:/]+|[.,:/]+(?!\\p{{Nd}})"
     return F.filter(F.split(F.regexp_replace(marked, between, " "), " "), lambda t: t != "")
 
 
+def _typed(tokens: Column) -> Column:
+    """The tokens with bare placeholders."""
+    return F.transform(tokens, lambda t: F.when(_is_slot(t), t.substr(1, 1)).otherwise(t))
+
+
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed once, however often a lambda in ``use`` refers to it."""
     return F.transform(F.array(value), use)[0]
 
 
-def _windows(tokens: Column, spec: Templates) -> Column:
-    """Hashes of all windows; a text shorter than a window has one, of the whole text."""
+def _windows(tokens: Column, size: Column) -> Column:
+    """(at, key): places and hashes of all windows of ``size`` tokens."""
 
     def cut(hashes: Column) -> Column:
-        last = F.greatest(F.size(hashes) - spec.window + 1, F.lit(1))
-        each = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(hashes, i, spec.window)))
-        return F.when(F.size(hashes) > 0, each)
+        each = F.transform(
+            F.sequence(F.lit(0), F.size(hashes) - size),
+            lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(hashes, i + 1, size)).alias("key")),
+        )
+        return F.when(F.size(hashes) >= size, each).otherwise(F.array().cast("array<struct<at: int, key: bigint>>"))
 
     return _bound(F.transform(tokens, lambda t: F.xxhash64(t)), cut)
 
 
+def _items(benchmark: DataFrame, spec: Templates) -> DataFrame:
+    """(item_id, valued, length, size, needed, eligible) of the items with tokens: ``size`` tokens make a window,
+    ``needed`` a run, ``eligible`` are the places of windows with enough ordinary words."""
+    rows = (
+        benchmark.select("item_id", _tokens(F.col("text").cast("string")).alias("valued"))
+        .withColumn("length", F.size("valued")).where("item_id IS NOT NULL AND length > 0").distinct()
+        .withColumn("size", F.least(F.lit(spec.window), F.col("length")))
+        .withColumn("needed", F.least(F.lit(spec.run), F.col("length")))
+    )
+
+    def ordinary(place: Column) -> Column:
+        return F.size(F.filter(F.slice("valued", place + 1, F.col("size")), lambda t: ~_is_slot(t)))
+
+    places = F.sequence(F.lit(0), F.col("length") - F.col("size"))
+    return rows.withColumn("eligible", F.filter(places, lambda i: ordinary(i) >= F.least(F.lit(spec.literal), F.col("length"))))
+
+
+def _keys(items: DataFrame) -> DataFrame:
+    """(key, item_id, place, size, valued, least): template windows of enough ordinary words, and the others with their values.
+
+    ``least`` is how many of them a run on one diagonal hits for certain: one with other windows among them may
+    hit a single one.
+    """
+    places = F.col("length") - F.col("size") + 1
+    full = F.col("needed") - F.col("size") + 1
+    parts = []
+    for valued in (False, True):
+        tokens = F.col("valued") if valued else _typed(F.col("valued"))
+        rows = items.select("*", F.explode(_windows(tokens, F.col("size"))).alias("w"))
+        held = F.array_contains("eligible", F.col("w.at"))
+        least = full if valued else F.when(F.size("eligible") == places, full).otherwise(1)
+        parts.append(rows.where(~held if valued else held).select(
+            F.col("w.key").alias("key"), "item_id", F.col("w.at").alias("place"), "size", F.lit(valued).alias("valued"), least.alias("least")
+        ))
+    return parts[0].union(parts[1]).distinct()
+
+
+def _between(breaks: Column, end: Column, least: Column) -> Column:
+    """(first, tokens) of the runs of at least ``least`` places before ``end`` that hold none of the sorted ``breaks``."""
+    starts = F.concat(F.array(F.lit(0)), F.transform(breaks, lambda b: b + 1))
+    runs = F.zip_with(starts, F.concat(breaks, F.array(end)), lambda a, b: F.struct(a.alias("first"), (b - a).alias("tokens")))
+    return F.filter(runs, lambda r: r["tokens"] >= least)
+
+
+def _places(pairs: Column, test: Callable[[Column], Column]) -> Column:
+    """Places of the pairs that ``test`` holds for."""
+    return F.filter(F.transform(pairs, lambda p, i: F.when(test(p), i)), lambda i: i.isNotNull())
+
+
+def _slots(pairs: Column) -> Column:
+    return F.array_distinct(F.filter(pairs, lambda p: _is_slot(p["q"])))
+
+
+def _consistent(pairs: Column) -> Column:
+    """Whether every value of the question has one value of the document."""
+    return _bound(_slots(pairs), lambda s: F.size(s) == F.size(F.array_distinct(F.transform(s, lambda p: p["q"]))))
+
+
+def _judged(candidates: DataFrame) -> DataFrame:
+    """(doc_id, item_id, diagonal, runs), the runs being (first, tokens, exact) with ``first`` in the item.
+
+    A run is kept if it has ``needed`` tokens and all values of the item, or a window of enough ordinary words and
+    consistent slots. Shorter runs count together if they hit as many windows as a run of ``needed`` tokens has
+    and their slots are consistent.
+    """
+    low = F.greatest(F.lit(0), -F.col("diagonal"))
+    count = F.least(F.col("length") - low, F.size("found") - low - F.col("diagonal"))
+    # Stored, so that what refers to the pairs several times does not make them anew.
+    zipped = F.arrays_zip(F.slice("valued", low + 1, count).alias("q"), F.slice("found", low + F.col("diagonal") + 1, count).alias("d"))
+    rows = written(
+        candidates.select("doc_id", "item_id", "diagonal", "size", "needed", "eligible", low.alias("low"), zipped.alias("pairs")), "benchmark-pairs"
+    )
+    pairs, end = F.col("pairs"), F.size("pairs")
+
+    def part(r: Column) -> Column:
+        return F.slice(pairs, r["first"] + 1, r["tokens"])
+
+    def ordinary(r: Column) -> Column:
+        first = F.col("low") + r["first"]
+        return F.size(F.filter("eligible", lambda e: (e >= first) & (e + F.col("size") <= first + r["tokens"])))
+
+    differ = _places(pairs, lambda p: p["q"] != p["d"])
+    breaks = _places(pairs, lambda p: (p["q"] != p["d"]) & ~(_is_slot(p["q"]) & (p["q"].substr(1, 1) == p["d"].substr(1, 1))))
+    pieces = F.filter(_between(breaks, end, F.col("size")), lambda r: ordinary(r) > 0)
+    rows = written(rows.withColumn("same", _between(differ, end, F.col("needed"))).withColumn("pieces", pieces), "benchmark-pieces")
+    long = F.filter("pieces", lambda r: (r["tokens"] >= F.col("needed")))
+    typed = F.filter(long, lambda r: _consistent(part(r)))
+    # All pieces as one, from the start of the first to the end of the last.
+    hit = F.aggregate("pieces", F.lit(0), lambda n, r: n + ordinary(r))
+    together = _bound(F.col("pieces"), lambda ps: F.array(F.struct(
+        F.get(ps, F.lit(0))["first"].alias("first"),
+        (F.element_at(ps, -1)["first"] + F.element_at(ps, -1)["tokens"] - F.get(ps, F.lit(0))["first"]).alias("tokens"),
+    )))
+    agree = _consistent(F.flatten(F.transform("pieces", part)))
+    spread = F.when((F.size("pieces") > 0) & (hit > F.col("needed") - F.col("size")) & agree, together)
+    none = F.array().cast("array<struct<first: int, tokens: int>>")
+    runs = F.concat("same", typed, F.coalesce(spread, none))
+    told = F.transform(runs, lambda r: F.struct(
+        (F.col("low") + r["first"]).alias("first"), r["tokens"].alias("tokens"),
+        F.forall(part(r), lambda p: (p["q"] == p["d"]) | ~_is_slot(p["q"])).alias("exact"),
+    ))
+    return written(rows.select("doc_id", "item_id", "diagonal", told.alias("runs")), "benchmark-matches")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, spec: Templates | None = None) -> DataFrame:
     """One row per document and benchmark item it holds: doc_id, item_id, first_token, tokens, exact.
 
     ``docs`` has (doc_id, text), ``benchmark`` (item_id, text); other columns are not read. ``first_token`` and
     ``tokens`` say where in the document the longest matching run is and how many template tokens it spans,
-    ``exact`` whether all slots have the values of the item. Null or empty texts, rows without an id and items
-    without a window of enough ordinary words match nothing. Repeated rows give one row.
+    ``exact`` whether all slots have the values of the item. Null or empty texts and rows without an id match
+    nothing; where no window of an item has enough ordinary words, only its own values match. Repeated rows give
+    one row.
     """
     spec = spec or Templates()
-    items = (
-        benchmark.select("item_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-        .where("item_id IS NOT NULL")
-        .withColumn("typed", _tokens(F.col("text"), False))
-        .withColumn("valued", _tokens(F.col("text"), True))
-    )
-    ordinary = F.size(F.filter(F.slice("typed", F.col("place") + 1, spec.window), lambda t: ~t.isin(NUMBER, UNIT, NAME)))
-    keys = written(
-        items.select("item_id", "typed", F.size("typed").alias("length"), F.posexplode(_windows(F.col("typed"), spec)).alias("place", "key"))
-        .where(ordinary >= F.least(F.lit(spec.literal), F.col("length")))
-        .select("item_id", "place", "key", "length").distinct(),
-        "benchmark-windows",
-    )
+    items = written(_items(benchmark, spec), "benchmark-items")
+    keys = written(_keys(items), "benchmark-windows")
     wide = keys if keys.count() > BROADCAST_WINDOWS else F.broadcast(keys)
+    with_values = not keys.where("valued").isEmpty()
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id IS NOT NULL AND text <> ''")
+
+    def windows(tokens: Column) -> Column:
+        kinds = [_typed(tokens), tokens] if with_values else [_typed(tokens)]
+        return F.concat(*(_windows(kind, F.lit(spec.window)) for kind in kinds))
+
     hits = (
-        texts.select("doc_id", F.posexplode(_windows(_tokens(F.col("text"), False), spec)).alias("at", "key"))
-        .join(wide, "key")
-    )
-    # On one diagonal every window of the item counts once; what is needed depends on the item's own length.
-    needed = F.greatest(F.least(F.lit(spec.run), F.col("length")) - spec.window + 1, F.lit(1))
-    runs = (
-        hits.groupBy("doc_id", "item_id", "length", (F.col("at") - F.col("place")).alias("diagonal"))
-        .agg(F.count_distinct("place").alias("windows"), F.min("place").alias("low"), F.max("place").alias("high"))
-        .where(F.col("windows") >= needed)
-    )
-    runs = written(runs, "benchmark-runs")
-
-    near = runs.select("doc_id").distinct()
-    held = texts.join(near, "doc_id", "left_semi").dropDuplicates().withColumn("found", _tokens(F.col("text"), True))
-    count = F.least(F.col("high") - F.col("low") + spec.window, F.col("length") - F.col("low"))
-    pairs = F.filter(
-        F.arrays_zip(F.slice("valued", F.col("low") + 1, count).alias("q"), F.slice("found", F.col("low") + F.col("diagonal") + 1, count).alias("d")),
-        lambda p: p["q"].substr(1, 1).isin(*MARKS) & (p["q"].substr(1, 1) == p["d"].substr(1, 1)),
+        texts.select("doc_id", F.explode(_bound(_tokens(F.col("text")), windows)).alias("w"))
+        .select("doc_id", "w.at", "w.key").join(wide, "key")
     )
-    judged = (
-        runs.join(held, "doc_id")
-        .join(items.select("item_id", "valued"), "item_id")
-        .withColumn("tokens", count)
-        .withColumn("slots", F.array_distinct(pairs))
-        .where(F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda p: p["q"]))))
-        .withColumn("exact", F.forall("slots", lambda p: p["q"] == p["d"]))
+    # On one diagonal every window of the item counts once.
+    near = (
+        hits.groupBy("doc_id", "item_id", "valued", "least", (F.col("at") - F.col("place")).alias("diagonal"))
+        .agg(F.count_distinct("place").alias("windows"))
+        .where(F.col("windows") >= F.col("least"))
     )
-    best = F.max(F.struct("windows", -F.col("diagonal") - F.col("low"), "tokens", "exact")).alias("best")
-    return judged.groupBy("doc_id", "item_id").agg(best).select(
+    near = written(near.select("doc_id", "item_id", "diagonal").distinct(), "benchmark-runs")
+    held = texts.join(near.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates().withColumn("found", _tokens(F.col("text")))
+    judged = _judged(near.join(held, "doc_id").join(items, "item_id"))
+    runs = judged.select("doc_id", "item_id", "diagonal", F.explode("runs").alias("run"))
+    best = F.max(F.struct("run.tokens", -F.col("diagonal") - F.col("run.first"), "run.exact")).alias("best")
+    return runs.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", (-F.col("best.col2")).cast("long").alias("first_token"), F.col("best.tokens").cast("long").alias("tokens"),
         "best.exact",
     )

@@ -306,3 +306,21 @@ def test_quotations(spark):
     assert got[3].text == "Good." and got[3].n_quoted == 2 and got[5].text is None and got[6].text == "" and got[7].parent_id is None
     assert got[8].parent_id is None and got[8].thread_id == 8
     assert reply_threads(frame.where("false")).count() == 0
+
+
+def found(spark, items, texts):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {(r.doc_id, r.item_id): r for r in matches(docs, bench).collect()}
+
+
+def test_decontamination_of_dense_items(spark):
+    mix = "Mix 3 kg sand, 4 kg lime, 5 kg clay and 6 l water in 7 l. How many kg is it"
+    sums = "What is 17 23 45 68 9 10?"
+    row = "1 2 3 4 5 6 7 8 9 10 11 12 13 14"
+    other = mix.replace("3", "13").replace("4", "8").replace("7", "70")
+    texts = [f"Some text before. {mix} and after", f"Some text before. {other} and after", f"{sums}", "what is 18 23 45 68 9 10", row, row.replace("7", "70"),
+             "Water is 6 l and in 7 l. How many kg is it"]
+    got = found(spark, [mix, sums, row], texts)
+    assert set(got) == {(0, 0), (1, 0), (2, 1), (4, 2)}
+    assert got[(0, 0)].exact and got[(0, 0)].tokens == 22 and got[(0, 0)].first_token == 3 and not got[(1, 0)].exact
