@@ -3,7 +3,8 @@
 Texts become sequences of template tokens: numbers, units behind numbers and names inside sentences turn into
 typed placeholders, other words into lower case without punctuation. Windows of template tokens of all
 documents meet those of the benchmark in a hash join. A run of windows on one diagonal is a match if the slots
-agree: within the run, every value of the question has one value of the document wherever it occurs.
+agree: within the run, every value of the question has one value of the document wherever it occurs. Slots that
+disagree end a run, they do not reject the document.
 
 Only DataFrame functions are used.
 """
@@ -140,6 +141,24 @@ def _consistent(pairs: Column) -> Column:
     return _bound(_slots(pairs), lambda s: F.size(s) == F.size(F.array_distinct(F.transform(s, lambda p: p["q"]))))
 
 
+def _agreeing(pairs: Column, least: Column) -> Column:
+    """(first, tokens) of the runs of at least ``least`` pairs between slots that disagree.
+
+    Where a value of the question has another value of the document than at the slot with it before, both slots
+    end a run, since neither is known to be the right one.
+    """
+    slots = F.filter(F.transform(pairs, lambda p, i: F.struct(p["q"], i.alias("at"), p["d"])), lambda s: _is_slot(s["q"]))
+
+    def clashes(slots: Column) -> Column:
+        def clash(s: Column, i: Column) -> Column:
+            before = F.get(slots, i - 1)
+            return F.when((before["q"] == s["q"]) & (before["d"] != s["d"]), F.array(before["at"], s["at"])).otherwise(F.array().cast("array<int>"))
+
+        return F.array_sort(F.array_distinct(F.flatten(F.transform(slots, clash))))
+
+    return _between(_bound(F.array_sort(slots), clashes), F.size(pairs), least)
+
+
 def _judged(candidates: DataFrame) -> DataFrame:
     """(doc_id, item_id, diagonal, runs), the runs being (first, tokens, exact) with ``first`` in the item.
 
@@ -163,12 +182,16 @@ def _judged(candidates: DataFrame) -> DataFrame:
         first = F.col("low") + r["first"]
         return F.size(F.filter("eligible", lambda e: (e >= first) & (e + F.col("size") <= first + r["tokens"])))
 
+    def agreeing(r: Column) -> Column:
+        runs = _agreeing(part(r), F.col("needed"))
+        return F.transform(runs, lambda x: F.struct((r["first"] + x["first"]).alias("first"), x["tokens"].alias("tokens")))
+
     differ = _places(pairs, lambda p: p["q"] != p["d"])
     breaks = _places(pairs, lambda p: (p["q"] != p["d"]) & ~(_is_slot(p["q"]) & (p["q"].substr(1, 1) == p["d"].substr(1, 1))))
     pieces = F.filter(_between(breaks, end, F.col("size")), lambda r: ordinary(r) > 0)
     rows = written(rows.withColumn("same", _between(differ, end, F.col("needed"))).withColumn("pieces", pieces), "benchmark-pieces")
-    long = F.filter("pieces", lambda r: (r["tokens"] >= F.col("needed")))
-    typed = F.filter(long, lambda r: _consistent(part(r)))
+    long = F.filter("pieces", lambda r: r["tokens"] >= F.col("needed"))
+    typed = F.filter(F.flatten(F.transform(long, agreeing)), lambda r: ordinary(r) > 0)
     # All pieces as one, from the start of the first to the end of the last.
     hit = F.aggregate("pieces", F.lit(0), lambda n, r: n + ordinary(r))
     together = _bound(F.col("pieces"), lambda ps: F.array(F.struct(

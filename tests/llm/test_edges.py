@@ -324,3 +324,14 @@ def test_decontamination_of_dense_items(spark):
     got = found(spark, [mix, sums, row], texts)
     assert set(got) == {(0, 0), (1, 0), (2, 1), (4, 2)}
     assert got[(0, 0)].exact and got[(0, 0)].tokens == 22 and got[(0, 0)].first_token == 3 and not got[(1, 0)].exact
+
+
+def test_decontamination_with_one_other_value(spark):
+    far = "A shop sells 2 pens to a tall girl who then walks along the old river and over the wooden bridge to the market with Martha and buys 2 books"
+    near = "In May 2 girls and 2 boys found many old coins on the sandy beach while 2 dogs slept nearby"
+    texts = [far.replace("2 books", "3 books"), far.replace("2 pens", "5 pens").replace("Martha", "Peter").replace("2 books", "3 books"),
+             near.replace("2 dogs", "4 dogs")]
+    got = found(spark, [far, near], texts)
+    assert set(got) == {(0, 0), (1, 0), (2, 1)}
+    # In the first and the last text the values stay up to the one that was changed.
+    assert got[(0, 0)].exact and not got[(1, 0)].exact and got[(2, 1)].exact
