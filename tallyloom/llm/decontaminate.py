@@ -1,7 +1,8 @@
 """Documents that hold benchmark questions, also with other numbers, names and units: template matching.
 
 Texts become sequences of template tokens: numbers, units behind numbers and names inside sentences turn into
-typed placeholders, other words into lower case without punctuation. Windows of template tokens of all
+typed placeholders, other words into lower case without punctuation. A second form takes all capitalised words for
+names, also those that open a sentence, and a name of several words for one. Windows of template tokens of all
 documents meet those of the benchmark in a hash join. A run of windows on one diagonal is a match if the slots
 agree: within the run, every value of the question has one value of the document wherever it occurs. Slots that
 disagree end a run, they do not reject the document.
@@ -21,6 +22,8 @@ from tallyloom.plans.durable import written
 
 NUMBER, UNIT, NAME = "\u0001", "\u0002", "\u0003"
 MARKS = f"{NUMBER}{UNIT}{NAME}"
+# Between the words of one name.
+JOINT = "\u0004"
 # Words that are units when they stand behind a number.
 UNITS = (
     "mm cm dm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms ton tons tonnes "
@@ -33,6 +36,9 @@ BROADCAST_WINDOWS = 500_000
 
 _NUMBER = "\\p{Nd}+(?:[.,:/]\\p{Nd}+)*"
 _NAME = "\\p{Lu}(?<=[\\p{Ll}\\p{Nd},;]\\s\\p{Lu})\\p{Ll}+"
+# Any capitalised word, and what stands between two of one name: a hyphen, an apostrophe or white space without a blank line.
+_CAPITAL = "(?<![\\p{L}\\p{M}\\p{Nd}])\\p{Lu}\\p{Ll}[\\p{L}\\p{M}]*"
+_WITHIN = f"({NAME}[\\p{{L}}\\p{{M}}]+)(?:[^\\S\\n]*\\n?[^\\S\\n]*|['’-])(?={NAME})"
 
 
 @dataclass(frozen=True)
@@ -49,14 +55,19 @@ def _is_slot(token: Column) -> Column:
     return token.substr(1, 1).isin(*MARKS)
 
 
-def _tokens(text: Column) -> Column:
-    """Template tokens of a text, placeholders followed by what they stand for."""
+def _tokens(text: Column, openers: bool) -> Column:
+    """Template tokens of a text, placeholders followed by what they stand for.
+
+    Names are capitalised words inside sentences or, with ``openers``, all capitalised words, those in a row as one.
+    """
     unit = f"{NUMBER}(\\S*)\\s+({'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\\p{{L}}\\p{{Nd}}])"
-    marked = F.regexp_replace(text, _NAME, f"{NAME}$0")
+    marked = F.regexp_replace(text, _CAPITAL if openers else _NAME, f"{NAME}$0")
+    if openers:
+        marked = F.regexp_replace(marked, _WITHIN, f"$1{JOINT}")
     marked = F.regexp_replace(marked, _NUMBER, f" {NUMBER}$0 ")
     marked = F.lower(F.regexp_replace(marked, unit, f"{NUMBER}$1 {UNIT}$2 "))
     # Separators inside numbers stay.
-    between = f"[^\\p{{L}}\\p{{M}}\\p{{Nd}}{MARKS}.,:/]+|(?<!\\p{{Nd}})[.,:/]+|[.,:/]+(?!\\p{{Nd}})"
+    between = f"[^\\p{{L}}\\p{{M}}\\p{{Nd}}{MARKS}{JOINT}.,:/]+|(?<!\\p{{Nd}})[.,:/]+|[.,:/]+(?!\\p{{Nd}})"
     return F.filter(F.split(F.regexp_replace(marked, between, " "), " "), lambda t: t != "")
 
 
@@ -84,10 +95,14 @@ def _windows(tokens: Column, size: Column) -> Column:
 
 
 def _items(benchmark: DataFrame, spec: Templates) -> DataFrame:
-    """(item_id, valued, length, size, needed, eligible) of the items with tokens: ``size`` tokens make a window,
-    ``needed`` a run, ``eligible`` are the places of windows with enough ordinary words."""
+    """(item_id, openers, valued, length, size, needed, eligible) of the items with tokens, in both forms of names:
+    ``size`` tokens make a window, ``needed`` a run, ``eligible`` are the places of windows with enough ordinary words."""
+    text = F.col("text").cast("string")
+    forms = [benchmark.select("item_id", F.lit(x).alias("openers"), _tokens(text, x).alias("valued")) for x in (False, True)]
+    # Without names the forms are the same.
+    named = F.exists("valued", lambda t: t.startswith(NAME))
     rows = (
-        benchmark.select("item_id", _tokens(F.col("text").cast("string")).alias("valued"))
+        forms[0].union(forms[1].where(named))
         .withColumn("length", F.size("valued")).where("item_id IS NOT NULL AND length > 0").distinct()
         .withColumn("size", F.least(F.lit(spec.window), F.col("length")))
         .withColumn("needed", F.least(F.lit(spec.run), F.col("length")))
@@ -101,7 +116,8 @@ def _items(benchmark: DataFrame, spec: Templates) -> DataFrame:
 
 
 def _keys(items: DataFrame) -> DataFrame:
-    """(key, item_id, place, size, valued, least): template windows of enough ordinary words, and the others with their values.
+    """(key, item_id, openers, place, size, valued, least): template windows of enough ordinary words, and the others with
+    their values (in the first form only, names and ordinary words differ there no more).
 
     ``least`` is how many of them a run on one diagonal hits for certain: one with other windows among them may
     hit a single one.
@@ -111,11 +127,12 @@ def _keys(items: DataFrame) -> DataFrame:
     parts = []
     for valued in (False, True):
         tokens = F.col("valued") if valued else _typed(F.col("valued"))
-        rows = items.select("*", F.explode(_windows(tokens, F.col("size"))).alias("w"))
+        rows = items.where("NOT openers") if valued else items
+        rows = rows.select("*", F.explode(_windows(tokens, F.col("size"))).alias("w"))
         held = F.array_contains("eligible", F.col("w.at"))
         least = full if valued else F.when(F.size("eligible") == places, full).otherwise(1)
         parts.append(rows.where(~held if valued else held).select(
-            F.col("w.key").alias("key"), "item_id", F.col("w.at").alias("place"), "size", F.lit(valued).alias("valued"), least.alias("least")
+            F.col("w.key").alias("key"), "item_id", "openers", F.col("w.at").alias("place"), "size", F.lit(valued).alias("valued"), least.alias("least")
         ))
     return parts[0].union(parts[1]).distinct()
 
@@ -160,7 +177,7 @@ def _agreeing(pairs: Column, least: Column) -> Column:
 
 
 def _judged(candidates: DataFrame) -> DataFrame:
-    """(doc_id, item_id, diagonal, runs), the runs being (first, tokens, exact) with ``first`` in the item.
+    """(doc_id, item_id, openers, diagonal, runs), the runs being (first, tokens, exact) with ``first`` in the item.
 
     A run is kept if it has ``needed`` tokens and all values of the item, or a window of enough ordinary words and
     consistent slots. Shorter runs count together if they hit as many windows as a run of ``needed`` tokens has
@@ -171,7 +188,7 @@ def _judged(candidates: DataFrame) -> DataFrame:
     # Stored, so that what refers to the pairs several times does not make them anew.
     zipped = F.arrays_zip(F.slice("valued", low + 1, count).alias("q"), F.slice("found", low + F.col("diagonal") + 1, count).alias("d"))
     rows = written(
-        candidates.select("doc_id", "item_id", "diagonal", "size", "needed", "eligible", low.alias("low"), zipped.alias("pairs")), "benchmark-pairs"
+        candidates.select("doc_id", "item_id", "openers", "diagonal", "size", "needed", "eligible", low.alias("low"), zipped.alias("pairs")), "benchmark-pairs"
     )
     pairs, end = F.col("pairs"), F.size("pairs")
 
@@ -206,7 +223,7 @@ def _judged(candidates: DataFrame) -> DataFrame:
         (F.col("low") + r["first"]).alias("first"), r["tokens"].alias("tokens"),
         F.forall(part(r), lambda p: (p["q"] == p["d"]) | ~_is_slot(p["q"])).alias("exact"),
     ))
-    return written(rows.select("doc_id", "item_id", "diagonal", told.alias("runs")), "benchmark-matches")
+    return written(rows.select("doc_id", "item_id", "openers", "diagonal", told.alias("runs")), "benchmark-matches")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, spec: Templates | None = None) -> DataFrame:
@@ -214,7 +231,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, spec: Templates | None = None
 
     ``docs`` has (doc_id, text), ``benchmark`` (item_id, text); other columns are not read. ``first_token`` and
     ``tokens`` say where in the document the longest matching run is and how many template tokens it spans,
-    ``exact`` whether all slots have the values of the item. Null or empty texts and rows without an id match
+    ``exact`` whether all slots have the values of the item; a run with all capitalised words as names tells these only
+    if there is no other. Null or empty texts and rows without an id match
     nothing; where no window of an item has enough ordinary words, only its own values match. Repeated rows give
     one row.
     """
@@ -225,27 +243,35 @@ def matches(docs: DataFrame, benchmark: DataFrame, spec: Templates | None = None
     with_values = not keys.where("valued").isEmpty()
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id IS NOT NULL AND text <> ''")
 
-    def windows(tokens: Column) -> Column:
-        kinds = [_typed(tokens), tokens] if with_values else [_typed(tokens)]
+    def windows(tokens: Column, openers: bool) -> Column:
+        kinds = [_typed(tokens), tokens] if with_values and not openers else [_typed(tokens)]
         return F.concat(*(_windows(kind, F.lit(spec.window)) for kind in kinds))
 
-    hits = (
-        texts.select("doc_id", F.explode(_bound(_tokens(F.col("text")), windows)).alias("w"))
-        .select("doc_id", "w.at", "w.key").join(wide, "key")
-    )
+    def hits(openers: bool) -> DataFrame:
+        each = F.explode(_bound(_tokens(F.col("text"), openers), lambda t: windows(t, openers))).alias("w")
+        own = wide.where(F.col("openers") == openers)
+        return texts.select("doc_id", each).select("doc_id", "w.at", "w.key").join(own, "key")
+
     # On one diagonal every window of the item counts once.
     near = (
-        hits.groupBy("doc_id", "item_id", "valued", "least", (F.col("at") - F.col("place")).alias("diagonal"))
+        hits(False).union(hits(True))
+        .groupBy("doc_id", "item_id", "openers", "valued", "least", (F.col("at") - F.col("place")).alias("diagonal"))
         .agg(F.count_distinct("place").alias("windows"))
         .where(F.col("windows") >= F.col("least"))
     )
-    near = written(near.select("doc_id", "item_id", "diagonal").distinct(), "benchmark-runs")
-    held = texts.join(near.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates().withColumn("found", _tokens(F.col("text")))
-    judged = _judged(near.join(held, "doc_id").join(items, "item_id"))
-    runs = judged.select("doc_id", "item_id", "diagonal", F.explode("runs").alias("run"))
-    best = F.max(F.struct("run.tokens", -F.col("diagonal") - F.col("run.first"), "run.exact")).alias("best")
+    near = written(near.select("doc_id", "item_id", "openers", "diagonal").distinct(), "benchmark-runs")
+
+    def compared(openers: bool) -> DataFrame:
+        some = near.where(F.col("openers") == openers)
+        held = texts.join(some.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates()
+        held = held.select("doc_id", _tokens(F.col("text"), openers).alias("found"))
+        return some.join(held, "doc_id").join(items.where(F.col("openers") == openers), ["item_id", "openers"])
+
+    judged = _judged(compared(False).unionByName(compared(True)))
+    runs = judged.select("doc_id", "item_id", "openers", "diagonal", F.explode("runs").alias("run"))
+    best = F.max(F.struct(~F.col("openers"), "run.tokens", -F.col("diagonal") - F.col("run.first"), "run.exact")).alias("best")
     return runs.groupBy("doc_id", "item_id").agg(best).select(
-        "doc_id", "item_id", (-F.col("best.col2")).cast("long").alias("first_token"), F.col("best.tokens").cast("long").alias("tokens"),
+        "doc_id", "item_id", (-F.col("best.col3")).cast("long").alias("first_token"), F.col("best.tokens").cast("long").alias("tokens"),
         "best.exact",
     )
 

@@ -335,3 +335,13 @@ def test_decontamination_with_one_other_value(spark):
     assert set(got) == {(0, 0), (1, 0), (2, 1)}
     # In the first and the last text the values stay up to the one that was changed.
     assert got[(0, 0)].exact and not got[(1, 0)].exact and got[(2, 1)].exact
+
+
+def test_decontamination_of_names_that_open_sentences(spark):
+    item = "John has 12 apples. John gives 3 to Mary. How many apples does Mary have?"
+    quoted = '"Anna walked along the river for 3 hours," said the old man. Anna then rested under a tree'
+    texts = [item.replace("John", "Peter"), item.replace("John", "Anna Maria").replace("Mary", "Tom Smith"), item.replace("John", "Peter", 1),
+             "Then:  " + quoted.replace("Anna", "Eve"), "Peter has 12 apples. He gives 3 to Mary. How many pears does Mary have?"]
+    got = found(spark, [item, quoted], texts)
+    assert set(got) == {(0, 0), (1, 0), (2, 0), (3, 1)}
+    assert got[(1, 0)].tokens == 15 and not got[(0, 0)].exact and got[(2, 0)].tokens == 14 and got[(2, 0)].exact
