@@ -241,11 +241,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, spec: Templates | None = None
     keys = written(_keys(items), "benchmark-windows")
     wide = keys if keys.count() > BROADCAST_WINDOWS else F.broadcast(keys)
     with_values = not keys.where("valued").isEmpty()
+    # Items shorter than a window, of any of the few lengths there are, meet windows of their own length.
+    sizes = sorted(r["size"] for r in items.select("size").distinct().collect()) or [spec.window]
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id IS NOT NULL AND text <> ''")
 
     def windows(tokens: Column, openers: bool) -> Column:
         kinds = [_typed(tokens), tokens] if with_values and not openers else [_typed(tokens)]
-        return F.concat(*(_windows(kind, F.lit(spec.window)) for kind in kinds))
+        return F.concat(*(_windows(kind, F.lit(size)) for kind in kinds for size in sizes))
 
     def hits(openers: bool) -> DataFrame:
         each = F.explode(_bound(_tokens(F.col("text"), openers), lambda t: windows(t, openers))).alias("w")

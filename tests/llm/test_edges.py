@@ -345,3 +345,13 @@ def test_decontamination_of_names_that_open_sentences(spark):
     got = found(spark, [item, quoted], texts)
     assert set(got) == {(0, 0), (1, 0), (2, 0), (3, 1)}
     assert got[(1, 0)].tokens == 15 and not got[(0, 0)].exact and got[(2, 0)].tokens == 14 and got[(2, 0)].exact
+
+
+def test_decontamination_of_short_items(spark):
+    items = ["Name the seven oceans", "How fast is light", "Add 3 kg to 4 kg", "Who was with Anna in that garden"]
+    texts = ["Please name the seven oceans, and then say how fast is light or sound in dry air", "add 3 kg to 5 kg and then some more of it",
+             "First add 3 kg to 4 kg and then some more of it", "Tell me who was with Eve in that garden before the long summer came", "the seven oceans",
+             "name the seven oceans"]
+    got = found(spark, items, texts)
+    assert set(got) == {(0, 0), (0, 1), (2, 2), (3, 3), (5, 0)}
+    assert got[(0, 0)].first_token == 1 and got[(0, 0)].tokens == 4 and got[(0, 0)].exact and not got[(3, 3)].exact
