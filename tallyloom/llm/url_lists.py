@@ -31,11 +31,13 @@ def segments_of(url: Column) -> Column:
 def intervals(events: DataFrame) -> DataFrame:
     """(entry, since, until) from events (entry, action 'add' or 'remove', day); ``until`` is exclusive, null if open.
 
-    Of several events of an entry on one day a removal comes last. Rows with nulls or other actions are ignored.
+    The host of an entry is lower-cased, its path keeps its case as those of URLs do. Of several events of an entry
+    on one day a removal comes last. Rows with nulls or other actions are ignored.
     """
+    host, path = F.regexp_extract("entry", "^[^/]*", 0), F.regexp_extract("entry", "(?s)/.*", 0)
     known = (
         events.where("entry IS NOT NULL AND day IS NOT NULL AND action IN ('add', 'remove')")
-        .select(F.lower("entry").alias("entry"), "action", F.col("day").cast("date").alias("day"))
+        .select(F.concat(F.lower(host), path).alias("entry"), "action", F.col("day").cast("date").alias("day"))
         .distinct()
         # Only the last action of a day counts.
         .groupBy("entry", "day").agg(F.max("action").alias("action"))

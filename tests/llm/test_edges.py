@@ -249,6 +249,13 @@ def test_url_lists(spark):
     assert judged(frame, log.where("false")).where("blocked").count() == 0 and judged(frame.where("false"), log).count() == 0
 
 
+def test_url_lists_keep_the_case_of_paths(spark):
+    log = spark.createDataFrame([("OK.example/Ads", "add", "2024-01-01")], "entry string, action string, day string")
+    captures = [(1, "http://ok.example/Ads/x", "2024-01-02"), (2, "http://ok.EXAMPLE/ads/x", "2024-01-02")]
+    rows = judged(spark.createDataFrame(captures, "page_id long, url string, fetched string"), log).collect()
+    assert {r.page_id: r.entry for r in rows} == {1: "ok.example/Ads", 2: None}
+
+
 def test_decontamination(spark, odd, none):
     plain = "Every morning a farmer walks 3 km to the old market with Martha and sells 12 baskets of ripe apples for 4 dollars before noon"
     other = plain.replace("3 km", "17 miles").replace("Martha", "Peter").replace("12", "90").replace("4 dollars", "1.5 euros")
