@@ -29,13 +29,15 @@ _U = np.uint64
 class LineDuplicates:
     """Lines of at least ``least`` normalised code points are compared by sets of ``size`` code points, linked when
     100 * intersection >= percent * union. ``bands`` of ``rows`` coordinates find a pair at similarity s with
-    probability 1 - (1 - s**rows)**bands: 0.998 at 0.8 and 0.99999 at 0.9 with 12 bands of 4."""
+    probability 1 - (1 - s**rows)**bands: 0.998 at 0.8 and 0.99999 at 0.9 with 12 bands of 4.
+    Shorter lines, of at least ``equal`` code points, collapse only if their normal forms are equal."""
 
     size: int = 8
     percent: int = 80
     least: int = 16
     bands: int = 12
     rows: int = 4
+    equal: int = 16
 
     def measure(self) -> Measure:
         return Measure(
@@ -150,11 +152,13 @@ def _sketch(spec: LineDuplicates):
         for batch in batches:
             docs, numbers, lines = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for number, line in _long_lines(text, spec.least):
+                for number, line in _long_lines(text, min(spec.least, spec.equal)):
                     docs.append(doc_id), numbers.append(number), lines.append(line)
             for some in _portions(lines):
-                keys = _line_bands(lines[some], spec)
-                offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * keys.shape[1])
+                compared = [len(x) >= spec.least for x in lines[some]]
+                long = [x for x, yes in zip(lines[some], compared, strict=True) if yes]
+                keys = _line_bands(long, spec) if long else np.empty((0, spec.bands), np.int64)
+                offsets = pa.array(np.cumsum([0, *compared], dtype=np.int32) * np.int32(keys.shape[1]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(docs[some], pa.int64()), pa.array(numbers[some], pa.int32()),
@@ -183,7 +187,7 @@ def duplicate_lines(docs: DataFrame, spec: LineDuplicates | None = None) -> Data
     """The lines of ``docs`` (doc_id, text) to cut: doc_id, lines (array of line numbers from 0), one row per document.
 
     Rows without doc_id take no part. Repeated rows of a doc_id are one document. Lines shorter than
-    ``spec.least`` are never cut. Other columns are not read.
+    ``spec.least`` are cut as copies only, those shorter than ``spec.equal`` too never. Other columns are not read.
     """
     spec = spec or LineDuplicates()
     prepare(docs.sparkSession)

@@ -10,7 +10,7 @@ from tallyloom.llm import similar
 from tallyloom.llm.common import components, ranked
 from tallyloom.llm.decontaminate import matches
 from tallyloom.llm.embeddings import PigeonholeJoin, near_vectors
-from tallyloom.llm.fuzzy_lines import without_duplicate_lines
+from tallyloom.llm.fuzzy_lines import LineDuplicates, without_duplicate_lines
 from tallyloom.llm.minhash import NearDuplicates, near_duplicates
 from tallyloom.llm.packing import Packing, column_generation, pack, whole_patterns
 from tallyloom.llm.queries import vocabulary
@@ -228,6 +228,12 @@ def test_lines(odd, none, spark):
     assert got == {1: docs[0][1], 2: "short", 3: ""}
 
 
+def test_short_lines_collapse_if_asked(spark):
+    docs = [(1, "les.\n\nThe quick brown fox jumps over the lazy dog again"), (2, "LES.\nlet.\n\nthe quick brown fox jumps over the lazy dog again!"), (3, "les.")]
+    got = without_duplicate_lines(spark.createDataFrame(docs, "doc_id long, text string"), LineDuplicates(equal=1)).collect()
+    assert {r.doc_id: r.text for r in got} == {1: docs[0][1], 2: "let.\n", 3: ""}
+
+
 def test_url_lists(spark):
     events = [("bad.example", "add", "2024-01-10"), ("bad.example", "remove", "2024-02-01"), ("ok.example/Ads/x", "add", "2024-01-01"),
               ("ok.example/Ads/x", "remove", "2024-01-01"), ("sub.ok.example", "add", "2024-03-01"), ("sub.ok.example", "add", "2024-04-01"),
