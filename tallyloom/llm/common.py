@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Iterator, Sequence
 from functools import cache
 from pathlib import Path
 
@@ -34,6 +35,18 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def portions(texts: Sequence[str], size: int = 1 << 20) -> Iterator[slice]:
+    """Slices of texts of about ``size`` code points together."""
+    first, held = 0, 0
+    for n, text in enumerate(texts):
+        held += len(text)
+        if held >= size:
+            yield slice(first, n + 1)
+            first, held = n + 1, 0
+    if first < len(texts):
+        yield slice(first, len(texts))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

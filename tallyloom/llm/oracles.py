@@ -114,3 +114,56 @@ SELECT t.msg_id, u.thread_id, p.parent_id, u.depth, row_number() OVER (PARTITION
     CAST(least(t.nth - 1, 2) AS BIGINT) AS n_quoted
 FROM turns t JOIN up u ON u.msg_id = t.msg_id LEFT JOIN parents p ON p.msg_id = t.msg_id
 """
+
+# Slips need CRC-32: its table by eight shifts, then one step per UTF-8 byte. Near words share what is left of them
+# without one letter.
+VARIANTS = """
+WITH RECURSIVE crc_table AS (
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END, i) ORDER BY i) AS t
+    FROM range(256) r(i)
+),
+runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[a-z\u00C0-\u00FF]+')) AS w
+    FROM documents
+),
+per_doc AS (SELECT doc_id, w, count(*) AS n FROM runs WHERE length(w) >= 6 GROUP BY doc_id, w),
+bytes AS (
+    SELECT doc_id, w, n, flatten(list_transform(string_split(doc_id || ':' || w, ''), lambda c: CASE
+        WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
+        ELSE [192 + unicode(c)::BIGINT // 64, 128 + unicode(c)::BIGINT % 64] END)) AS b
+    FROM per_doc
+),
+marked AS (
+    SELECT doc_id, w, n, xor(4294967295, list_reduce(b, lambda c, x: xor(t[xor(c, x) % 256 + 1], c // 256), 4294967295::BIGINT)) AS h
+    FROM bytes, crc_table
+),
+slipped AS (
+    SELECT n, CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word FROM marked
+),
+vocabulary AS MATERIALIZED (
+    SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary),
+less AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM places),
+pairs AS MATERIALIZED (
+    SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT l.word, v.word, v.n FROM less l JOIN vocabulary v ON l.rest = v.word
+    UNION SELECT v.word, l.word, l.n FROM less l JOIN vocabulary v ON l.rest = v.word
+),
+best AS (
+    SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near, max(near_n) AS near_n FROM pairs GROUP BY word
+),
+found AS MATERIALIZED (
+    SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * v.n THEN near END AS form,
+        CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n
+    FROM vocabulary v LEFT JOIN best b ON v.word = b.word
+),
+chain(word, tip, steps) AS (
+    SELECT word, word, 0 FROM found
+    UNION ALL
+    SELECT c.word, f.form, steps + 1 FROM chain c JOIN found f ON c.tip = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, form, root, n, n_near, form_n
+FROM found f JOIN (SELECT word, arg_max(tip, steps) AS root FROM chain GROUP BY word) c ON f.word = c.word
+"""

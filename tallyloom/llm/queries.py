@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm import oracles
+from tallyloom.llm.alignment import Tokenizers, aligned_tokens
 from tallyloom.llm.common import read_table
 from tallyloom.llm.decontaminate import matches
 from tallyloom.llm.embeddings import PigeonholeJoin, near_vectors
@@ -16,9 +17,11 @@ from tallyloom.llm.minhash import NearDuplicates, near_duplicates
 from tallyloom.llm.packing import Packing, pack
 from tallyloom.llm.quotations import reply_threads
 from tallyloom.llm.secret_scan import KINDS, find_secrets, joined, of_kind
+from tallyloom.llm.token_counts import TokenCounts, token_counts
 from tallyloom.llm.token_files import TokenFiles, read_token_files, write_token_files
 from tallyloom.llm.toxicity import score, train
 from tallyloom.llm.url_lists import host_of, judged, segments_of
+from tallyloom.llm.variants import variants
 from tallyloom.plans.durable import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -28,11 +31,11 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), NearDuplicates(words=4, percent=80))
 
 
-def vocabulary() -> str:
-    """The tokenizer file of the queries."""
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """A tokenizer file of the queries."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,13 +128,28 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), Packing(vocabulary(), end_id=2, capacity=4096))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(read_table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_table(spark, sf_dir, "documents"), TokenCounts(vocabulary("piece_bpe_32k.model"), limit=4096))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = Tokenizers(vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    return aligned_tokens(read_table(spark, sf_dir, "documents"), spec)
+
+
 QUERIES: dict[str, Run] = {
     f.__name__: f
     for f in (
         op1_minhash_dedup, op2_embedding_dedup, op3_secret_scan, op4_token_files, op5_line_dedup, op6_url_lists,
-        op7_decontaminate, op8_toxicity, op9_quotations, op10_packing,
+        op7_decontaminate, op8_toxicity, op9_quotations, op10_packing, op11_spelling_variants,
+        op12_token_counts, op13_token_alignment,
     )
 }
 SQL: dict[str, str] = {
     "op1_minhash_dedup": oracles.MINHASH, "op6_url_lists": oracles.URL_LISTS, "op9_quotations": oracles.QUOTATIONS,
+    "op11_spelling_variants": oracles.VARIANTS,
 }
