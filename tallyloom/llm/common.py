@@ -47,6 +47,14 @@ def portions(texts: Sequence[str], size: int = 1 << 20) -> Iterator[slice]:
         yield slice(first, len(texts))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

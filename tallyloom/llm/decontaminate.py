@@ -14,10 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.common import unused
 from tallyloom.plans.durable import written
 
 NUMBER, UNIT, NAME = "\u0001", "\u0002", "\u0003"
@@ -37,8 +39,12 @@ BROADCAST_WINDOWS = 500_000
 _NUMBER = "\\p{Nd}+(?:[.,:/]\\p{Nd}+)*"
 _NAME = "\\p{Lu}(?<=[\\p{Ll}\\p{Nd},;]\\s\\p{Lu})\\p{Ll}+"
 # Any capitalised word, and what stands between two of one name: a hyphen, an apostrophe or white space without a blank line.
-_CAPITAL = "(?<![\\p{L}\\p{M}\\p{Nd}])\\p{Lu}\\p{Ll}[\\p{L}\\p{M}]*"
+_CAPITAL = "\\p{Lu}(?<![\\p{L}\\p{M}\\p{Nd}]\\p{Lu})\\p{Ll}[\\p{L}\\p{M}]*"
 _WITHIN = f"({NAME}[\\p{{L}}\\p{{M}}]+)(?:[^\\S\\n]*\\n?[^\\S\\n]*|['’-])(?={NAME})"
+# A token: a run of letters, digits and marks; single separators between digits belong to it. Most runs are plain letters.
+_SIGN = f"[\\p{{L}}\\p{{M}}\\p{{Nd}}{MARKS}{JOINT}]"
+_INSIDE = f"(?:[a-z]++{_SIGN}*+|{_SIGN}++)"
+_TOKEN = f"{_INSIDE}(?:[.,:/](?<=\\p{{Nd}}[.,:/])(?=\\p{{Nd}}){_INSIDE})*+"
 
 
 @dataclass(frozen=True)
@@ -66,9 +72,7 @@ def _tokens(text: Column, openers: bool) -> Column:
         marked = F.regexp_replace(marked, _WITHIN, f"$1{JOINT}")
     marked = F.regexp_replace(marked, _NUMBER, f" {NUMBER}$0 ")
     marked = F.lower(F.regexp_replace(marked, unit, f"{NUMBER}$1 {UNIT}$2 "))
-    # Separators inside numbers stay.
-    between = f"[^\\p{{L}}\\p{{M}}\\p{{Nd}}{MARKS}{JOINT}.,:/]+|(?<!\\p{{Nd}})[.,:/]+|[.,:/]+(?!\\p{{Nd}})"
-    return F.filter(F.split(F.regexp_replace(marked, between, " "), " "), lambda t: t != "")
+    return F.regexp_extract_all(marked, F.lit(_TOKEN), F.lit(0))
 
 
 def _typed(tokens: Column) -> Column:
@@ -81,17 +85,24 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _windows(tokens: Column, size: Column) -> Column:
-    """(at, key): places and hashes of all windows of ``size`` tokens."""
+def _windows(tokens: Column, size: int) -> Column:
+    """Hashes of all windows of ``size`` tokens by place.
 
-    def cut(hashes: Column) -> Column:
-        each = F.transform(
-            F.sequence(F.lit(0), F.size(hashes) - size),
-            lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(hashes, i + 1, size)).alias("key")),
-        )
-        return F.when(F.size(hashes) >= size, each).otherwise(F.array().cast("array<struct<at: int, key: bigint>>"))
+    Two windows make one of up to twice the size, so the steps are the logarithm of the size.
+    """
+
+    def joined(step: int) -> Callable[[Column], Column]:
+        def two(hashes: Column) -> Column:
+            left = F.greatest(F.size(hashes) - step, F.lit(0))
+            return F.zip_with(F.slice(hashes, 1, left), F.slice(hashes, step + 1, left), lambda a, b: F.xxhash64(a, b))
 
-    return _bound(F.transform(tokens, lambda t: F.xxhash64(t)), cut)
+        return two
+
+    width, hashes = 1, F.transform(tokens, lambda t: F.xxhash64(t))
+    while width < size:
+        step = min(width, size - width)
+        hashes, width = _bound(hashes, joined(step)), width + step
+    return hashes
 
 
 def _items(benchmark: DataFrame, spec: Templates) -> DataFrame:
@@ -115,7 +126,7 @@ def _items(benchmark: DataFrame, spec: Templates) -> DataFrame:
     return rows.withColumn("eligible", F.filter(places, lambda i: ordinary(i) >= F.least(F.lit(spec.literal), F.col("length"))))
 
 
-def _keys(items: DataFrame) -> DataFrame:
+def _keys(items: DataFrame, sizes: list[int]) -> DataFrame:
     """(key, item_id, openers, place, size, valued, least): template windows of enough ordinary words, and the others with
     their values (in the first form only, names and ordinary words differ there no more).
 
@@ -128,13 +139,14 @@ def _keys(items: DataFrame) -> DataFrame:
     for valued in (False, True):
         tokens = F.col("valued") if valued else _typed(F.col("valued"))
         rows = items.where("NOT openers") if valued else items
-        rows = rows.select("*", F.explode(_windows(tokens, F.col("size"))).alias("w"))
-        held = F.array_contains("eligible", F.col("w.at"))
         least = full if valued else F.when(F.size("eligible") == places, full).otherwise(1)
-        parts.append(rows.where(~held if valued else held).select(
-            F.col("w.key").alias("key"), "item_id", "openers", F.col("w.at").alias("place"), "size", F.lit(valued).alias("valued"), least.alias("least")
-        ))
-    return parts[0].union(parts[1]).distinct()
+        for size in sizes:
+            cut = rows.where(F.col("size") == size).select("*", F.posexplode(_windows(tokens, size)).alias("at", "key"))
+            held = F.array_contains("eligible", F.col("at"))
+            parts.append(cut.where(~held if valued else held).select(
+                "key", "item_id", "openers", F.col("at").alias("place"), "size", F.lit(valued).alias("valued"), least.alias("least")
+            ))
+    return reduce(DataFrame.union, parts).distinct()
 
 
 def _between(breaks: Column, end: Column, least: Column) -> Column:
@@ -238,21 +250,21 @@ def matches(docs: DataFrame, benchmark: DataFrame, spec: Templates | None = None
     """
     spec = spec or Templates()
     items = written(_items(benchmark, spec), "benchmark-items")
-    keys = written(_keys(items), "benchmark-windows")
-    wide = keys if keys.count() > BROADCAST_WINDOWS else F.broadcast(keys)
-    with_values = not keys.where("valued").isEmpty()
     # Items shorter than a window, of any of the few lengths there are, meet windows of their own length.
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect()) or [spec.window]
+    keys = written(_keys(items, sizes), "benchmark-windows")
+    wide = keys if keys.count() > BROADCAST_WINDOWS else F.broadcast(keys)
+    with_values = not keys.where("valued").isEmpty()
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id IS NOT NULL AND text <> ''")
 
     def windows(tokens: Column, openers: bool) -> Column:
         kinds = [_typed(tokens), tokens] if with_values and not openers else [_typed(tokens)]
-        return F.concat(*(_windows(kind, F.lit(size)) for kind in kinds for size in sizes))
+        return F.array(*(_windows(kind, size) for kind in kinds for size in sizes))
 
     def hits(openers: bool) -> DataFrame:
-        each = F.explode(_bound(_tokens(F.col("text"), openers), lambda t: windows(t, openers))).alias("w")
+        each = F.explode(_bound(_tokens(F.col("text"), openers), lambda t: windows(t, openers))).alias("keys")
         own = wide.where(F.col("openers") == openers)
-        return texts.select("doc_id", each).select("doc_id", "w.at", "w.key").join(own, "key")
+        return texts.select("doc_id", each).select("doc_id", F.posexplode("keys").alias("at", "key")).join(own, "key")
 
     # On one diagonal every window of the item counts once.
     near = (
@@ -280,5 +292,6 @@ def matches(docs: DataFrame, benchmark: DataFrame, spec: Templates | None = None
 
 def without_matches(docs: DataFrame, benchmark: DataFrame, spec: Templates | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no benchmark item; rows without doc_id stay."""
-    held = written(matches(docs, benchmark, spec).select(F.col("doc_id").alias("_held")).distinct(), "contaminated")
-    return docs.join(held, docs["doc_id"].cast("long") == F.col("_held"), "left_anti")
+    name = unused(docs, "held")
+    held = written(matches(docs, benchmark, spec).select(F.col("doc_id").alias(name)).distinct(), "contaminated")
+    return docs.join(held, docs["doc_id"].cast("long") == F.col(name), "left_anti")
