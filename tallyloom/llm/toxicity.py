@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import prepare
+from tallyloom.plans.durable import written
 
 SENTENCE = re.compile(r"[^.!?\n]+(?:[.!?]+|\n|$)|[.!?\n]+")
 WORD = re.compile(r"\w+")
@@ -64,18 +65,30 @@ def _words(sentence: str) -> set[str]:
     return set(WORD.findall(sentence.lower()))
 
 
-def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document the sizes of its sentences in features, and these features."""
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document its distinct features."""
     for batch in batches:
-        sizes, features = [], []
-        for text in batch.column(1).to_pylist():
-            sentences = [[f for w in _words(text[a:b]) for f in features_of(w)] for a, b in sentences_of(text)]
-            sizes.append([len(s) for s in sentences])
-            features.append([f for s in sentences for f in s])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.list_(pa.int32())), pa.array(features, pa.list_(pa.int64()))],
-            names=["toxic", "sizes", "features"],
-        )
+        found = [sorted({f for w in _words(text) for f in features_of(w)}) for text in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["toxic", "features"])
+
+
+def _bags(chosen: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per document its sentences with a chosen feature: how many such features each has, and their places."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {int(f): i for i, f in enumerate(chosen)}
+        for batch in batches:
+            sizes, columns = [], []
+            for text in batch.column(1).to_pylist():
+                sentences = [
+                    sorted(place[f] for w in _words(text[a:b]) for f in features_of(w) if f in place) for a, b in sentences_of(text)
+                ]
+                sizes.append([len(s) for s in sentences if s])
+                columns.append([c for s in sentences for c in s])
+            kind = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, kind), pa.array(columns, kind)], names=["toxic", "sizes", "columns"])
+
+    return task
 
 
 @dataclass(frozen=True)
@@ -84,38 +97,32 @@ class Model:
     weights: dict[int, float]
 
 
-def _times_log(n: np.ndarray, ratio: np.ndarray) -> np.ndarray:
-    return n * np.log(np.where(n > 0, ratio, 1.0))
+def _telling(sample: DataFrame, positive: int, total: int, fit: Fit) -> np.ndarray:
+    """The sorted features that tell toxic documents from others, counted and chosen by Spark."""
+    found = sample.mapInArrow(_features, "toxic int, features array<long>")
+    counts = found.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(
+        F.sum("toxic").cast("double").alias("hit"), F.sum(1 - F.col("toxic")).cast("double").alias("other")
+    )
+    hit, other, all_ = F.col("hit"), F.col("other"), F.col("hit") + F.col("other")
+    share = positive / total
+    lifted = (hit / positive) / ((other + 0.5) / (total - positive))
 
+    def part(n: Column, expected: Column) -> Column:
+        return F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
 
-def _fit(toxic: np.ndarray, sizes: list[np.ndarray], features: list[np.ndarray], fit: Fit) -> Model:
-    positive = int(toxic.sum())
-    if not positive or positive == toxic.size:
-        return Model(-12.0 if not positive else 0.0, {})
-    seen = [np.unique(f) for f in features]
-    known, place = np.unique(np.concatenate(seen), return_inverse=True)
-    of = np.repeat(toxic, [s.size for s in seen])
-    with_label = np.bincount(place, of, known.size)
-    without = np.bincount(place, 1 - of, known.size)
-    share = with_label / positive
-    lifted = share / ((without + 0.5) / (toxic.size - positive))
-    total = with_label + without
-    surprise = 2 * (
-        _times_log(with_label, with_label / (total * positive / toxic.size))
-        + _times_log(without, without / (total * (1 - positive / toxic.size)))
-    )
-    strength = np.where((surprise >= fit.surprise) & (lifted >= fit.lift), surprise, 0)
-    order = np.lexsort((known, -strength))[: fit.features]
-    chosen = np.sort(known[order[strength[order] > 0]])
-
-    # Instances are the sentences with a chosen feature; the others are taken to be harmless.
-    bag = np.repeat(np.arange(toxic.size), [s.size for s in sizes])
-    flat = np.concatenate(features)
-    sentence = np.repeat(np.arange(bag.size), np.concatenate(sizes))
-    column = np.searchsorted(chosen, flat)
-    hit = np.zeros(flat.size, bool) if not chosen.size else chosen[np.minimum(column, chosen.size - 1)] == flat
-    kept, sentence = np.unique(sentence[hit], return_inverse=True)
-    bag, column = bag[kept], column[hit]
+    surprise = 2 * (part(hit, all_ * share) + part(other, all_ * (1 - share)))
+    strong = counts.where(hit > 0).withColumn("surprise", surprise).where((F.col("surprise") >= fit.surprise) & (lifted >= fit.lift))
+    best = strong.orderBy(F.desc("surprise"), "feature").limit(fit.features).select("feature").toArrow()
+    return np.sort(best["feature"].to_numpy())
+
+
+def _fit(toxic: np.ndarray, sizes: np.ndarray, sentences: np.ndarray, column: np.ndarray, chosen: np.ndarray, fit: Fit) -> Model:
+    """Weights from documents (``toxic``), how many instances each has, and how many ``column`` entries each instance has.
+
+    Instances are the sentences with a chosen feature; the others are taken to be harmless.
+    """
+    bag = np.repeat(np.arange(toxic.size), sizes)
+    sentence = np.repeat(np.arange(bag.size), sentences)
 
     w, b = np.zeros(chosen.size), -4.0
     squares, b_square = np.full(chosen.size, 1e-8), 1e-8
@@ -139,7 +146,7 @@ def _fit(toxic: np.ndarray, sizes: list[np.ndarray], features: list[np.ndarray],
 def train(docs: DataFrame, labels: DataFrame, fit: Fit | None = None) -> Model:
     """Fit on documents of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) marks 0 or 1 and are not held out.
 
-    Null labels, ids and texts are left out of the fit. Without a toxic (or any) document nothing is learned
+    Null labels, ids and texts are left out of the fit; of a repeated id one text counts. Without a toxic (or any) document nothing is learned
     and every score is close to 0.
     """
     fit = fit or Fit()
@@ -154,14 +161,23 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit | None = None) -> Model:
     sample = texts.where(F.length("text").between(1, fit.longest)).join(
         F.broadcast(docs.sparkSession.createDataFrame(chosen, "doc_id long, toxic int")), "doc_id"
     )
-    bags = sample.select(F.col("toxic").cast("int"), "text").mapInArrow(
-        _bags, "toxic int, sizes array<int>, features array<long>"
-    ).toArrow()
-    toxic = bags["toxic"].to_numpy()
-    sizes, features = ([np.asarray(x.values, np.int64) for x in bags[c]] for c in ("sizes", "features"))
+    # One text of each chosen id, so that repeated ids leave the sample as bounded as it is.
+    sample = written(
+        sample.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text", "toxic")).alias("one"))
+        .select(F.col("one.toxic").cast("int").alias("toxic"), F.col("one.text").alias("text")),
+        "labelled",
+    )
+    total, positive = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not positive or positive == total:
+        return Model(-12.0 if not positive else 0.0, {})
+    known = _telling(sample, positive, total, fit)
+    bags = sample.mapInArrow(_bags(known), "toxic int, sizes array<int>, columns array<int>")
     # The order in which rows arrive must not matter.
-    order = sorted(range(toxic.size), key=lambda i: (int(toxic[i]), features[i].size, features[i].tobytes()))
-    return _fit(toxic[order].astype(np.int64), [sizes[i] for i in order], [features[i] for i in order], fit)
+    bags = bags.orderBy("toxic", F.size("columns"), "columns", "sizes").toArrow()
+    flat = {c: bags[c].combine_chunks() for c in ("sizes", "columns")}
+    per_document = flat["sizes"].value_lengths().to_numpy()
+    sentences, column = (flat[c].flatten().to_numpy().astype(np.int32) for c in ("sizes", "columns"))
+    return _fit(bags["toxic"].to_numpy().astype(np.int64), per_document, sentences, column, known, fit)
 
 
 class _Scorer:
