@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 from functools import cache
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,4 +52,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write a frame as Parquet to the shared folder and read it back, which cuts its lineage."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[stored] = path
+    return stored
+
+
+# Where the frames that ``written`` returned are stored.
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def discard(stored: DataFrame) -> None:
+    """Remove a table of ``written`` that nothing reads any more, as when its successor is stored."""
+    spark, path = stored.sparkSession, _PATHS.pop(stored)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
