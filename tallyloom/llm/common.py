@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from tallyloom.plans.durable import written
+from tallyloom.plans.durable import discard, written
 
 ROOT = Path(__file__).resolve().parents[2]
 # Rows of one Arrow batch; a batch of the longest texts must fit a Python worker.
@@ -107,7 +107,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             .union(small_low)
             .distinct()
         )
-        edges = written(small, "edges")
+        before, edges = edges, written(small, "edges")
+        discard(before)
         after = _state(edges)
         if after == state:
             break

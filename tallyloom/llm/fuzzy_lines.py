@@ -14,21 +14,22 @@ from functools import cache, partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import bounded_broadcast, components, prepare
+from tallyloom.llm.common import bounded_broadcast, components, portions, prepare, unused
 from tallyloom.llm.shingles import band_keys, mixed
 from tallyloom.llm.similar import Measure, links_of
 from tallyloom.plans.durable import written
+from tallyloom.plans.skew import PARTS, SALT, replicated, salted
 
 _U = np.uint64
 
 
 @dataclass(frozen=True)
 class LineDuplicates:
-    """Lines of at least ``least`` normalised code points are compared by sets of ``size`` code points, linked when
-    100 * intersection >= percent * union. ``bands`` of ``rows`` coordinates find a pair at similarity s with
+    """Lines of at least ``least`` normalised code points are compared by sets of runs of ``size`` code points (a shorter
+    line is one run), linked when 100 * intersection >= percent * union. ``bands`` of ``rows`` coordinates find a pair at similarity s with
     probability 1 - (1 - s**rows)**bands: 0.998 at 0.8 and 0.99999 at 0.9 with 12 bands of 4.
     Shorter lines, of at least ``equal`` code points, collapse only if their normal forms are equal."""
 
@@ -49,6 +50,10 @@ class LineDuplicates:
         )
 
 
+# All lines that are not blank are compared.
+ALL_LINES = LineDuplicates(least=1, equal=1)
+
+
 def normal(line: str) -> str:
     return " ".join(line.lower().split())
 
@@ -126,18 +131,6 @@ def _line_bands(lines: list[str], spec: LineDuplicates) -> np.ndarray:
     return band_keys(_signatures(hashes[inside], starts, spec.bands * spec.rows), spec.rows)
 
 
-def _portions(lines: list[str], size: int = 1 << 18) -> Iterator[slice]:
-    """Slices of lines of about ``size`` code points together."""
-    first, held = 0, 0
-    for n, line in enumerate(lines):
-        held += len(line)
-        if held >= size:
-            yield slice(first, n + 1)
-            first, held = n + 1, 0
-    if first < len(lines):
-        yield slice(first, len(lines))
-
-
 def _long_lines(text: str | None, least: int) -> list[tuple[int, str]]:
     """(number, normal form) of the lines that are compared."""
     found = []
@@ -147,25 +140,44 @@ def _long_lines(text: str | None, least: int) -> list[tuple[int, str]]:
     return found
 
 
+# Lines a task remembers to have sketched or sent before.
+SEEN = 500_000
+
+
+class _Seen(set):
+    """Line keys that came up before in a task; forgetting some costs work only."""
+
+    def first(self, key: int) -> bool:
+        if key in self:
+            return False
+        if len(self) >= SEEN:
+            self.clear()
+        self.add(key)
+        return True
+
+
 def _sketch(spec: LineDuplicates):
+    """Every line with its key, and its band keys where the task meets it first."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen()
         for batch in batches:
-            docs, numbers, lines = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            docs, rows, numbers, lines = [], [], [], []
+            for doc_id, row, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 for number, line in _long_lines(text, min(spec.least, spec.equal)):
-                    docs.append(doc_id), numbers.append(number), lines.append(line)
-            for some in _portions(lines):
-                compared = [len(x) >= spec.least for x in lines[some]]
-                long = [x for x, yes in zip(lines[some], compared, strict=True) if yes]
-                keys = _line_bands(long, spec) if long else np.empty((0, spec.bands), np.int64)
+                    docs.append(doc_id), rows.append(row), numbers.append(number), lines.append(line)
+            for some in portions(lines, 1 << 18):
+                ids = [line_key(x) for x in lines[some]]
+                compared = [len(x) >= spec.least and seen.first(i) for x, i in zip(lines[some], ids, strict=True)]
+                new = [x for x, yes in zip(lines[some], compared, strict=True) if yes]
+                keys = _line_bands(new, spec) if new else np.empty((0, spec.bands), np.int64)
                 offsets = pa.array(np.cumsum([0, *compared], dtype=np.int32) * np.int32(keys.shape[1]))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(docs[some], pa.int64()), pa.array(numbers[some], pa.int32()),
-                        pa.array([line_key(x) for x in lines[some]], pa.int64()),
-                        pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())),
+                        pa.array(docs[some], pa.int64()), pa.array(rows[some], pa.int64()), pa.array(numbers[some], pa.int32()),
+                        pa.array(ids, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())),
                     ],
-                    names=["doc_id", "line", "id", "bands"],
+                    names=["doc_id", "row", "line", "id", "bands"],
                 )
 
     return task
@@ -173,56 +185,76 @@ def _sketch(spec: LineDuplicates):
 
 def _texts(spec: LineDuplicates):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen()
         for batch in batches:
-            lines = list({x for text in batch.column(0).to_pylist() for _, x in _long_lines(text, spec.least)})
-            for some in _portions(lines, 1 << 22):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([line_key(x) for x in lines[some]], pa.int64()), pa.array(lines[some], pa.string())], names=["id", "text"]
-                )
+            found = {x for text in batch.column(0).to_pylist() for _, x in _long_lines(text, spec.least)}
+            keyed = [(key, x) for x in found if seen.first(key := line_key(x))]
+            for some in portions([x for _, x in keyed], 1 << 22):
+                keys, lines = zip(*keyed[some], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(lines, pa.string())], names=["id", "text"])
 
     return task
 
 
+# Places of one class that a task compares with its first; more are dealt to several.
+PLACES = 100_000
+
+
+def row_key(docs: DataFrame) -> Column:
+    """Tells rows of one doc_id with other texts apart; full copies have one key."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def duplicate_lines(docs: DataFrame, spec: LineDuplicates | None = None) -> DataFrame:
-    """The lines of ``docs`` (doc_id, text) to cut: doc_id, lines (array of line numbers from 0), one row per document.
+    """The lines of ``docs`` (doc_id, text) to cut: doc_id, row, lines (array of line numbers from 0).
 
-    Rows without doc_id take no part. Repeated rows of a doc_id are one document. Lines shorter than
-    ``spec.least`` are cut as copies only, those shorter than ``spec.equal`` too never. Other columns are not read.
+    One row per document with lines to cut. A document is a doc_id with a text, which ``row`` is ``row_key`` of; repeated
+    rows are one document, another text under a doc_id is another one. Of all places of a component the first by
+    doc_id, line number and row stays. Rows without doc_id take no part. Lines shorter than ``spec.least`` are cut
+    as copies only, those shorter than ``spec.equal`` too never. Other columns are not read.
     """
     spec = spec or LineDuplicates()
     prepare(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id IS NOT NULL AND text <> ''")
-    sketches = written(docs.mapInArrow(_sketch(spec), "doc_id long, line int, id long, bands array<long>"), "lines")
-    sets = sketches.groupBy("id").agg(F.first("bands").alias("bands"))
+    docs = docs.select(F.col("doc_id").cast("long"), row_key(docs).alias("row"), F.col("text").cast("string"))
+    docs = docs.where("doc_id IS NOT NULL AND text <> ''")
+    sketches = written(docs.mapInArrow(_sketch(spec), "doc_id long, row long, line int, id long, bands array<long>"), "lines")
+    sets = sketches.where("size(bands) > 0").groupBy("id").agg(F.first("bands").alias("bands"))
     bands = sets.select(F.explode("bands").alias("key"), "id")
     texts = docs.select("text").mapInArrow(_texts(spec), "id long, text string")
     links = links_of(bands, texts, spec.measure(), "line")
     named = written(components(links, "a", "b"), "line-components")
     # Repeated rows of a document give the same lines again, which neither the minimum nor the set below mind.
-    classed = sketches.select("doc_id", "line", "id").join(bounded_broadcast(named), F.col("id") == F.col("node"), "left").select(
-        "doc_id", "line", F.coalesce("component", "id").alias("class")
+    classed = sketches.select("doc_id", "row", "line", "id").join(bounded_broadcast(named), F.col("id") == F.col("node"), "left").select(
+        "doc_id", "row", "line", F.coalesce("component", "id").alias("class")
     )
-    firsts = (
-        classed.groupBy("class").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1").select("class", "first")
+    firsts = written(
+        classed.groupBy("class").agg(F.min(F.struct("doc_id", "line", "row")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"),
+        "first-lines",
     )
-    cut = classed.join(firsts, "class").where("first.doc_id <> doc_id OR first.line <> line")
-    return cut.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+    heavy = firsts.where(F.col("n") >= PLACES).select("class", F.ceil(F.col("n") / PLACES).cast("int").alias(PARTS))
+    dealt = salted(classed, heavy, ["class"], ["row", "line"]).drop(PARTS)
+    met = dealt.join(replicated(firsts.select("class", "first"), heavy, ["class"]), ["class", SALT])
+    cut = met.where("first.doc_id <> doc_id OR first.line <> line OR first.row <> row")
+    return cut.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 
-def without_duplicate_lines(docs: DataFrame, spec: LineDuplicates | None = None) -> DataFrame:
-    """``docs`` with all columns, less the lines to cut, plus ``_lines`` and ``_cut``: lines before, and lines cut.
+def without_duplicate_lines(docs: DataFrame, spec: LineDuplicates | None = None, lines: str = "_lines", cut: str = "_cut") -> DataFrame:
+    """``docs`` with all columns, less the lines to cut, plus columns ``lines`` and ``cut``: lines before, and lines cut.
 
     A document keeps its text unchanged if nothing is cut; a text of which nothing is left is empty. Null texts
-    and rows without doc_id stay as they are.
+    and rows without doc_id stay as they are. Raises ValueError where ``docs`` has a column of these names.
     """
-    cuts = written(duplicate_lines(docs, spec).select(F.col("doc_id").alias("_doc"), F.col("lines").alias("_lost")), "line-cuts")
-    joined = docs.join(bounded_broadcast(cuts, F.size("_lost")), docs["doc_id"].cast("long") == F.col("_doc"), "left")
+    if {lines.lower(), cut.lower()} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"columns {lines} and {cut} must be new")
+    doc, row, lost = (unused(docs, n) for n in ("doc", "row", "lost"))
+    cuts = written(duplicate_lines(docs, spec).toDF(doc, row, lost), "line-cuts")
+    same = (docs["doc_id"].cast("long") == F.col(doc)) & (row_key(docs) == F.col(row))
+    joined = docs.join(bounded_broadcast(cuts, F.size(lost)), same, "left")
     parts = F.split("text", "\n", -1)
-    left = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains(F.col("_lost"), i)), "\n")
+    left = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains(F.col(lost), i)), "\n")
     return (
-        joined.withColumn("_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long"))
-        .withColumn("_cut", F.when(F.col("_lost").isNull(), 0).otherwise(F.size("_lost")).cast("long"))
-        .withColumn("text", F.when(F.col("_lost").isNull(), F.col("text")).otherwise(left))
-        .drop("_doc", "_lost")
+        joined.withColumn(lines, F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long"))
+        .withColumn(cut, F.when(F.col(lost).isNull(), 0).otherwise(F.size(lost)).cast("long"))
+        .withColumn("text", F.when(F.col(lost).isNull(), F.col("text")).otherwise(left))
+        .drop(doc, row, lost)
     )

@@ -62,7 +62,7 @@ marked AS (
     WHERE entry <> '' AND CAST('0x' || substr(md5(entry), 1, 2) AS INTEGER) < 64
 ),
 dated AS (
-    SELECT lower(entry) AS entry, DATE '2024-01-01' + CAST('0x' || substr(m, 3, 2) AS INTEGER) AS first,
+    SELECT entry, DATE '2024-01-01' + CAST('0x' || substr(m, 3, 2) AS INTEGER) AS first,
         CAST('0x' || substr(m, 6, 2) AS INTEGER) AS span, substr(m, 5, 1) < '8' AS goes, substr(m, 8, 1) < '6' AS returns
     FROM marked
 ),

@@ -12,7 +12,7 @@ from tallyloom.llm.alignment import Tokenizers, aligned_tokens
 from tallyloom.llm.common import read_table
 from tallyloom.llm.decontaminate import matches
 from tallyloom.llm.embeddings import PigeonholeJoin, near_vectors
-from tallyloom.llm.fuzzy_lines import without_duplicate_lines
+from tallyloom.llm.fuzzy_lines import ALL_LINES, without_duplicate_lines
 from tallyloom.llm.minhash import NearDuplicates, near_duplicates
 from tallyloom.llm.packing import Packing, pack
 from tallyloom.llm.quotations import reply_threads
@@ -60,7 +60,7 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_duplicate_lines(read_table(spark, sf_dir, "documents")).select(
+    return without_duplicate_lines(read_table(spark, sf_dir, "documents"), ALL_LINES).select(
         "doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_cut").alias("n_cut")
     )
 

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from tallyloom.plans.durable import written
 from tallyloom.plans.ranks import ordered_rank
 
-# Lines of fewer normalised characters link nothing by themselves.
-LEAST_LINE = 24
+# Lines of fewer normalised characters link by themselves only if a single message of the scope wrote them.
+TELLING = 24
+SHORT, LINE, WHOLE = range(3)
 
 _MARKS = "^((?:[ \\t]*>)+)"
 _ATTRIBUTION = "(?i)^(?:on|am|le|el)\\b.*\\b(?:wrote|schrieb|écrit|escribió)\\b.*:\\s*$"
@@ -48,15 +49,15 @@ def passages(messages: DataFrame) -> DataFrame:
 
 
 def _keys(rows: DataFrame) -> DataFrame:
-    """(msg_id, scope, level, whole, key): the hash of each passage and of each of its longer lines."""
+    """(msg_id, scope, level, part, key): the hash of each passage and of each of its lines."""
     whole = _normal(F.array_join("lines", " "))
-    each = F.filter(F.transform("lines", _normal), lambda x: F.length(x) >= LEAST_LINE)
+    each = F.array_distinct(F.transform("lines", _normal))
     both = F.concat(
-        F.array(F.struct(F.lit(1).alias("whole"), whole.alias("part"))),
-        F.transform(F.array_distinct(each), lambda x: F.struct(F.lit(0).alias("whole"), x.alias("part"))),
+        F.array(F.struct(F.lit(WHOLE).alias("part"), whole.alias("text"))),
+        F.transform(each, lambda x: F.struct(F.when(F.length(x) >= TELLING, LINE).otherwise(SHORT).alias("part"), x.alias("text"))),
     )
-    return rows.select("msg_id", "scope", "level", F.explode(both).alias("k")).where("k.part <> ''").select(
-        "msg_id", "scope", "level", F.col("k.whole").alias("whole"), F.md5(F.col("k.part").cast("binary")).alias("key")
+    return rows.select("msg_id", "scope", "level", F.explode(both).alias("k")).where("k.text <> ''").select(
+        "msg_id", "scope", "level", F.col("k.part").alias("part"), F.md5(F.col("k.text").cast("binary")).alias("key")
     )
 
 
@@ -66,7 +67,8 @@ def reply_threads(messages: DataFrame) -> DataFrame:
     msg_id is unique and grows with time; ``scope`` (a mailbox or list, may be null) bounds where originals are
     looked for. A passage belongs to the earliest message of its scope that wrote it. The parent is the source,
     earlier than the message, of its shallowest quote level that has one: by whole passages before single lines,
-    then by the number of parts found, then the earliest. ``thread_id`` is the root reached over parents,
+    then by the number of parts found (passages and lines, then short lines, which link only if one message of the scope
+    wrote them), then the earliest. ``thread_id`` is the root reached over parents,
     ``depth`` the number of replies to it, ``position`` (from 0) the place in the thread by msg_id, which puts
     every message behind the one it answers. ``text`` is the message without quotes, attributions and outer blank
     lines (null if null), ``n_quoted`` its number of quoted passages. Empty texts have no parent. Rows without
@@ -81,12 +83,19 @@ def reply_threads(messages: DataFrame) -> DataFrame:
     rows = written(rows, "messages")
     runs = written(passages(rows.where("text IS NOT NULL")), "passages")
     keys = written(_keys(runs), "passage-keys")
-    sources = keys.where("level = 0").groupBy("scope", "key").agg(F.min("msg_id").alias("source"))
+    sources = keys.where("level = 0").groupBy("scope", "key").agg(
+        F.min("msg_id").alias("source"), (F.min("msg_id") == F.max("msg_id")).alias("single")
+    )
+
+    def distinct(short: bool) -> Column:
+        return F.count_distinct(F.when((F.col("part") == SHORT) == short, F.col("key")))
+
     found = (
-        keys.where("level > 0").join(sources, ["scope", "key"]).where("source < msg_id")
-        .groupBy("msg_id", "level", "source").agg(F.max("whole").alias("whole"), F.count_distinct("key").alias("parts"))
+        keys.where("level > 0").join(sources, ["scope", "key"]).where("source < msg_id").where((F.col("part") != SHORT) | F.col("single"))
+        .groupBy("msg_id", "level", "source")
+        .agg((F.max("part") == WHOLE).alias("whole"), distinct(False).alias("parts"), distinct(True).alias("short"))
     )
-    best = F.max(F.struct(-F.col("level"), "whole", "parts", (-F.col("source")).alias("source")))
+    best = F.max(F.struct(-F.col("level"), "whole", "parts", "short", (-F.col("source")).alias("source")))
     parents = written(found.groupBy("msg_id").agg((-best["source"]).alias("parent_id")), "parents")
 
     # Pointer doubling over the replies: ``up`` is an ancestor ``steps`` replies above, and the row is settled once

@@ -42,6 +42,8 @@ PLACEHOLDER = re.compile(
     r"(?i)^(?:x{3,}|\*{3,}|\.{3,}|change_?me|example|sample|dummy|placeholder|your[_-].*|none|null|true|false|undefined|todo|.*\$\{.*|.*\{\{.*|<.*>?|%.*%?|(?:os\.|process\.)?(?:env|getenv)\b.*)$"
 )
 REPORTED = 0.5
+# From so many pieces on a literal counts once in a concatenation, so that constants made of constants stay bounded.
+REPEATED = 64
 
 _TERM = r"""(?:"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`[^`\n]*+`|[^\s"'`,;(){}\[\]<>+]++)"""
 # A name starts where no name character stands before it, so no position is tried twice.
@@ -91,8 +93,9 @@ def named_literals(text: str) -> list[tuple[int, int]]:
                 pieces.append((term.start() + 1, term.end() - 1))
             elif not (pair[3].count("+") and NAME.fullmatch(term[0])):
                 pieces.append(term.span())
-        if len(pieces) <= 64:
-            constants[name] = pieces
+        if len(pieces) > REPEATED:
+            pieces = list(dict.fromkeys(pieces))
+        constants[name] = pieces
         weight = sensitivity(name)
         if weight:
             # A literal split by concatenation is judged as a whole.

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import bounded_broadcast, components
 from tallyloom.llm.shingles import band_keys
 from tallyloom.plans.durable import written
+from tallyloom.plans.skew import SALT, heavy_keys, replicated, salted
 
 # Buckets up to this size have their remaining cross-component pairs listed by a join.
 LISTED = 32
@@ -40,22 +42,36 @@ class Measure:
     # deviations below the threshold, so that a pair at the threshold is lost far more rarely than by banding.
     agree: float
 
-    def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
-        small, large = min(a.size, b.size), max(a.size, b.size)
+    def linked(self, a: np.ndarray | frozenset, b: np.ndarray | frozenset) -> bool:
+        """Both sets as arrays, or both as Python sets, which small ones are compared faster by."""
+        small, large = sorted((len(a), len(b)))
         if not small or 100 * small < self.percent * large:
             return False
-        common = np.intersect1d(a, b, assume_unique=True).size
-        return 100 * common >= self.percent * (a.size + b.size - common)
+        common = len(a & b) if isinstance(a, frozenset) else np.intersect1d(a, b, assume_unique=True).size
+        return 100 * common >= self.percent * (small + large - common)
+
+
+# Texts of up to so many bytes are compared as Python sets, and a worker remembers the sets of some.
+SMALL_TEXT = 2_048
+REMEMBERED = 8_192
 
 
 def _verify(measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, left = None, np.zeros(0, np.uint64)
+
+        @lru_cache(maxsize=REMEMBERED)
+        def small(text: bytes) -> frozenset:
+            return frozenset(measure.elements(text).tolist())
+
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             ta, tb = (batch.column(i).cast(pa.binary()).to_pylist() for i in (2, 3))
             keep = []
             for i in range(len(a)):
+                if max(len(ta[i]), len(tb[i])) <= SMALL_TEXT:
+                    keep.append(measure.linked(small(ta[i]), small(tb[i])))
+                    continue
                 if a[i] != last:
                     last, left = a[i], measure.elements(ta[i])
                 keep.append(measure.linked(left, measure.elements(tb[i])))
@@ -66,11 +82,19 @@ def _verify(measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return task
 
 
+# Pairs of one text that a task verifies; more are dealt to several.
+VERIFIED = 20_000
+
+
 def verified(pairs: DataFrame, texts: DataFrame, measure: Measure) -> DataFrame:
     """The pairs (a, b) whose texts pass the exact test. ``texts`` has (id, text)."""
+    pairs = written(pairs, "candidate-pairs")
+    heavy = heavy_keys(pairs, ["a"], VERIFIED)
+    left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
     both = (
-        pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-        .join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+        salted(pairs.join(right, "b"), heavy, ["a"], ["b"])
+        .join(replicated(left, heavy, ["a"]), ["a", SALT])
         .select("a", "b", "ta", "tb")
     )
     return both.mapInArrow(_verify(measure), "a long, b long")

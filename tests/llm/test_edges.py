@@ -368,3 +368,28 @@ def test_decontamination_of_short_items(spark):
     got = found(spark, items, texts)
     assert set(got) == {(0, 0), (0, 1), (2, 2), (3, 3), (5, 0)}
     assert got[(0, 0)].first_token == 1 and got[(0, 0)].tokens == 4 and got[(0, 0)].exact and not got[(3, 3)].exact
+
+
+def test_constants_of_many_pieces():
+    for n in (64, 65, 200):
+        literals = [f"k{i}Zq" for i in range(n)]
+        text = "part = " + " + ".join(f'"{x}"' for x in literals) + "\npassword = part\n"
+        assert len([s for s in secrets_of(text) if s[0] == "named"]) == n
+    doubled = 'k0 = "a1B2c3D4"\n' + "".join(f"k{i + 1} = k{i} + k{i}\n" for i in range(60)) + "password = k60\n"
+    assert [s for s in secrets_of(doubled) if s[0] == "named"] == [("named", 6, 14)]
+
+
+def test_short_quoted_lines(spark):
+    mails = [
+        (1, "a", "Hello,\nCan we meet Monday?\nBring the slides.\nOk?"), (2, "a", "> Can we meet Monday?\nYes."),
+        (3, "a", "> Bring the slides.\nI will."), (4, "a", "Ok?"), (5, "a", "> Ok?\nNo."), (6, "b", "> Bring the slides.\nWhich?"),
+    ]
+    got = {r.msg_id: r.parent_id for r in reply_threads(spark.createDataFrame(mails, "msg_id long, scope string, text string")).collect()}
+    # "Ok?" is a whole message of its own, but a line of another one before: the earliest that wrote the passage whole.
+    assert got[2] == 1 and got[3] == 1 and got[6] is None and got[1] is None
+
+
+def test_repeated_ids_are_sampled_once(spark):
+    docs = spark.createDataFrame([(i, f"you vile{i} rotten thing" if i % 2 else f"a calm day number {i}") for i in range(1, 9) for _ in range(10)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 9)], "doc_id long, toxic int")
+    assert train(docs, labels) == train(docs.distinct(), labels)

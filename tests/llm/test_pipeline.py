@@ -4,6 +4,7 @@ import re
 from collections import defaultdict
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from tallyloom.llm.fuzzy_lines import normal
 from tallyloom.llm.toxicity import _Scorer, sentences_of, train
 from tallyloom.plans.durable import written
@@ -37,9 +38,9 @@ def plain_lines(spark, docs, texts):
     places = defaultdict(list)
     for d, t in texts.items():
         for i, line in enumerate(t.split("\n")):
-            if len(normal(line)) >= 16:
+            if normal(line):
                 places[normal(line)].append((d, i))
-    named = classes({x: {x[i : i + 8] for i in range(len(x) - 7)} for x in places})
+    named = classes({x: {x[i : i + 8] for i in range(max(1, len(x) - 7))} for x in places})
     members = defaultdict(list)
     for line, name in named.items():
         members[name] += places[line]
@@ -103,3 +104,27 @@ def test_empty_table_and_nulls(spark):
             table = written(stage(spark, table, SMALL), name)
             assert table.count() == n
         assert corpus_pipeline.STAGES[-1][1](spark, table, SMALL).count() == n
+
+
+def test_repeated_ids_and_any_column_name(spark):
+    """Another text under a doc_id is another document; of repeated rows one stays; no column name is reserved."""
+    passage = " ".join(f"word{i}" for i in range(60))
+    other = " ".join(f"else{i}" for i in range(60))
+    rows = [(1, passage), (2, passage + " more"), (2, other), (3, "unlike " + other[::-1]), (3, "unlike " + other[::-1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("_doc", "_lost", "_cut", "_lines", "_other", "_held", "doc", "lost", "cut", "lines", "other", "held", "key", "row", "rows", "group"):
+        docs = docs.withColumn(name, F.lit("kept"))
+    stages = dict(corpus_pipeline.STAGES)
+
+    def left(name, table):
+        out = stages[name](spark, table, SMALL)
+        assert out.columns == table.columns
+        got = out.collect()
+        assert all(v == "kept" for r in got for v in r[2:])
+        return sorted((r.doc_id, r.text) for r in got)
+
+    assert left("near_dedup", docs) == sorted([rows[0], rows[2], rows[3]])
+    # Line 0 of one text under doc_id 2 is a copy, that of the other is not.
+    assert left("line_dedup", docs) == sorted([rows[0], rows[2], rows[3], rows[4]])
+    assert len(left("decontaminate", docs)) == 5
+    assert len(left("toxicity", docs)) == 5

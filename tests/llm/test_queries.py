@@ -7,11 +7,13 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tallyloom.llm.fuzzy_lines import normal
 from tallyloom.llm.queries import QUERIES, SQL, vocabulary
-from tests.oracle import difference
+from tests.oracle import TABLES, difference
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -40,17 +42,56 @@ def components(nodes, links):
     return {n: root(n) for n in nodes}
 
 
-def test_vectors_match_brute_force(spark, sf_dir):
-    data = rows("/root/testdata/sf0.1", "embeddings", "vec_id, embedding")
-    ids, x = [r[0] for r in data], np.array([r[1] for r in data], float)
-    x /= np.linalg.norm(x, axis=1)[:, None]
-    linked = np.argwhere(np.triu(x @ x.T >= 0.9, 1))
-    named = components(ids, [(ids[a], ids[b]) for a, b in linked])
-    degree = np.bincount(linked.ravel(), minlength=len(ids))
-    got = {r.vec_id: r for r in QUERIES["op2_embedding_dedup"](spark, "/root/testdata/sf0.1").collect()}
-    assert len(got) == len(ids) and len(linked) > 0
-    for i, v in enumerate(ids):
-        assert (got[v].n_links, got[v].component_id, got[v].kept) == (degree[i], named[v], named[v] == v)
+def plain_cosine(a, b):
+    # Powers of two keep the squares in range and change no digit.
+    a, b = (v * 2.0 ** -np.floor(np.log2(np.abs(v).max())) for v in (a, b))
+    return float(np.dot(a, b) / np.sqrt(np.dot(a, a) * np.dot(b, b)))
+
+
+def planted_vectors():
+    """Integer vectors with a cosine of exactly 0.9, some just below it, scaled and equal copies, other lengths."""
+    r = np.random.RandomState(3)
+    found = []
+    for _ in range(40):
+        at = r.permutation(64)
+        a, b = np.zeros(64), np.zeros(64)
+        a[at[0]], b[at[:4]] = 10, [9, 3, 3, 1]
+        found += [a, b, b * 3.0, b * r.choice([2.0**-600, 2.0**600])]
+        found.append(np.where(np.arange(64) == at[3], np.nextafter(1, 2) if r.rand() < 0.5 else 1.0001, b))
+    for _ in range(20):
+        a = r.standard_normal(64)
+        found += [a, a, a * 2, a + 0.2 * r.standard_normal(64), a[:7], a[:7] * 5, a[:1], -a[:1]]
+    return found
+
+
+def test_vectors_match_brute_force(spark, tmp_path):
+    data = [(i, np.array(v, float)) for i, v in rows("/root/testdata/sf0.1", "embeddings", "vec_id, embedding")][:600]
+    data += [(100_000 + i, v) for i, v in enumerate(planted_vectors())]
+    kind = pa.list_(pa.float64())
+    pq.write_table(pa.table({"vec_id": [i for i, _ in data], "embedding": pa.array([v for _, v in data], kind)}), tmp_path / "embeddings.parquet")
+    links = []
+    for n, (i, a) in enumerate(data):
+        for j, b in data[:n]:
+            if a.size == b.size and plain_cosine(a, b) >= 0.9:
+                links.append((i, j))
+    named = components([i for i, _ in data], links)
+    degree = defaultdict(int)
+    for i, j in links:
+        degree[i] += 1
+        degree[j] += 1
+    got = {r.vec_id: r for r in QUERIES["op2_embedding_dedup"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(data) and len(links) > 200
+    for v, _ in data:
+        assert (got[v].n_links, got[v].component_id, got[v].kept) == (degree[v], named[v], named[v] == v), v
+
+
+def test_url_lists_with_capitals_match_sql(spark, tmp_path):
+    urls = [f"http://{h}.example/{p}/x{i % 7}" for i, (h, p) in enumerate((h, p) for h in ("a", "B", "www.c", "d") for p in ("Ads", "ads", "News", "é", "X") * 20)]
+    pq.write_table(pa.table({"page_id": list(range(len(urls))), "url": urls, "html": [""] * len(urls)}), tmp_path / "pages.parquet")
+    for table in TABLES:
+        if table != "pages":
+            (tmp_path / f"{table}.parquet").symlink_to(f"{SMALL}/{table}.parquet")
+    assert difference(spark, QUERIES["op6_url_lists"], SQL["op6_url_lists"], str(tmp_path)) is None
 
 
 def test_base_secrets(spark, sf_dir):
@@ -111,10 +152,10 @@ def test_lines_match_brute_force(spark):
     places = defaultdict(list)
     for doc_id, text in data:
         for i, line in enumerate(text.split("\n")):
-            if len(line) >= 16 and len(normal(line)) >= 16:
+            if normal(line):
                 places[normal(line)].append((doc_id, i))
     lines = list(places)
-    sets = [{x[i : i + 8] for i in range(len(x) - 7)} for x in lines]
+    sets = [{x[i : i + 8] for i in range(max(1, len(x) - 7))} for x in lines]
     links = [
         (lines[i], lines[j]) for i, a in enumerate(sets) for j, b in enumerate(sets[:i])
         if min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and 100 * len(a & b) >= 80 * len(a | b)
