@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import bounded_broadcast, read_table
+from tallyloom.llm.common import bounded_broadcast, read_table, unused
 from tallyloom.llm.decontaminate import without_matches
-from tallyloom.llm.fuzzy_lines import without_duplicate_lines
+from tallyloom.llm.fuzzy_lines import ALL_LINES, row_key, without_duplicate_lines
 from tallyloom.llm.minhash import NearDuplicates, near_duplicates
 from tallyloom.llm.packing import Packing, pack
 from tallyloom.llm.queries import vocabulary
@@ -30,19 +30,34 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``n_chars`` follows the text where that changed.
     """
-    cut = without_duplicate_lines(docs)
-    left = cut.where((F.col("_cut") == 0) | (F.trim(F.regexp_replace("text", "\\s+", " ")) != ""))
+    lines, cut = unused(docs, "lines"), unused(docs, "cut")
+    less = without_duplicate_lines(docs, ALL_LINES, lines, cut)
+    left = less.where((F.col(cut) == 0) | (F.trim(F.regexp_replace("text", "\\s+", " ")) != ""))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        left = left.withColumn("n_chars", F.when(F.col("_cut") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        left = left.withColumn("n_chars", F.when(F.col(cut) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return left.select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near-duplicates; without words or doc_id all stay."""
-    others = near_duplicates(docs, NearDuplicates(words=5, percent=80)).where("NOT kept")
-    others = written(others.select(F.col("doc_id").alias("_other")).distinct(), "near-duplicates")
-    return docs.join(bounded_broadcast(others), docs["doc_id"].cast("long") == F.col("_other"), "left_anti")
+    """One document of each group of near-duplicates, that with the smallest doc_id; without words or doc_id all stay.
+
+    A document is a doc_id with a text: another text under a doc_id is another one, of repeated rows one stays.
+    """
+    key, other = unused(docs, "key"), unused(docs, "other")
+    keyed = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), row_key(docs)))
+    rows = keyed.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.col("doc_id").cast("long")).alias("first"), F.count(F.lit(1)).alias("rows"))
+    found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), NearDuplicates(words=5, percent=80)).where("n_shingles > 0")
+    named = found.where("doc_id IS NOT NULL").select(F.col("doc_id").alias(key), F.col("component_id").alias("group")).distinct()
+    named = written(named.join(rows, key), "near-groups")
+    stays = named.groupBy("group").agg(F.min(F.struct("first", key)).alias("stays"))
+    judged = written(named.join(stays, "group").select(F.col(key).alias(other), (F.col(f"stays.{key}") == F.col(key)).alias("kept"), "rows"), "near-judged")
+    same = F.col(key) == F.col(other)
+    gone = written(judged.where("NOT kept").select(other), "near-duplicates")
+    left = keyed.join(bounded_broadcast(gone), same, "left_anti")
+    repeated = written(judged.where("kept AND rows > 1").select(other), "repeated-rows")
+    single = left.join(bounded_broadcast(repeated), same, "left_anti")
+    return single.union(left.join(bounded_broadcast(repeated), same, "left_semi").dropDuplicates([key])).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
