@@ -36,7 +36,7 @@ def rf_grid_min_split(t: Tables) -> DataFrame:
 def rf_report(t: Tables) -> DataFrame:
     """Per-class report of a forest on the test part."""
     train, test = _parts(t, "train", "test")
-    scored = ForestSpec(100).estimator("label").fit(train).transform(test)
+    scored = ForestSpec(100).fit(train, "label").transform(test)
     return evaluation.classification_report(scored.withColumn("guess", F.col("prediction").cast("int")), "label", "guess")
 
 
@@ -87,7 +87,7 @@ def best_models_on_test(t: Tables) -> DataFrame:
     specs = [ForestSpec(n, d) for n in (50, 100, 150) for d in (10, 20, None)]
     grid = classifiers.forest_grid(train, check, "label", specs)
     best = specs[evaluation.best_config(grid, "accuracy", ["position"]).first()["position"]]
-    forest = best.estimator("label").fit(train).transform(test)
+    forest = best.fit(train, "label").transform(test)
     k, machine = _best_k(train, check), _best_svm(train, check)
     guessed = linear.predict(test, "embedding", machine).withColumn("guess", F.col("predictions")[0])
     lines = [
@@ -205,7 +205,7 @@ def _binary(t: Tables) -> DataFrame:
 
 def _binary_forest(t: Tables):
     train = _binary(t).where(F.col("part") == "train")
-    return ForestSpec(100).estimator("label").fit(features.as_vectors(train, "embedding"))
+    return ForestSpec(100).fit(features.as_vectors(train, "embedding"), "label")
 
 
 @query()
@@ -283,7 +283,7 @@ def pca_classify(t: Tables) -> DataFrame:
         k = evaluation.best_config(sweep, "accuracy", ["k"]).first()["k"]
         lines.append((name, "knn", float(_knn_score(train, test, k, "uniform"))))
         fit_on, score_on = (features.as_vectors(x, "embedding") for x in (train, test))
-        forest = ForestSpec(100).estimator("label").fit(fit_on)
+        forest = ForestSpec(100).fit(fit_on, "label")
         lines.append((name, "forest", float(classifiers.score_of(forest.transform(score_on), "label"))))
         machine = linear.fit_linear_svm(train, "embedding", "label", [1.0])
         guessed = linear.predict(test, "embedding", machine).withColumn("guess", F.col("predictions")[0])
