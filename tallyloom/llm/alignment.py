@@ -11,10 +11,10 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
-from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +26,14 @@ from tallyloom.plans.durable import written
 
 SPACE = "▁"
 # Entries of a worker's memory (words or windows), twice, and the bytes of the longest one kept.
-KEPT = 200_000
+KEPT = 300_000
 LONGEST_KEPT = 256
 # A space between two others; neither tokenizer's tokens reach across its left side.
 GAP = re.compile(r"(?<=\S) (?=\S)")
 # Code points that are aligned together.
 SECTION = 1 << 18
+# Ids of a text that its tokens' bytes do not spell.
+BROKEN = (b"", b"")
 
 
 @dataclass(frozen=True)
@@ -43,22 +45,26 @@ class Tokenizers:
 
 
 class Remembered(dict):
-    """A function's values by key, the least recent generations forgotten."""
+    """Values by key that are made for many keys at once; the least recent generation is forgotten."""
 
-    def __init__(self, make: Callable, size: Callable):
+    def __init__(self, make: Callable[[list], list], size: Callable):
         super().__init__()
         self.make, self.size, self.older = make, size, {}
 
-    def __missing__(self, key):
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-        if self.size(key) <= LONGEST_KEPT:
-            if len(self) >= KEPT:
+    def all(self, keys: list) -> list:
+        """The values of the keys, in order."""
+        found = list(map(self.get, keys))
+        if None in found:
+            missing = {k for k, v in zip(keys, found, strict=True) if v is None}
+            known = {k: self.older[k] for k in missing if k in self.older}
+            new = list(missing - known.keys())
+            known |= zip(new, self.make(new), strict=True)
+            if len(self) + len(known) > KEPT:
                 self.older = dict(self)
                 self.clear()
-            self[key] = value
-        return value
+            self.update((k, v) for k, v in known.items() if self.size(k) <= LONGEST_KEPT)
+            found = [known[k] if v is None else v for k, v in zip(keys, found, strict=True)]
+        return found
 
 
 @cache
@@ -88,36 +94,40 @@ class Aligner:
             bytes([int(p[3:5], 16)]) if self.right.is_byte(i) else p.replace(SPACE, " ").encode()
             for i in range(self.right.get_piece_size()) for p in [self.right.id_to_piece(i)]
         ]
+        self.left_lengths, self.right_lengths = ([len(b) for b in x] for x in (self.left_bytes, self.right_bytes))
         self.left_sizes, self.right_sizes = (np.array([len(b) for b in x], np.int64) for x in (self.left_bytes, self.right_bytes))
         self.left_spaced, self.right_spaced = (np.array([b[:1] == b" " for b in x]) for x in (self.left_bytes, self.right_bytes))
         # Without a piece that holds a space behind something else, words are tokenized each for itself.
         self.gaps = not any(b" " in b.lstrip(b" ") for b in self.right_bytes)
         self.words = Remembered(self._ids, len)
-        self.windows = Remembered(self._aligned, lambda key: len(key[0]) + len(key[1]))
-
-    def _ids(self, word: str) -> tuple[bytes, bytes, bool]:
-        """The ids of a text with a space before it by both (unsigned 32-bit each), and whether their bytes are the text's."""
-        left, right = self.left.encode(f" {word}", add_special_tokens=False).ids, self.right.encode(word)
-        data = f" {word}".encode()
-        whole = all(b"".join([table[i] for i in ids]) == data for table, ids in ((self.left_bytes, left), (self.right_bytes, right)))
-        return np.array(left, "<u4").tobytes(), np.array(right, "<u4").tobytes(), whole
+        self.windows = Remembered(lambda keys: [self._aligned(k) for k in keys], lambda key: len(key[0]) + len(key[1]))
+
+    def _ids(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+        """The ids of texts with a space before each by both (unsigned 32-bit); both empty where the bytes of the tokens
+        are not the text's."""
+        spaced, a, b, out = [f" {w}" for w in words], self.left_bytes, self.right_bytes, []
+        lefts = self.left.encode_batch_fast(spaced, add_special_tokens=False)
+        for text, left, right in zip(spaced, lefts, self.right.encode(words, num_threads=1), strict=True):
+            data, left = text.encode(), left.ids
+            whole = b"".join([a[i] for i in left]) == data and b"".join([b[i] for i in right]) == data
+            out.append((array("I", left).tobytes(), array("I", right).tobytes()) if whole else BROKEN)
+        return out
 
     def _aligned(self, window: tuple[bytes, bytes]) -> tuple[str, bytes]:
         """The groups of a window as text, and its links as (left id, right id) in one 64-bit number each."""
-        (a, ends_a), (b, ends_b) = (
-            (ids, list(accumulate(len(table[i]) for i in ids)))
-            for ids, table in ((np.frombuffer(x, "<u4").tolist(), table) for x, table in zip(window, (self.left_bytes, self.right_bytes), strict=True))
-        )
-        together, groups, links, at_a, at_b = set(ends_a) & set(ends_b), [], [], iter(a), iter(b)
-        before_a = before_b = 0
-        for end_a, end_b in zip(
-            (i + 1 for i, e in enumerate(ends_a) if e in together), (i + 1 for i, e in enumerate(ends_b) if e in together), strict=True
-        ):
-            some_a, some_b = list(islice(at_a, end_a - before_a)), list(islice(at_b, end_b - before_b))
-            groups.append(f"{','.join(map(str, some_a))}|{','.join(map(str, some_b))}")
-            links.append(some_a[-1] << 32 | some_b[-1])
-            before_a, before_b = end_a, end_b
-        return ";".join(groups), np.array(links, np.int64).tobytes()
+        a, b = (memoryview(ids).cast("I").tolist() for ids in window)
+        left, right = self.left_lengths, self.right_lengths
+        groups, links = [], []
+        i = j = first_a = first_b = end_a = end_b = 0
+        while i < len(a):
+            end_a, i = end_a + left[a[i]], i + 1
+            while end_b < end_a:
+                end_b, j = end_b + right[b[j]], j + 1
+            if end_a == end_b:
+                groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
+                links.append(a[i - 1] << 32 | b[j - 1])
+                first_a, first_b = i, j
+        return ";".join(groups), array("q", links).tobytes()
 
     def _sections(self, text: str) -> Iterator[str]:
         """A text cut at single spaces into parts to be tokenized each with a space before it."""
@@ -153,11 +163,11 @@ class Aligner:
         n_a = n_b = 0
         digest, links, times = hashlib.sha256(), np.zeros(0, np.int64), np.zeros(0, np.int64)
         for section in self._sections(text) if text else ():
-            known = [self.words[w] for w in (GAP.split(section) if self.gaps else [section])]
-            if not all(k[2] for k in known):
+            known = self.words.all(GAP.split(section) if self.gaps else [section])
+            if BROKEN in known:
                 return None
             left, right = b"".join([k[0] for k in known]), b"".join([k[1] for k in known])
-            aligned = [self.windows[w] for w in self._windows(left, right)]
+            aligned = self.windows.all(self._windows(left, right))
             digest.update(b";" * bool(n_a) + ";".join([x[0] for x in aligned]).encode())
             found, n = np.unique(np.frombuffer(b"".join([x[1] for x in aligned]), np.int64), return_counts=True)
             links, place = np.unique(np.concatenate([links, found]), return_inverse=True)
