@@ -5,7 +5,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,21 +56,41 @@ def only_match_anti(df: DataFrame, keys: Sequence[str], matches: Column) -> Data
     return hits.join(misses, keys, "left_anti")
 
 
-def register_table_functions(spark: SparkSession, lines: str) -> None:
-    """SQL table functions over a view ``lines(customer, order_key, brand)``.
+def register_table_functions(spark: SparkSession, lines: str, suffix: str = "") -> tuple[str, str]:
+    """SQL table functions over a view ``lines(customer, order_key, brand)``; returns their names.
 
-    ``customers_of_one_brand(name)`` and ``orders_of_one_brand(name)`` can be used in FROM and IN. The
-    parameter is compared in an inner projection because a table function cannot see it deeper down.
+    ``customers_of_one_brand(name)`` and ``orders_of_one_brand(name)``, with ``suffix`` behind their names, can be used
+    in FROM and IN. The parameter is compared in an inner projection because a table function cannot see it deeper down.
     """
+    customers, orders = f"customers_of_one_brand{suffix}", f"orders_of_one_brand{suffix}"
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION customers_of_one_brand(name STRING)
+        CREATE OR REPLACE TEMPORARY FUNCTION {customers}(name STRING)
         RETURNS TABLE (customer BIGINT)
         RETURN SELECT customer FROM (SELECT customer, brand = name AS hit FROM {lines})
                GROUP BY customer HAVING count(*) = count_if(hit)
     """)
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION orders_of_one_brand(name STRING)
+        CREATE OR REPLACE TEMPORARY FUNCTION {orders}(name STRING)
         RETURNS TABLE (order_key BIGINT)
         RETURN SELECT order_key FROM (SELECT order_key, brand = name AS hit FROM {lines})
                GROUP BY order_key HAVING bool_or(hit) AND bool_and(hit)
     """)
+    return customers, orders
+
+
+@contextmanager
+def table_functions(lines: DataFrame) -> Iterator[tuple[str, str]]:
+    """The same functions over a frame, under names that nothing else in the session has, and gone afterwards.
+
+    Statements made inside keep working, since the names are resolved when a statement is made.
+    """
+    spark, mark = lines.sparkSession, f"_{uuid.uuid4().hex}"
+    view = f"lines{mark}"
+    lines.createTempView(view)
+    names = register_table_functions(spark, view, mark)
+    try:
+        yield names
+    finally:
+        for name in names:
+            spark.sql(f"DROP TEMPORARY FUNCTION {name}")
+        spark.catalog.dropTempView(view)
