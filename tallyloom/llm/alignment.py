@@ -8,6 +8,7 @@ of the other: the vocabularies bound how many id pairs there can be, whatever th
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
@@ -58,7 +59,8 @@ class Remembered(dict):
             missing = {k for k, v in zip(keys, found, strict=True) if v is None}
             known = {k: self.older[k] for k in missing if k in self.older}
             new = list(missing - known.keys())
-            known |= zip(new, self.make(new), strict=True)
+            if new:
+                known |= zip(new, self.make(new), strict=True)
             if len(self) + len(known) > KEPT:
                 self.older = dict(self)
                 self.clear()
@@ -94,17 +96,49 @@ class Aligner:
             bytes([int(p[3:5], 16)]) if self.right.is_byte(i) else p.replace(SPACE, " ").encode()
             for i in range(self.right.get_piece_size()) for p in [self.right.id_to_piece(i)]
         ]
-        self.left_lengths, self.right_lengths = ([len(b) for b in x] for x in (self.left_bytes, self.right_bytes))
         self.left_sizes, self.right_sizes = (np.array([len(b) for b in x], np.int64) for x in (self.left_bytes, self.right_bytes))
         self.left_spaced, self.right_spaced = (np.array([b[:1] == b" " for b in x]) for x in (self.left_bytes, self.right_bytes))
+        # Ids as text with what follows them: within a group, at its end, at the end of a window.
+        self.left_texts, self.right_texts = (
+            np.array([[f"{i}{end}" for i in range(len(x))] for end in follow], object)
+            for x, follow in ((self.left_bytes, ",|"), (self.right_bytes, ",;\n"))
+        )
         # Without a piece that holds a space behind something else, words are tokenized each for itself.
         self.gaps = not any(b" " in b.lstrip(b" ") for b in self.right_bytes)
         self.words = Remembered(self._ids, len)
-        self.windows = Remembered(lambda keys: [self._aligned(k) for k in keys], lambda key: len(key[0]) + len(key[1]))
+        self.windows = Remembered(self._aligned, lambda key: len(key[0]) + len(key[1]))
 
     def _ids(self, words: list[str]) -> list[tuple[bytes, bytes]]:
         """The ids of texts with a space before each by both (unsigned 32-bit); both empty where the bytes of the tokens
         are not the text's."""
+        out = None
+        if self.gaps and all(words) and all(w == w.strip() for w in words):
+            out = self._joined_ids(words)
+        return out or self._single_ids(words)
+
+    def _joined_ids(self, words: list[str]) -> list[tuple[bytes, bytes]] | None:
+        """As :meth:`_ids` for words with a gap between each two, encoded as one text and cut where words end; None if
+        the text is not what its tokens spell."""
+        text = " ".join(words)
+        data = f" {text}".encode()
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        found = []
+        for ids, table, sizes in (
+            (self.left.encode_batch_fast([f" {text}"], add_special_tokens=False)[0].ids, self.left_bytes, self.left_sizes),
+            (self.right.encode(text), self.right_bytes, self.right_sizes),
+        ):
+            if b"".join([table[i] for i in ids]) != data:
+                return None
+            ids = np.array(ids, "<u4")
+            stops = np.cumsum(sizes[ids])
+            last = np.searchsorted(stops, ends)
+            if not np.array_equal(stops[last], ends):
+                return None
+            own, cuts = ids.tobytes(), ((last + 1) * 4).tolist()
+            found.append([own[p:q] for p, q in zip([0, *cuts[:-1]], cuts, strict=True)])
+        return list(zip(*found, strict=True))
+
+    def _single_ids(self, words: list[str]) -> list[tuple[bytes, bytes]]:
         spaced, a, b, out = [f" {w}" for w in words], self.left_bytes, self.right_bytes, []
         lefts = self.left.encode_batch_fast(spaced, add_special_tokens=False)
         for text, left, right in zip(spaced, lefts, self.right.encode(words, num_threads=1), strict=True):
@@ -113,21 +147,31 @@ class Aligner:
             out.append((array("I", left).tobytes(), array("I", right).tobytes()) if whole else BROKEN)
         return out
 
-    def _aligned(self, window: tuple[bytes, bytes]) -> tuple[str, bytes]:
-        """The groups of a window as text, and its links as (left id, right id) in one 64-bit number each."""
-        a, b = (memoryview(ids).cast("I").tolist() for ids in window)
-        left, right = self.left_lengths, self.right_lengths
-        groups, links = [], []
-        i = j = first_a = first_b = end_a = end_b = 0
-        while i < len(a):
-            end_a, i = end_a + left[a[i]], i + 1
-            while end_b < end_a:
-                end_b, j = end_b + right[b[j]], j + 1
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-                links.append(a[i - 1] << 32 | b[j - 1])
-                first_a, first_b = i, j
-        return ";".join(groups), array("q", links).tobytes()
+    def _aligned(self, windows: list[tuple[bytes, bytes]]) -> list[tuple[str, bytes]]:
+        """The groups of each window as text, and its links as (left id, right id) in one 64-bit number each."""
+        a, b = (np.frombuffer(b"".join([w[side] for w in windows]), "<u4") for side in (0, 1))
+        last_a, last_b = self._common(a, b)
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        n_a, n_b = np.bincount(group_a), np.bincount(group_b)
+        links = (a[last_a].astype(np.int64) << 32 | b[last_b]).tobytes()
+        # The groups before the end of each window; a window ends with a group.
+        stops = group_a[np.cumsum([len(w[0]) // 4 for w in windows]) - 1] + 1
+        closes = np.ones(n_a.size, np.int64)
+        closes[stops - 1] = 2
+        # The ids of a group follow one another, first those of the left.
+        parts = np.empty(a.size + b.size, object)
+        parts[np.arange(a.size) + (np.cumsum(n_b) - n_b)[group_a]] = self.left_texts[last_a.astype(np.int64), a]
+        parts[np.arange(b.size) + np.cumsum(n_a)[group_b]] = self.right_texts[np.where(last_b, closes[group_b], 0), b]
+        texts, stops = "".join(parts.tolist()).split("\n"), (stops * 8).tolist()
+        return [(text, links[p:q]) for text, p, q in zip(texts, [0, *stops], stops, strict=False)]
+
+    def _common(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each id of both ends where one of the other does."""
+        ends_a, ends_b = np.cumsum(self.left_sizes[a]), np.cumsum(self.right_sizes[b])
+        marks = np.zeros(ends_a[-1] + 1, np.uint8)
+        marks[ends_a] = 1
+        marks[ends_b] += 2
+        return marks[ends_a] == 3, marks[ends_b] == 3
 
     def _sections(self, text: str) -> Iterator[str]:
         """A text cut at single spaces into parts to be tokenized each with a space before it."""
@@ -143,11 +187,7 @@ class Aligner:
     def _windows(self, left: bytes, right: bytes) -> list[tuple[bytes, bytes]]:
         """The ids between verified common ends that a space-marked token of both follows."""
         a, b = np.frombuffer(left, "<u4"), np.frombuffer(right, "<u4")
-        ends_a, ends_b = np.cumsum(self.left_sizes[a]), np.cumsum(self.right_sizes[b])
-        marks = np.zeros(ends_a[-1] + 1, np.uint8)
-        marks[ends_a] = 1
-        marks[ends_b] += 2
-        at_a, at_b = np.flatnonzero(marks[ends_a] == 3), np.flatnonzero(marks[ends_b] == 3)
+        at_a, at_b = map(np.flatnonzero, self._common(a, b))
         spaced = np.append(self.left_spaced[a[at_a[:-1] + 1]] & self.right_spaced[b[at_b[:-1] + 1]], True)
         cut_a, cut_b = ((x[spaced] + 1) * 4 for x in (at_a, at_b))
         return [
@@ -192,15 +232,21 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
 def _align(spec: Tokenizers) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = aligner(spec)
-        for batch in batches:
-            found = [tools.align(text.as_py() or "") or _NONE for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), *(pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.string()))),
-                    *(_lists([f[i] for f in found]) for i in (3, 4)),
-                ],
-                names=["doc_id", "n_a", "n_b", "groups_sha256", "links", "times"],
-            )
+        # What is remembered has no cycles; searching it for some again and again takes a sixth of the time.
+        gc.disable()
+        try:
+            for batch in batches:
+                found = [tools.align(text.as_py() or "") or _NONE for text in batch.column(1)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0),
+                        *(pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.string()))),
+                        *(_lists([f[i] for f in found]) for i in (3, 4)),
+                    ],
+                    names=["doc_id", "n_a", "n_b", "groups_sha256", "links", "times"],
+                )
+        finally:
+            gc.enable()
 
     return task
 

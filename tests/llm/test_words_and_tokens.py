@@ -191,3 +191,13 @@ def test_alignment_of_odd_texts(spark, monkeypatch):
 
 def test_links_are_bounded_by_the_vocabularies():
     assert 300_000 < possible_links(SPEC) < 400_000
+
+
+def test_words_encoded_together_have_their_own_ids():
+    tools = aligner(SPEC)
+    pool = [w for _, text in texts_of(SMALL) for w in (text or "").split()][:20_000]
+    pool += ["naïve", "日本語", "<|endoftext|>", "</s>", "🎉👩", "a'b", "don't", "1234567", "!!", "x" * 300, "é", "a  b", "a\n b"]
+    random.Random(5).shuffle(pool)
+    assert tools._joined_ids(pool) == tools._single_ids(pool)
+    assert tools._ids(["plain", "literal▁sign"]) == tools._single_ids(["plain", "literal▁sign"])
+    assert tools._ids(["", " x", "y "]) == tools._single_ids(["", " x", "y "])
