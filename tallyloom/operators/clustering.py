@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -347,25 +347,32 @@ def mixture_from_classes(df: DataFrame, array: str, label: str, floor: float = 1
 
 
 def silhouette_rows(
-    df: DataFrame, id_col: str, array: str, clusterings: Sequence[str], block: int = BLOCK_ROWS
+    df: DataFrame, id_col: str, array: str, clusterings: Sequence[str], block: int = BLOCK_ROWS, among: Column | None = None
 ) -> DataFrame:
     """Exact silhouette of every row with plain Euclidean distances, one result column per clustering.
 
     Every row has to be compared with every other one, so the work grows with the square of the rows.
     The rows are cut into blocks; a task compares two blocks once for all clusterings and returns, per
-    row, one distance sum per cluster. For large data use :func:`silhouette_squared`, whose cost is linear.
+    row, one distance sum per cluster. ``among`` tells the rows whose silhouettes are wanted, by the id column; they are
+    compared with all rows. For large data use that or :func:`silhouette_squared`, whose cost is linear.
     """
+    wanted = F.lit(True) if among is None else F.coalesce(among, F.lit(False))
     names = [f"_c{i}" for i in range(len(clusterings))]
     rows = df.select(
         F.col(id_col).alias("_id"), F.col(array).cast("array<double>").alias("_v"),
-        *[F.col(c).cast("int").alias(n) for c, n in zip(clusterings, names, strict=True)],
+        *[F.col(c).cast("int").alias(n) for c, n in zip(clusterings, names, strict=True)], wanted.alias("_wanted"),
     )
-    middle = rows.agg(F.count(F.lit(1)).alias("n"), Summarizer.mean(array_to_vector("_v")).alias("mean")).first()
-    blocks = F.lit(max(1, -(-middle["n"] // block)))
+    middle = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("_wanted").alias("wanted"), Summarizer.mean(array_to_vector("_v")).alias("mean")).first()
     shift = middle["mean"].toArray() if middle["n"] else np.zeros(0)
-    own = F.pmod(F.xxhash64("_id"), blocks).cast("int")
-    left = rows.select("*", own.alias("i"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
-    right = rows.select("*", own.alias("j"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"))
+
+    def side(part: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+        """Rows in their block of this side, once for every block of the other side."""
+        own_blocks, other_blocks = (max(1, -(-n // block)) for n in (n_own, n_other))
+        dealt = F.pmod(F.xxhash64("_id"), F.lit(own_blocks)).cast("int").alias(own)
+        return part.drop("_wanted").select("*", dealt, F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))).alias(other))
+
+    left = side(rows.where("_wanted"), "i", middle["wanted"], "j", middle["n"])
+    right = side(rows, "j", middle["n"], "i", middle["wanted"])
     columns = ["_id", "clustering", "mine", "other", "total", "n"]
 
     def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -407,6 +414,20 @@ def silhouette_rows(
     ])
 
 
+def silhouette_estimate(
+    df: DataFrame, id_col: str, array: str, clusterings: Sequence[str], among: Column, block: int = BLOCK_ROWS
+) -> DataFrame:
+    """Mean plain-distance silhouette of every clustering over the rows ``among``, each compared with all rows:
+    ``(clustering, silhouette, error, n)``, ``error`` being the standard error (null for fewer than two rows)."""
+    rows = silhouette_rows(df, id_col, array, clusterings, block, among)
+    long = rows.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("clustering"), F.col(f"silhouette_{c}").alias("s")) for c in clusterings
+    ])).alias("x")).select("x.*")
+    n = F.count("s")
+    error = F.when(n > 1, F.try_divide(F.stddev_samp("s"), F.sqrt(n)))
+    return long.groupBy("clustering").agg(F.avg("s").alias("silhouette"), error.alias("error"), n.alias("n"))
+
+
 def silhouette_squared(df: DataFrame, array: str, cluster: str) -> DataFrame:
     """Mean silhouette with squared Euclidean distances, in one pass after the cluster moments.
 

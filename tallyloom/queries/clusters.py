@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators import clustering, components, evaluation
+from tallyloom.plans.durable import written
 from tallyloom.queries.registry import query
 from tallyloom.queries.vectors import vectors
 from tallyloom.sources.readers import Tables
@@ -124,15 +125,22 @@ def _mixtures(rows: DataFrame) -> dict[int, clustering.MixtureModel]:
 
 
 def mixture_sweep(rows: DataFrame, best: dict[int, clustering.MixtureModel]) -> DataFrame:
-    """Likelihood and silhouette (by squared distances) for every k; the largest silhouette is marked."""
-    lines = []
+    """Likelihood and plain-distance silhouette for every k; the largest silhouette is marked.
+
+    The silhouettes are those of the rows whose id is divisible by 100 against all rows, for all k in one pass.
+    """
+    assigned = rows.select("vec_id", "embedding")
     for k, model in best.items():
-        assigned = clustering.mixture_responsibilities(rows, "embedding", model)
-        score = clustering.silhouette_squared(assigned, "embedding", "cluster").first()[0]
-        lines.append((k, float(model.score), model.iterations, float(score)))
-    top = max(lines, key=lambda x: (x[3], -x[0]))
+        scored = clustering.mixture_responsibilities(assigned, "embedding", model)
+        assigned = scored.drop("responsibility").withColumnRenamed("cluster", f"k{k}")
+    names = [f"k{k}" for k in best]
+    found = clustering.silhouette_estimate(written(assigned, "assigned"), "vec_id", "embedding", names, F.col("vec_id") % 100 == 0)
+    scores = {r["clustering"]: (r["silhouette"], r["error"]) for r in found.collect()}
+    lines = [(k, float(m.score), m.iterations, *scores.get(f"k{k}", (None, None))) for k, m in best.items()]
+    top = max(lines, key=lambda x: (-1.0 if x[3] is None else x[3], -x[0]))
     return rows.sparkSession.createDataFrame(
-        [(*x, x[0] == top[0]) for x in lines], "k int, log_likelihood double, iterations int, silhouette double, is_best boolean"
+        [(*x, x[0] == top[0]) for x in lines],
+        "k int, log_likelihood double, iterations int, silhouette double, silhouette_error double, is_best boolean",
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators import aggregates, clustering, distributions, evaluation, features, neighbours, ranking, splits
+from tallyloom.operators import aggregates, approximate, clustering, distributions, evaluation, features, neighbours, ranking, splits
 from tallyloom.plans.durable import written
 from tallyloom.queries.registry import query
 from tallyloom.sources.readers import Tables
@@ -378,3 +378,28 @@ def silhouette_exact(t: Tables) -> DataFrame:
     scores = clustering.silhouette_rows(vectors(t), "vec_id", "embedding", ["label"])
     rounded = scores.select("vec_id", F.round("silhouette_label", 6).alias("silhouette"))
     return rounded.join(t.embeddings.select("vec_id", "label"), "vec_id")
+
+
+@query(f"""WITH {VECTORS_SQL}, named AS (SELECT vec_id, 'label' AS clustering, label AS c FROM vectors
+  UNION ALL SELECT vec_id, 'coarse', label % 3 FROM vectors),
+dist AS (SELECT a.vec_id, b.vec_id AS to_id, sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS d
+  FROM vectors a, vectors b WHERE a.vec_id % 100 = 0),
+sums AS (SELECT x.vec_id, m.clustering, m.c AS mine, o.c AS other, sum(d) AS total, count(*) AS n FROM dist x
+  JOIN named m ON m.vec_id = x.vec_id JOIN named o ON o.vec_id = x.to_id AND o.clustering = m.clustering GROUP BY 1, 2, 3, 4),
+ab AS (SELECT vec_id, clustering, max(CASE WHEN other = mine THEN total / nullif(n - 1, 0) END) AS a,
+  min(CASE WHEN other <> mine THEN total / n END) AS b, max(CASE WHEN other = mine THEN n END) AS size FROM sums GROUP BY 1, 2),
+s AS (SELECT clustering, CASE WHEN size > 1 AND b IS NOT NULL THEN (b - a) / greatest(a, b) ELSE 0 END AS s FROM ab)
+SELECT clustering, round(avg(s), 6) AS silhouette, round(stddev_samp(s) / sqrt(count(*)), 6) AS error, CAST(count(*) AS BIGINT) AS n
+FROM s GROUP BY 1""")
+def silhouette_sampled(t: Tables) -> DataFrame:
+    """Mean silhouettes of two groupings over the vectors whose id is divisible by 100, each against all vectors."""
+    rows = vectors(t).withColumn("coarse", F.col("label") % 3)
+    found = clustering.silhouette_estimate(rows, "vec_id", "embedding", ["label", "coarse"], F.col("vec_id") % 100 == 0)
+    return found.withColumns({c: F.round(c, 6) for c in ("silhouette", "error")})
+
+
+@query()
+def knn_lsh(t: Tables) -> DataFrame:
+    """About the ten nearest of all vectors for each one whose id is divisible by 100, by random projections."""
+    rows = vectors(t)
+    return approximate.nearest_approximate(rows.where(F.col("vec_id") % 100 == 0), rows, "vec_id", "embedding", "label", 10)
