@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions import text as tx
+from tallyloom.functions.dates import lenient_date
 from tallyloom.functions.numeric import norm, row_mean, squared_distance
 from tallyloom.operators import aggregates, features
 from tallyloom.queries.registry import query
@@ -182,6 +183,19 @@ def scalar_tour_date(t: Tables) -> DataFrame:
     )
 
 
+@query("""SELECT dayname(CAST(make_date(CAST(year(o_orderdate) - 1 AS BIGINT), 1, 1) + to_months(CAST(month(o_orderdate) + 11 AS INTEGER)) AS DATE)
+  + CAST(day(o_orderdate) - 1 + o_orderkey % 40 AS INTEGER)) AS weekday, CAST(count(*) AS BIGINT) AS n, round(sum(o_totalprice), 2) AS total
+FROM orders GROUP BY 1""")
+def lenient_weekdays(t: Tables) -> DataFrame:
+    """Orders by the weekday of dates whose months and days run over, as in 1995-14-52."""
+    day = F.col("o_orderdate")
+    late = F.concat_ws(
+        "-", F.year(day) - 1, F.month(day) + 12, F.concat((F.dayofmonth(day) + F.col("o_orderkey") % 40).cast("string"), F.lit(" sent"))
+    )
+    named = t.orders.withColumn("weekday", F.date_format(lenient_date(late), "EEEE"))
+    return named.groupBy("weekday").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
 @query("""SELECT vec_id, round(sqrt(list_sum(list_transform(v, lambda x: x * x))), 6) AS norm,
 round(list_sum(list_transform(v, lambda x: (x - 0.5) * (x - 0.5))), 6) AS d2, round(pow(abs(v[1]), 1.5), 6) AS powered,
 round(list_min(v), 6) AS least, round((v[1] + v[2] + v[3]) / 3, 6) AS mean3
