@@ -9,7 +9,7 @@ from tallyloom.operators import classifiers, components, evaluation, features, l
 from tallyloom.operators.classifiers import ForestSpec
 from tallyloom.plans.durable import written
 from tallyloom.queries.registry import query
-from tallyloom.queries.vectors import CUTS_TWO, PARTS_SQL, stored_split, vectors
+from tallyloom.queries.vectors import CUTS_TWO, PARTS_SQL, REPORT_SQL, stored_split, vectors
 from tallyloom.sources.readers import Tables
 
 
@@ -55,11 +55,19 @@ def _voted(train: DataFrame, test: DataFrame, k: int) -> DataFrame:
     return neighbours.vote(found, "vec_id", "label", [k]).join(test.select("vec_id", "label"), "vec_id")
 
 
-@query()
+@query(f"""WITH {PARTS_SQL}, dist AS (SELECT q.vec_id, q.part, q.label AS actual, b.label AS label, b.vec_id AS neighbour,
+  round(sqrt(list_sum(list_transform(list_zip(q.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))), 9) AS d
+  FROM parts q JOIN parts b ON q.part <> 'train' AND b.part = 'train'),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, neighbour) AS rank FROM dist), ks AS (SELECT unnest(range(1, 16)) AS k),
+votes AS (SELECT vec_id, part, actual, k, label, count(*) AS n FROM ranked, ks WHERE rank <= k GROUP BY 1, 2, 3, 4, 5),
+best AS (SELECT vec_id, part, actual, k, arg_max(label, (n, -label)) AS guess FROM votes GROUP BY 1, 2, 3, 4),
+chosen AS (SELECT k FROM best WHERE part = 'validation' GROUP BY k ORDER BY count(CASE WHEN guess = actual THEN 1 END) DESC, k LIMIT 1),
+guessed AS (SELECT actual, guess FROM best WHERE part = 'test' AND k = (SELECT k FROM chosen)), {REPORT_SQL}""")
 def knn_report(t: Tables) -> DataFrame:
     """Per-class report on the test part of the neighbour vote with the best k."""
     train, check, test = _parts(t, "train", "validation", "test")
-    return evaluation.classification_report(_voted(train, test, _best_k(train, check)), "label", "predicted")
+    report = evaluation.classification_report(_voted(train, test, _best_k(train, check)), "label", "predicted")
+    return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 
 
 COSTS = [0.01, 0.1, 1, 10, 100]

@@ -184,6 +184,16 @@ def split_two_way(t: Tables) -> DataFrame:
 
 
 GUESS_SQL = """guessed AS (SELECT l_returnflag AS actual, CASE WHEN l_linestatus = 'O' THEN 'N' WHEN l_quantity > 25 THEN 'A' ELSE 'R' END AS guess FROM lineitem)"""
+# The report on a table guessed (actual, guess).
+REPORT_SQL = """classes AS (SELECT actual AS c FROM guessed UNION SELECT guess FROM guessed),
+per AS (SELECT c, (SELECT count(*) FROM guessed WHERE actual = c) AS support, (SELECT count(*) FROM guessed WHERE guess = c) AS found,
+  (SELECT count(*) FROM guessed WHERE actual = c AND guess = c) AS hits FROM classes),
+s AS (SELECT CAST(c AS VARCHAR) AS class, support, hits, coalesce(hits / nullif(found, 0), 0) AS p, coalesce(hits / nullif(support, 0), 0) AS r FROM per),
+f AS (SELECT *, coalesce(2 * p * r / nullif(p + r, 0), 0) AS f FROM s)
+SELECT class, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1, CAST(support AS BIGINT) AS support FROM f
+UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6), round(sum(f * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'accuracy', round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f"""
 
 
 def guessed(t: Tables) -> DataFrame:
@@ -196,15 +206,7 @@ def confusion_matrix(t: Tables) -> DataFrame:
     return evaluation.confusion(guessed(t), "actual", "guess")
 
 
-@query(f"""WITH {GUESS_SQL}, classes AS (SELECT actual AS c FROM guessed UNION SELECT guess FROM guessed),
-per AS (SELECT c, (SELECT count(*) FROM guessed WHERE actual = c) AS support, (SELECT count(*) FROM guessed WHERE guess = c) AS found,
-  (SELECT count(*) FROM guessed WHERE actual = c AND guess = c) AS hits FROM classes),
-s AS (SELECT c AS class, support, hits, coalesce(hits / nullif(found, 0), 0) AS p, coalesce(hits / nullif(support, 0), 0) AS r FROM per),
-f AS (SELECT *, coalesce(2 * p * r / nullif(p + r, 0), 0) AS f FROM s)
-SELECT class, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1, CAST(support AS BIGINT) AS support FROM f
-UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), CAST(sum(support) AS BIGINT) FROM f
-UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6), round(sum(f * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f
-UNION ALL SELECT 'accuracy', round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f""")
+@query(f"WITH {GUESS_SQL}, {REPORT_SQL}")
 def classification_report(t: Tables) -> DataFrame:
     report = evaluation.classification_report(guessed(t), "actual", "guess")
     return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
