@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tallyloom.functions import text as tx
 from tallyloom.functions.dates import lenient_date
 from tallyloom.functions.numeric import norm, row_mean, squared_distance
+from tallyloom.functions.unicode import nfkc
 from tallyloom.operators import aggregates, features
 from tallyloom.queries.registry import query
 from tallyloom.sources.readers import Tables, parse_csv_column
@@ -98,6 +99,20 @@ def year_normalise(t: Tables) -> DataFrame:
     return cleaned.withColumn("is_range", tx.is_year_range(F.col("year")))
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+WIDE_LETTERS = "ａｂｃｄｅｆｇｈｉｊｋｌｍｎｏｐｑｒｓｔｕｖｗｘｙｚ"
+
+
+@query("""SELECT p_partkey, replace(replace(p_name, 'e', 'ệ'), 'o', 'ố') || ' fi 한 ' || CAST(p_size AS VARCHAR) AS name FROM part""")
+def nfkc_names(t: Tables) -> DataFrame:
+    """Names in wide letters, with marks in either order, a ligature, Korean letters and wide digits, in normal form."""
+    wide = F.translate(F.col("p_name"), LETTERS, WIDE_LETTERS)
+    marked = F.replace(F.replace(wide, F.lit("ｅ"), F.lit("ｅ\u0302\u0323")), F.lit("ｏ"), F.lit("ｏ\u0302\u0301"))
+    size = F.translate(F.col("p_size").cast("string"), "0123456789", FULL_WIDTH)
+    messy = F.concat(marked, F.lit("\u3000\ufb01\u00a0\u1112\u1161\u11ab\u2003"), size)
+    return t.part.select("p_partkey", nfkc(messy).alias("name"))
+
+
 @query("""SELECT p_partkey, replace(p_name, ' ', ', ') AS name, p_type, p_retailprice AS price FROM part""")
 def csv_quoted_parse(t: Tables) -> DataFrame:
     quoted = F.concat(F.lit('"'), F.replace("p_name", F.lit(" "), F.lit(", ")), F.lit('"'))

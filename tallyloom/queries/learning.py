@@ -297,3 +297,12 @@ def pca_classify(t: Tables) -> DataFrame:
         guessed = linear.predict(test, "embedding", machine).withColumn("guess", F.col("predictions")[0])
         lines.append((name, "svm", float(evaluation.accuracy(guessed, "label", "guess").first()[0])))
     return spark.createDataFrame(lines, "data string, model string, accuracy double")
+
+
+@query()
+def pca_leading(t: Tables) -> DataFrame:
+    """Shares of the variance and loadings of the first components, found without the covariance matrix."""
+    fitted = components.leading_components(t.embeddings.select("embedding"), "embedding", 8, extra=40)
+    found = [(i, j, float(share), float(x)) for i, share in enumerate(fitted.share) for j, x in enumerate(fitted.axes[:, i])]
+    rows = t.embeddings.sparkSession.createDataFrame(found, "component int, feature int, share double, loading double")
+    return rows.withColumns({c: F.round(c, 6) for c in ("share", "loading")})

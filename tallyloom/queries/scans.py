@@ -10,7 +10,7 @@ from tallyloom.functions import text as tx
 from tallyloom.operators import aggregates
 from tallyloom.plans.durable import scratch_path
 from tallyloom.queries.registry import query
-from tallyloom.sources import readers, writers
+from tallyloom.sources import readers, records, writers
 from tallyloom.sources.readers import Tables
 
 
@@ -71,6 +71,21 @@ def scan_csv_inferred(t: Tables) -> DataFrame:
     return rows.withColumn("day", F.col("day").cast("string"))
 
 
+TEXTS_SCHEMA = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("source", T.StringType()),
+])
+
+
+@query("SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars, md5(text) AS digest, source FROM documents WHERE text <> ''")
+def scan_csv_multiline(t: Tables) -> DataFrame:
+    """Documents through CSV files whose fields hold line breaks, every file read by as many tasks as it has ranges."""
+    documents = t.documents
+    path = scratch_path(documents.sparkSession, "texts")
+    writers.write_csv(documents.select("doc_id", "text", "source").where("text <> ''"), path)
+    rows = records.read_multiline_csv(documents.sparkSession, path, TEXTS_SCHEMA, strict=True)
+    return rows.select("doc_id", F.length("text").alias("n_chars"), F.md5("text").alias("digest"), "source")
+
+
 @query(r"""WITH words AS (SELECT unnest(string_split_regex(lower(text), '[ \t\n\x0B\f\r]+')) AS word FROM conversations)
 SELECT word, CAST(count(*) AS BIGINT) AS n FROM words WHERE word <> '' GROUP BY word""")
 def write_kv_roundtrip(t: Tables) -> DataFrame:
