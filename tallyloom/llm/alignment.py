@@ -16,6 +16,7 @@ from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ GAP = re.compile(r"(?<=\S) (?=\S)")
 SECTION = 1 << 18
 # Ids of a text that its tokens' bytes do not spell.
 BROKEN = (b"", b"")
+# What is not remembered.
+ABSENT = object()
 
 
 @dataclass(frozen=True)
@@ -54,9 +57,9 @@ class Remembered(dict):
 
     def all(self, keys: list) -> list:
         """The values of the keys, in order."""
-        found = list(map(self.get, keys))
-        if None in found:
-            missing = {k for k, v in zip(keys, found, strict=True) if v is None}
+        found = list(map(self.get, keys, repeat(ABSENT)))
+        missing = {k for k, v in zip(keys, found, strict=True) if v is ABSENT}
+        if missing:
             known = {k: self.older[k] for k in missing if k in self.older}
             new = list(missing - known.keys())
             if new:
@@ -65,7 +68,7 @@ class Remembered(dict):
                 self.older = dict(self)
                 self.clear()
             self.update((k, v) for k, v in known.items() if self.size(k) <= LONGEST_KEPT)
-            found = [known[k] if v is None else v for k, v in zip(keys, found, strict=True)]
+            found = [known[k] if v is ABSENT else v for k, v in zip(keys, found, strict=True)]
         return found
 
 
@@ -105,7 +108,7 @@ class Aligner:
         )
         # Without a piece that holds a space behind something else, words are tokenized each for itself.
         self.gaps = not any(b" " in b.lstrip(b" ") for b in self.right_bytes)
-        self.words = Remembered(self._ids, len)
+        self.words = Remembered(self._aligned_words, len)
         self.windows = Remembered(self._aligned, lambda key: len(key[0]) + len(key[1]))
 
     def _ids(self, words: list[str]) -> list[tuple[bytes, bytes]]:
@@ -147,6 +150,27 @@ class Aligner:
             out.append((array("I", left).tobytes(), array("I", right).tobytes()) if whole else BROKEN)
         return out
 
+    def _aligned_words(self, words: list[str]) -> list[tuple[str, bytes, int, int] | None]:
+        """The groups and links of texts with a space before each, as :meth:`_aligned` has them, and their ids on both
+        sides; None where the bytes of the tokens are not the text's."""
+        ids = self._ids(words)
+        sound = [x for x in ids if x != BROKEN]
+        if not sound:
+            return [None] * len(ids)
+        # A space opens each text, so windows start where texts do.
+        windows = self._windows(*(b"".join([x[side] for x in sound]) for side in (0, 1)))
+        parts = zip(windows, self.windows.all(windows), strict=True)
+        out = []
+        for left, right in ids:
+            texts, links, taken = [], [], 0
+            while taken < len(left):
+                (own, _), (text, found) = next(parts)
+                texts.append(text)
+                links.append(found)
+                taken += len(own)
+            out.append((";".join(texts), b"".join(links), len(left) // 4, len(right) // 4) if texts else None)
+        return out
+
     def _aligned(self, windows: list[tuple[bytes, bytes]]) -> list[tuple[str, bytes]]:
         """The groups of each window as text, and its links as (left id, right id) in one 64-bit number each."""
         a, b = (np.frombuffer(b"".join([w[side] for w in windows]), "<u4") for side in (0, 1))
@@ -204,15 +228,13 @@ class Aligner:
         digest, links, times = hashlib.sha256(), np.zeros(0, np.int64), np.zeros(0, np.int64)
         for section in self._sections(text) if text else ():
             known = self.words.all(GAP.split(section) if self.gaps else [section])
-            if BROKEN in known:
+            if None in known:
                 return None
-            left, right = b"".join([k[0] for k in known]), b"".join([k[1] for k in known])
-            aligned = self.windows.all(self._windows(left, right))
-            digest.update(b";" * bool(n_a) + ";".join([x[0] for x in aligned]).encode())
-            found, n = np.unique(np.frombuffer(b"".join([x[1] for x in aligned]), np.int64), return_counts=True)
+            digest.update(b";" * bool(n_a) + ";".join([x[0] for x in known]).encode())
+            found, n = np.unique(np.frombuffer(b"".join([x[1] for x in known]), np.int64), return_counts=True)
             links, place = np.unique(np.concatenate([links, found]), return_inverse=True)
             times = np.bincount(place, np.concatenate([times, n])).astype(np.int64)
-            n_a, n_b = n_a + len(left) // 4, n_b + len(right) // 4
+            n_a, n_b = n_a + sum([x[2] for x in known]), n_b + sum([x[3] for x in known])
         return (n_a, n_b, digest.hexdigest(), links, times) if n_a else None
 
 
