@@ -80,3 +80,14 @@ def test_leading_shares_of_the_vectors(spark, sf_dir):
     assert len(got) == 8 * 64
     for (i, j), r in got.items():
         assert abs(r.share - exact.share[i]) < 2e-6 and abs(r.loading - exact.axes[j, i]) < 1e-5
+
+
+def test_leading_components_of_flat_spectra(spark):
+    # Noise alone: neighbouring shares are so close that plain power iteration does not end.
+    x = np.random.default_rng(3).standard_normal((3_000, 64))
+    rows = spark.createDataFrame([(v,) for v in x.tolist()], "x array<double>")
+    exact = components.fit_components(rows, "x").first(8)
+    for extra in (10, 40):
+        got = components.leading_components(rows, "x", 8, extra=extra)
+        assert np.allclose(got.share, exact.share, rtol=1e-9)
+        assert np.linalg.norm(exact.axes - got.axes @ (got.axes.T @ exact.axes), 2) < 1e-6
