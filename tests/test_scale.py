@@ -197,3 +197,26 @@ def test_top_k_per_group_of_a_heavy_group(spark):
     df = spark.range(2000).select(F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("g"), "id")
     got = ranking.top_k_per_group(df, ["g"], [F.desc("id")], 2).where("g = 0").orderBy("rank")
     assert [r["id"] for r in got.collect()] == [1999, 1997]
+
+
+def test_a_pass_sends_the_driver_one_total(spark, monkeypatch):
+    from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+
+    from tallyloom.operators.passes import sums_by_slot
+
+    x = np.random.default_rng(1).random((400, 40))
+    rows = spark.createDataFrame([(v,) for v in x.tolist()], StructType([StructField("v", ArrayType(DoubleType()))])).repartition(20).persist()
+    received, collect = [], type(rows).toArrow
+
+    def counted(frame):
+        table = collect(frame)
+        received.append(table.nbytes)
+        return table
+
+    monkeypatch.setattr(type(rows), "toArrow", counted)
+    for slots in (3, 300):
+        got = sums_by_slot(rows, lambda blocks, n=slots: np.outer(np.arange(n), sum(b.sum(0) for (b,) in blocks)), (slots, 40), 20)
+        assert np.allclose(got, np.outer(np.arange(slots), x.sum(0)))
+    rows.unpersist()
+    # Twenty partitions of 300 x 40 numbers would be 1.9 MB.
+    assert received[1] < 300 * 40 * 8 * 1.2
