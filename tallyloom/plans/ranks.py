@@ -28,14 +28,17 @@ def ordered_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], size:
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     counts = cut.groupBy(*keys, "_range").agg(F.sum("_size").alias("_sum"))
     first = F.coalesce(F.sum("_sum").over(before), F.lit(0))
-    firsts = counts.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("_range").alias("_in"), first.alias("_first"))
+    # Only keys that go on from an earlier range start behind 0: at most one per range, so the rows need no shuffle for them.
+    firsts = counts.select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("_range").alias("_in"), first.alias("_first")
+    ).where("_first <> 0")
     inside = Window.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     same = (F.col("_range") == F.col("_in"))
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
     return (
         cut.withColumn("_inside", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
-        .join(firsts, same)
-        .withColumn(name, F.col("_first") + F.col("_inside"))
+        .join(F.broadcast(firsts), same, "left")
+        .withColumn(name, F.coalesce(F.col("_first"), F.lit(0)) + F.col("_inside"))
         .drop("_range", "_in", "_inside", "_size", "_first", *[f"_key{i}" for i in range(len(keys))])
     )

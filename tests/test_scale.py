@@ -220,3 +220,23 @@ def test_a_pass_sends_the_driver_one_total(spark, monkeypatch):
     rows.unpersist()
     # Twenty partitions of 300 x 40 numbers would be 1.9 MB.
     assert received[1] < 300 * 40 * 8 * 1.2
+
+
+def test_pairs_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    from tallyloom.operators import pairs
+
+    rows = spark.range(900).selectExpr("id % 90 AS g", "id AS m")
+    want = sorted(pairs.pair_counts(rows, "g", "m").collect())
+    monkeypatch.setattr(pairs, "TASK_MEMBERS", 40)
+    assert pairs.member_pairs(rows, "g", "m").rdd.getNumPartitions() == 23
+    assert sorted(pairs.pair_counts(rows, "g", "m").collect()) == want
+
+
+def test_positions_need_no_shuffle_of_rows_for_their_start(spark):
+    from tallyloom.plans.ranks import ordered_rank
+
+    rows = spark.range(4_000).selectExpr("id % 3 AS k", "id AS v").where("k < 2")
+    placed = ordered_rank(rows, ["k"], ["v"], "place")
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" in plan and "strategy=broadcast" in plan
+    assert placed.where("place <> v div 3").count() == 0
