@@ -27,7 +27,7 @@ def member_pairs(
 
     The members are joined to themselves on the group. A group with more than ``block`` members is cut
     into blocks by a hash of the member, and each pair of blocks is a join key of its own, so that the
-    work on one large group is shared by many tasks. The tasks of the join grow with the members, which are counted.
+    work on one large group is shared by many tasks. The tasks of the join grow with the rows, which are counted.
     """
     # Filtered here rather than by the join, so that all uses of the members share one shuffle.
     members = df.where(F.col(group).isNotNull() & F.col(member).isNotNull()).select(group, member, *carry).distinct()
@@ -45,7 +45,7 @@ def member_pairs(
         group, F.col(member).alias("_y"), F.col("_own").alias("_j"),
         F.explode(F.sequence(F.lit(0), F.col("_own"))).alias("_i"),
     )
-    tasks = -(-members.count() // TASK_MEMBERS)
+    tasks = -(-df.count() // TASK_MEMBERS)
     if tasks > 1:
         left, right = (side.repartition(tasks, group, "_i", "_j") for side in (left, right))
     return (
