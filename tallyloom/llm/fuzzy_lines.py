@@ -7,7 +7,7 @@ the first by (doc_id, line number) stays, all others are cut out of their docume
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import cache, partial
 
@@ -17,13 +17,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import bounded_broadcast, components, portions, prepare, unused
+from tallyloom.llm.common import batches_of, bounded_broadcast, components, portions, prepare, unused
 from tallyloom.llm.shingles import band_keys, mixed
 from tallyloom.llm.similar import Measure, links_of
 from tallyloom.plans.durable import written
-from tallyloom.plans.skew import PARTS, SALT, replicated, salted
 
 _U = np.uint64
+# Numbers that are worked on at once.
+PIECE = 65_536
 
 
 @dataclass(frozen=True)
@@ -47,6 +48,7 @@ class LineDuplicates:
             self.percent,
             self.rows,
             max(0.0, self.percent / 100 - 0.35),
+            partial(line_sets, size=self.size),
         )
 
 
@@ -70,13 +72,17 @@ def _factors(seed: int, n: int) -> np.ndarray:
 
 
 def _rolled(codes: np.ndarray, size: int) -> np.ndarray:
-    """A hash of each run of ``size`` code points."""
+    """A hash of each run of ``size`` code points, in pieces that stay in the processor's cache."""
     factors = _factors(41, size)
-    wide = codes.astype(_U)
     total = np.zeros(max(0, codes.size - size + 1), _U)
-    for j in range(size):
-        total += wide[j : j + total.size] * factors[j]
-    return mixed(total)
+    for first in range(0, total.size, PIECE // 4):
+        piece = total[first : first + PIECE // 4]
+        wide = codes[first : first + piece.size + size - 1].astype(_U)
+        product = np.empty_like(piece)
+        for j in range(size):
+            piece += np.multiply(wide[j : j + piece.size], factors[j], out=product)
+        piece[:] = mixed(piece)
+    return total
 
 
 def _codes(line: str) -> np.ndarray:
@@ -85,10 +91,32 @@ def _codes(line: str) -> np.ndarray:
 
 def char_shingles(line: bytes, size: int) -> np.ndarray:
     """Sorted distinct shingle hashes of one normalised line; a shorter line is one shingle."""
-    codes = _codes(line.decode("utf-8", "surrogatepass"))
-    if codes.size < size:
-        codes = np.pad(codes, (0, size - codes.size))
-    return np.unique(_rolled(codes, size))
+    return line_sets([line], size)[0]
+
+
+def line_sets(lines: Sequence[bytes], size: int) -> list[np.ndarray]:
+    """``char_shingles`` of several lines at once."""
+    codes, starts, ends = _joined([x.decode("utf-8", "surrogatepass") for x in lines], size)
+    hashes = _rolled(codes, size)
+    sets = []
+    for first, last in zip(starts.tolist(), ends.tolist(), strict=True):
+        some = np.sort(hashes[first:last])
+        new = np.empty(some.size, bool)
+        new[0] = True
+        np.not_equal(some[1:], some[:-1], out=new[1:])
+        sets.append(some[new])
+    return sets
+
+
+def _joined(lines: Sequence[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of lines one after another, and where the runs of each line start and end.
+
+    Between two lines lie the runs that reach into the next one: one for each code point of a run but the first, and the break.
+    """
+    lines = [x.ljust(size, "\0") for x in lines]
+    counts = np.array([len(x) for x in lines]) - size + 1
+    ends = np.cumsum(counts + size) - size
+    return _codes("\n".join(lines)), ends - counts, ends
 
 
 @cache
@@ -98,45 +126,41 @@ def _multipliers(length: int) -> np.ndarray:
 
 def char_minhash(elements: np.ndarray, length: int) -> np.ndarray:
     """Signature of one set of shingle hashes: the minimum under ``length`` multiplicative permutations."""
-    return _signatures(elements, np.zeros(1, np.int64), length)[0]
+    return _signatures(elements, np.zeros(1, np.int64), np.array([elements.size]), length)[0]
 
 
-def _signatures(flat: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Signatures of non-empty sets that lie one after another, in pieces that stay in the processor's cache."""
+def _signatures(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
+    """Signatures of the non-empty sets between ``starts`` and ``ends``, in pieces that stay in the processor's cache."""
     out = np.empty((starts.size, length), np.uint32)
     values = (flat >> _U(32)).astype(np.uint32)
-    ends = np.append(starts[1:], values.size)
     first = 0
     while first < starts.size:
-        last = max(first + 1, int(np.searchsorted(ends, starts[first] + 16_384, "right")))
-        piece, at = values[starts[first] : ends[last - 1]], starts[first:last] - starts[first]
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + PIECE, "right")))
+        piece = values[starts[first] : ends[last - 1]]
+        # Every other stretch is a set, those between are left out.
+        at = np.stack([starts[first:last], ends[first:last]], axis=1).ravel()[:-1] - starts[first]
         product = np.empty_like(piece)
         for k, a in enumerate(_multipliers(length)):
-            out[first:last, k] = np.minimum.reduceat(np.multiply(piece, a, out=product), at)
+            out[first:last, k] = np.minimum.reduceat(np.multiply(piece, a, out=product), at)[::2]
         first = last
     return out
 
 
 def _line_bands(lines: list[str], spec: LineDuplicates) -> np.ndarray:
     """Band keys of several normalised lines at once."""
-    lines = [x.ljust(spec.size, "\0") for x in lines]
-    hashes = _rolled(_codes("\n".join(lines)), spec.size)
-    counts = np.array([len(x) for x in lines]) - spec.size + 1
-    # Runs that reach into the next line are left out: one for each code point of a run but the first, and the break.
-    ends = np.cumsum(counts + spec.size) - spec.size
-    inside = np.ones(hashes.size, bool)
-    across = (ends[:-1, None] + np.arange(spec.size)).ravel()
-    inside[across] = False
-    starts = np.cumsum(counts) - counts
-    return band_keys(_signatures(hashes[inside], starts, spec.bands * spec.rows), spec.rows)
+    codes, starts, ends = _joined(lines, spec.size)
+    return band_keys(_signatures(_rolled(codes, spec.size), starts, ends, spec.bands * spec.rows), spec.rows)
 
 
 def _long_lines(text: str | None, least: int) -> list[tuple[int, str]]:
     """(number, normal form) of the lines that are compared."""
     found = []
     for number, line in enumerate((text or "").lower().split("\n")):
-        if len(line) >= least and len(line := " ".join(line.split())) >= least:
-            found.append((number, line))
+        if len(line) >= least:
+            # The only printable white space is the blank.
+            line = line.strip(" ") if line.isprintable() and "  " not in line else " ".join(line.split())
+            if len(line) >= least:
+                found.append((number, line))
     return found
 
 
@@ -171,11 +195,11 @@ def _sketch(spec: LineDuplicates):
                 compared = [len(x) >= spec.least and seen.first(i) for x, i in zip(lines[some], ids, strict=True)]
                 new = [x for x, yes in zip(lines[some], compared, strict=True) if yes]
                 keys = _line_bands(new, spec) if new else np.empty((0, spec.bands), np.int64)
-                offsets = pa.array(np.cumsum([0, *compared], dtype=np.int32) * np.int32(keys.shape[1]))
+                packed = iter(keys.view(f"V{8 * spec.bands}").ravel().tolist())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(docs[some], pa.int64()), pa.array(rows[some], pa.int64()), pa.array(numbers[some], pa.int32()),
-                        pa.array(ids, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())),
+                        pa.array(ids, pa.int64()), pa.array([next(packed) if yes else None for yes in compared], pa.binary()),
                     ],
                     names=["doc_id", "row", "line", "id", "bands"],
                 )
@@ -196,8 +220,48 @@ def _texts(spec: LineDuplicates):
     return task
 
 
-# Places of one class that a task compares with its first; more are dealt to several.
-PLACES = 100_000
+# Places that a task compares at once before they are dealt by class.
+PLACES = 1_000_000
+
+PLACE = "class long, doc_id long, line int, row long, cut boolean"
+
+
+def _later(batches: Sequence[pa.RecordBatch]) -> pa.RecordBatch:
+    """Marks all places of a class to cut but the first of those not yet marked."""
+    table = pa.Table.from_batches(batches)
+    known, *place = (table.column(c).to_numpy() for c in ("cut", "class", "doc_id", "line", "row"))
+    before = [x[known] for x in place]
+    place = [x[~known] for x in place]
+    order = np.lexsort(place[::-1])
+    place = [x[order] for x in place]
+    # A row that is repeated gives the same place again, which counts once.
+    same = np.ones(max(0, order.size - 1), bool)
+    for x in place:
+        same &= x[1:] == x[:-1]
+    place = [np.delete(x, np.flatnonzero(same) + 1) for x in place]
+    later = np.append(False, place[0][1:] == place[0][:-1])[: place[0].size]
+    cut = np.append(np.ones(before[0].size, bool), later)
+    return pa.RecordBatch.from_arrays(
+        [*(pa.array(np.append(a, b)) for a, b in zip(before, place, strict=True)), pa.array(cut)],
+        names=["class", "doc_id", "line", "row", "cut"],
+    )
+
+
+def _marked(at_once: int | None = None):
+    """Marks places to cut, among so many at once or among all of a partition."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if at_once and n >= at_once:
+                yield _later(held)
+                held, n = [], 0
+        if n:
+            yield _later(held)
+
+    return task
 
 
 def row_key(docs: DataFrame) -> Column:
@@ -217,24 +281,17 @@ def duplicate_lines(docs: DataFrame, spec: LineDuplicates | None = None) -> Data
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), row_key(docs).alias("row"), F.col("text").cast("string"))
     docs = docs.where("doc_id IS NOT NULL AND text <> ''")
-    sketches = written(docs.mapInArrow(_sketch(spec), "doc_id long, row long, line int, id long, bands array<long>"), "lines")
-    sets = sketches.where("size(bands) > 0").groupBy("id").agg(F.first("bands").alias("bands"))
-    bands = sets.select(F.explode("bands").alias("key"), "id")
+    sketches = written(docs.mapInArrow(_sketch(spec), "doc_id long, row long, line int, id long, bands binary"), "lines")
+    bands = sketches.where("bands IS NOT NULL").select("id", "bands")
     texts = docs.select("text").mapInArrow(_texts(spec), "id long, text string")
-    links = links_of(bands, texts, spec.measure(), "line")
+    links = links_of(bands, texts, spec.measure(), "line", sketches.count() * spec.bands)
     named = written(components(links, "a", "b"), "line-components")
-    # Repeated rows of a document give the same lines again, which neither the minimum nor the set below mind.
     classed = sketches.select("doc_id", "row", "line", "id").join(bounded_broadcast(named), F.col("id") == F.col("node"), "left").select(
-        "doc_id", "row", "line", F.coalesce("component", "id").alias("class")
-    )
-    firsts = written(
-        classed.groupBy("class").agg(F.min(F.struct("doc_id", "line", "row")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"),
-        "first-lines",
+        F.coalesce("component", "id").alias("class"), "doc_id", "line", "row", F.lit(False).alias("cut")
     )
-    heavy = firsts.where(F.col("n") >= PLACES).select("class", F.ceil(F.col("n") / PLACES).cast("int").alias(PARTS))
-    dealt = salted(classed, heavy, ["class"], ["row", "line"]).drop(PARTS)
-    met = dealt.join(replicated(firsts.select("class", "first"), heavy, ["class"]), ["class", SALT])
-    cut = met.where("first.doc_id <> doc_id OR first.line <> line OR first.row <> row")
+    # What a task can tell to be cut is not dealt by class, so of a class come at most a few places from each task.
+    own = classed.mapInArrow(_marked(PLACES), PLACE).repartition("class", F.when(F.col("cut"), F.xxhash64("doc_id", "line")))
+    cut = own.mapInArrow(_marked(), PLACE).where("cut")
     return cut.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 
@@ -247,7 +304,9 @@ def without_duplicate_lines(docs: DataFrame, spec: LineDuplicates | None = None,
     if {lines.lower(), cut.lower()} & {c.lower() for c in docs.columns}:
         raise ValueError(f"columns {lines} and {cut} must be new")
     doc, row, lost = (unused(docs, n) for n in ("doc", "row", "lost"))
-    cuts = written(duplicate_lines(docs, spec).toDF(doc, row, lost), "line-cuts")
+    found = duplicate_lines(docs, spec).toDF(doc, row, lost)
+    with batches_of(docs.sparkSession, PLACES // 16):
+        cuts = written(found, "line-cuts")
     same = (docs["doc_id"].cast("long") == F.col(doc)) & (row_key(docs) == F.col(row))
     joined = docs.join(bounded_broadcast(cuts, F.size(lost)), same, "left")
     parts = F.split("text", "\n", -1)

@@ -49,10 +49,10 @@ def _sketches(spec: NearDuplicates):
                 sizes.append(elements.size)
                 digests.append(xxhash.xxh3_128_digest(elements.tobytes()) if elements.size else None)
                 keys.append(
-                    band_keys(circulant_minhash(elements, spec.bands * spec.rows), spec.rows) if elements.size else None
+                    band_keys(circulant_minhash(elements, spec.bands * spec.rows), spec.rows).tobytes() if elements.size else None
                 )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.binary())],
                 names=["doc_id", "n_shingles", "digest", "bands"],
             )
 
@@ -73,7 +73,7 @@ def near_duplicates(docs: DataFrame, spec: NearDuplicates | None = None) -> Data
     prepare(docs.sparkSession)
     sketches = written(
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-            _sketches(spec), "doc_id long, n_shingles long, digest binary, bands array<long>"
+            _sketches(spec), "doc_id long, n_shingles long, digest binary, bands binary"
         ),
         "sketches",
     )
@@ -83,9 +83,9 @@ def near_duplicates(docs: DataFrame, spec: NearDuplicates | None = None) -> Data
         .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")),
         "sets",
     )
-    bands = sets.select(F.explode("bands").alias("key"), F.col("rep").alias("id"))
+    bands = sets.select(F.col("rep").alias("id"), "bands")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).where("id IS NOT NULL")
-    links = links_of(bands, texts, spec.measure(), "minhash")
+    links = links_of(bands, texts, spec.measure(), "minhash", sets.count() * spec.bands)
     named = components(links, "a", "b")
     classes = sets.join(named, F.col("rep") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "rep").alias("found")

@@ -8,9 +8,8 @@ large ones in blocks inside tasks that return at most one link per row.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import bounded_broadcast, components
+from tallyloom.llm.common import batches_of, bounded_broadcast, components, portions
 from tallyloom.llm.shingles import band_keys
 from tallyloom.plans.durable import written
 from tallyloom.plans.skew import SALT, heavy_keys, replicated, salted
@@ -41,40 +40,36 @@ class Measure:
     # Share of equal signature coordinates under which a pair inside a block is not compared: many standard
     # deviations below the threshold, so that a pair at the threshold is lost far more rarely than by banding.
     agree: float
+    # The sets of several texts, where that is faster than one by one.
+    sets: Callable[[Sequence[bytes]], list[np.ndarray]] | None = None
 
-    def linked(self, a: np.ndarray | frozenset, b: np.ndarray | frozenset) -> bool:
-        """Both sets as arrays, or both as Python sets, which small ones are compared faster by."""
-        small, large = sorted((len(a), len(b)))
+    def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether two sets, arrays of distinct elements, are similar enough."""
+        small, large = sorted((a.size, b.size))
         if not small or 100 * small < self.percent * large:
             return False
-        common = len(a & b) if isinstance(a, frozenset) else np.intersect1d(a, b, assume_unique=True).size
+        both = np.concatenate((a, b))
+        both.sort()
+        common = int(np.count_nonzero(both[1:] == both[:-1]))
         return 100 * common >= self.percent * (small + large - common)
 
+    def sets_of(self, texts: Sequence[bytes]) -> list[np.ndarray]:
+        return self.sets(texts) if self.sets else [self.elements(x) for x in texts]
 
-# Texts of up to so many bytes are compared as Python sets, and a worker remembers the sets of some.
-SMALL_TEXT = 2_048
-REMEMBERED = 8_192
+
+# Bytes of texts whose sets a task holds at once.
+COMPARED = 1 << 20
 
 
 def _verify(measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, left = None, np.zeros(0, np.uint64)
-
-        @lru_cache(maxsize=REMEMBERED)
-        def small(text: bytes) -> frozenset:
-            return frozenset(measure.elements(text).tolist())
-
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            ta, tb = (batch.column(i).cast(pa.binary()).to_pylist() for i in (2, 3))
+            pairs = list(zip(*(batch.column(i).cast(pa.binary()).to_pylist() for i in (2, 3)), strict=True))
             keep = []
-            for i in range(len(a)):
-                if max(len(ta[i]), len(tb[i])) <= SMALL_TEXT:
-                    keep.append(measure.linked(small(ta[i]), small(tb[i])))
-                    continue
-                if a[i] != last:
-                    last, left = a[i], measure.elements(ta[i])
-                keep.append(measure.linked(left, measure.elements(tb[i])))
+            for some in portions([x + y for x, y in pairs], COMPARED):
+                texts = list({x: None for pair in pairs[some] for x in pair})
+                sets = dict(zip(texts, measure.sets_of(texts), strict=True))
+                keep += [measure.linked(sets[x], sets[y]) for x, y in pairs[some]]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], names=["a", "b"]
             )
@@ -158,18 +153,67 @@ def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
     return named.join(open_keys, "key")
 
 
-def links_of(bands: DataFrame, texts: DataFrame, measure: Measure, name: str) -> DataFrame:
+# Rows (key, id) that a task looks for shared keys in, and rows of one batch of sketches and of members.
+KEYS = 500_000
+ROWS = 1 << 15
+
+
+def _dealt(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The keys of each batch of sketches and their ids as arrays, one row for each part that keys fall in."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64)
+            ids = np.repeat(batch.column(0).to_numpy(), keys.size // batch.num_rows)
+            part = (keys.view(np.uint64) % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            part, keys, ids = part[order], keys[order], ids[order]
+            first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+            cuts = list(zip(first.tolist(), [*first[1:].tolist(), part.size], strict=True))
+            arrays = (pa.array([x[i:j].tobytes() for i, j in cuts], pa.binary()) for x in (keys, ids))
+            yield pa.RecordBatch.from_arrays([pa.array(part[first]), *arrays], names=["part", "keys", "ids"])
+
+    return task
+
+
+def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, id, hub) of the keys that several ids have, hub being the smallest; all arrays of a part are in one partition."""
+    parts = [tuple(np.frombuffer(b"".join(batch.column(i).to_pylist()), np.int64) for i in (1, 2)) for batch in batches]
+    if not parts:
+        return
+    key, ids = (np.concatenate(column) for column in zip(*parts, strict=True))
+    del parts
+    order = np.argsort(key)
+    key = key[order]
+    # Most keys come up once and need no further look.
+    same = key[1:] == key[:-1]
+    repeated = np.append(same, False) | np.insert(same, 0, False)
+    key, ids = key[repeated], ids[order[repeated]]
+    order = np.lexsort((ids, key))
+    key, ids = key[order], ids[order]
+    new = np.ones(key.size, bool)
+    new[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
+    key, ids = key[new], ids[new]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: key.size])
+    sizes = np.diff(np.append(first, key.size))
+    shared = np.repeat(sizes > 1, sizes)
+    columns = [x[shared] for x in (key, ids, np.repeat(ids[first], sizes))]
+    for at in range(0, columns[0].size, ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(x[at : at + ROWS]) for x in columns], names=["key", "id", "hub"])
+
+
+def links_of(bands: DataFrame, texts: DataFrame, measure: Measure, name: str, rows: int) -> DataFrame:
     """Verified links (a, b) that join every two rows which the buckets and the exact test connect.
 
-    ``bands`` has (key, id), ``texts`` (id, text) with one row per id.
+    ``bands`` has (id, bands), the bytes of as many band keys in each row, which may repeat, ``rows`` keys at most in all;
+    ``texts`` has (id, text) with one row per id.
     """
-    hubs = (
-        bands.groupBy("key")
-        .agg(F.min("id").alias("hub"), F.max("id").alias("last"))
-        .where("hub < last")
-        .select("key", "hub")
-    )
-    members = written(bands.join(hubs, "key"), f"{name}-members")
+    parts = max(1, -(-rows // KEYS))
+    dealt = bands.select("id", "bands").mapInArrow(_dealt(parts), "part int, keys binary, ids binary").repartitionById(parts, "part")
+    with batches_of(bands.sparkSession, ROWS):
+        members = written(dealt.mapInArrow(_shared_keys, "key long, id long, hub long"), f"{name}-members")
     needed = written(members.select("id").distinct(), f"{name}-ids")
     texts = texts.join(bounded_broadcast(needed), "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
     texts = written(texts, f"{name}-texts")
