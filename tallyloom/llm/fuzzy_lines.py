@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import batches_of, bounded_broadcast, components, portions, prepare, unused
+from tallyloom.llm.common import batches_of, bounded_broadcast, components, dealt, portions, prepare, undealt, unused
 from tallyloom.llm.shingles import band_keys, mixed
 from tallyloom.llm.similar import Measure, links_of
 from tallyloom.plans.durable import written
@@ -49,6 +49,7 @@ class LineDuplicates:
             self.rows,
             max(0.0, self.percent / 100 - 0.35),
             partial(line_sets, size=self.size),
+            partial(char_minhashes, length=self.bands * self.rows),
         )
 
 
@@ -126,7 +127,13 @@ def _multipliers(length: int) -> np.ndarray:
 
 def char_minhash(elements: np.ndarray, length: int) -> np.ndarray:
     """Signature of one set of shingle hashes: the minimum under ``length`` multiplicative permutations."""
-    return _signatures(elements, np.zeros(1, np.int64), np.array([elements.size]), length)[0]
+    return char_minhashes([elements], length)[0]
+
+
+def char_minhashes(sets: Sequence[np.ndarray], length: int) -> np.ndarray:
+    """``char_minhash`` of several sets, which are not empty, at once."""
+    ends = np.cumsum([x.size for x in sets])
+    return _signatures(np.concatenate(sets), np.append(0, ends[:-1]), ends, length)
 
 
 def _signatures(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
@@ -223,8 +230,6 @@ def _texts(spec: LineDuplicates):
 # Places that a task compares at once before they are dealt by class.
 PLACES = 1_000_000
 
-PLACE = "class long, doc_id long, line int, row long, cut boolean"
-
 
 def _later(batches: Sequence[pa.RecordBatch]) -> pa.RecordBatch:
     """Marks all places of a class to cut but the first of those not yet marked."""
@@ -264,6 +269,60 @@ def _marked(at_once: int | None = None):
     return task
 
 
+# Places of one part, which a task holds at once.
+PART_PLACES = 200_000
+
+_KINDS = {"class": np.int64, "doc_id": np.int64, "line": np.int32, "row": np.int64, "cut": np.bool_}
+_LINE_KINDS = {x: _KINDS[x] for x in ("doc_id", "row", "line")}
+
+
+def _part(values: np.ndarray, parts: int) -> np.ndarray:
+    return (mixed(values.view(_U)) % _U(parts)).astype(np.int32)
+
+
+def _places(parts: int):
+    """Places, marked as far as a task can tell, dealt as arrays by class, those to cut by document and line."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _marked(PLACES)(batches):
+            place = {x: batch.column(x).to_numpy(zero_copy_only=False) for x in _KINDS}
+            yield dealt(_part(np.where(place["cut"], place["row"] + place["line"], place["class"]), parts), place)
+
+    return task
+
+
+def _cut_places(parts: int):
+    """The places to cut of all that are dealt to a partition, dealt as arrays by document."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = dict(zip(_KINDS, undealt(batches, [*_KINDS.values()]), strict=True))
+        if place["cut"].size:
+            marked = _later([pa.RecordBatch.from_arrays([pa.array(place[x]) for x in _KINDS], names=[*_KINDS])])
+            marked = marked.filter(marked.column("cut"))
+            place = {x: marked.column(x).to_numpy() for x in _LINE_KINDS}
+            yield dealt(_part(place["row"], parts), place)
+
+    return task
+
+
+def _cut_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, row, lines) of the places to cut; all places of a document are in one partition."""
+    doc_id, row, line = undealt(batches, [*_LINE_KINDS.values()])
+    order = np.lexsort((line, row, doc_id))
+    doc_id, row, line = doc_id[order], row[order], line[order]
+    doc = np.ones(line.size, bool)
+    doc[1:] = (doc_id[1:] != doc_id[:-1]) | (row[1:] != row[:-1])
+    # A row that is repeated gives the same place again.
+    new = doc.copy()
+    new[1:] |= line[1:] != line[:-1]
+    doc_id, row, line, doc = doc_id[new], row[new], line[new], doc[new]
+    first = np.append(np.flatnonzero(doc), line.size)
+    for at in range(0, first.size - 1, PLACES // 16):
+        ends = first[at : at + PLACES // 16 + 1]
+        lines = pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), pa.array(line[ends[0] : ends[-1]]))
+        yield pa.RecordBatch.from_arrays([pa.array(doc_id[ends[:-1]]), pa.array(row[ends[:-1]]), lines], names=["doc_id", "row", "lines"])
+
+
 def row_key(docs: DataFrame) -> Column:
     """Tells rows of one doc_id with other texts apart; full copies have one key."""
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -284,15 +343,18 @@ def duplicate_lines(docs: DataFrame, spec: LineDuplicates | None = None) -> Data
     sketches = written(docs.mapInArrow(_sketch(spec), "doc_id long, row long, line int, id long, bands binary"), "lines")
     bands = sketches.where("bands IS NOT NULL").select("id", "bands")
     texts = docs.select("text").mapInArrow(_texts(spec), "id long, text string")
-    links = links_of(bands, texts, spec.measure(), "line", sketches.count() * spec.bands)
+    places = sketches.count()
+    links = links_of(bands, texts, spec.measure(), "line", places * spec.bands)
     named = written(components(links, "a", "b"), "line-components")
     classed = sketches.select("doc_id", "row", "line", "id").join(bounded_broadcast(named), F.col("id") == F.col("node"), "left").select(
         F.coalesce("component", "id").alias("class"), "doc_id", "line", "row", F.lit(False).alias("cut")
     )
     # What a task can tell to be cut is not dealt by class, so of a class come at most a few places from each task.
-    own = classed.mapInArrow(_marked(PLACES), PLACE).repartition("class", F.when(F.col("cut"), F.xxhash64("doc_id", "line")))
-    cut = own.mapInArrow(_marked(), PLACE).where("cut")
-    return cut.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+    parts = max(1, -(-places // PART_PLACES))
+    arrays = {n: f"part int, {', '.join(f'{x} binary' for x in kinds)}" for n, kinds in (("all", _KINDS), ("cut", _LINE_KINDS))}
+    own = classed.mapInArrow(_places(parts), arrays["all"]).repartitionById(parts, "part")
+    cut = own.mapInArrow(_cut_places(parts), arrays["cut"]).repartitionById(parts, "part")
+    return cut.mapInArrow(_cut_lines, "doc_id long, row long, lines array<int>")
 
 
 def without_duplicate_lines(docs: DataFrame, spec: LineDuplicates | None = None, lines: str = "_lines", cut: str = "_cut") -> DataFrame:
@@ -309,10 +371,10 @@ def without_duplicate_lines(docs: DataFrame, spec: LineDuplicates | None = None,
         cuts = written(found, "line-cuts")
     same = (docs["doc_id"].cast("long") == F.col(doc)) & (row_key(docs) == F.col(row))
     joined = docs.join(bounded_broadcast(cuts, F.size(lost)), same, "left")
-    parts = F.split("text", "\n", -1)
+    parts, breaks = F.split("text", "\n", -1), F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
     left = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains(F.col(lost), i)), "\n")
     return (
-        joined.withColumn(lines, F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long"))
+        joined.withColumn(lines, F.coalesce(breaks + 1, F.lit(0)).cast("long"))
         .withColumn(cut, F.when(F.col(lost).isNull(), 0).otherwise(F.size(lost)).cast("long"))
         .withColumn("text", F.when(F.col(lost).isNull(), F.col("text")).otherwise(left))
         .drop(doc, row, lost)

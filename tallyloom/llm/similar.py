@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import batches_of, bounded_broadcast, components, portions
+from tallyloom.llm.common import batches_of, bounded_broadcast, components, dealt, portions, undealt
 from tallyloom.llm.shingles import band_keys
 from tallyloom.plans.durable import written
 from tallyloom.plans.skew import SALT, heavy_keys, replicated, salted
@@ -42,6 +42,8 @@ class Measure:
     agree: float
     # The sets of several texts, where that is faster than one by one.
     sets: Callable[[Sequence[bytes]], list[np.ndarray]] | None = None
+    # The signatures of several sets, likewise.
+    signatures: Callable[[Sequence[np.ndarray]], np.ndarray] | None = None
 
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
         """Whether two sets, arrays of distinct elements, are similar enough."""
@@ -56,6 +58,9 @@ class Measure:
     def sets_of(self, texts: Sequence[bytes]) -> list[np.ndarray]:
         return self.sets(texts) if self.sets else [self.elements(x) for x in texts]
 
+    def signatures_of(self, sets: Sequence[np.ndarray]) -> np.ndarray:
+        return self.signatures(sets) if self.signatures else np.stack([self.signature(x) for x in sets])
+
 
 # Bytes of texts whose sets a task holds at once.
 COMPARED = 1 << 20
@@ -95,6 +100,47 @@ def verified(pairs: DataFrame, texts: DataFrame, measure: Measure) -> DataFrame:
     return both.mapInArrow(_verify(measure), "a long, b long")
 
 
+# Hash values that a block tells shingles apart by before it compares sets.
+SLOTS = 1 << 16
+
+
+class _Sets:
+    """The sets of the texts of a block, their signatures, and for each shingle one of SLOTS."""
+
+    def __init__(self, measure: Measure, texts: Sequence[bytes]):
+        self.measure, self.sets, signatures = measure, [], []
+        for some in portions(texts, COMPARED):
+            sets = measure.sets_of(texts[some])
+            self.sets += sets
+            signatures.append(measure.signatures_of(sets))
+        self.signatures = np.concatenate(signatures)
+        self.sizes = np.array([x.size for x in self.sets])
+        self.slots = [(x & np.uint64(SLOTS - 1)).astype(np.uint16) for x in self.sets]
+        self.marked = np.zeros(SLOTS, bool)
+
+    def linked(self, x: int, y: int) -> bool:
+        return self.measure.linked(self.sets[x], self.sets[y])
+
+    def possible(self, x: int, others: np.ndarray) -> np.ndarray:
+        """Those of the others that may be linked with x: no more shingles are common than have a slot of x's shingles."""
+        percent, sizes = self.measure.percent, self.sizes[others]
+        small, large = np.minimum(sizes, self.sizes[x]), np.maximum(sizes, self.sizes[x])
+        alike = (small > 0) & (100 * small >= percent * large)
+        others, both = others[alike], (small + large)[alike]
+        if not others.size:
+            return others
+        self.marked[self.slots[x]] = True
+        hits = self.marked[np.concatenate([self.slots[y] for y in others])]
+        self.marked[self.slots[x]] = False
+        starts = np.cumsum(self.sizes[others]) - self.sizes[others]
+        common = np.minimum(np.add.reduceat(hits, starts, dtype=np.int64), self.sizes[x])
+        return others[100 * common >= percent * (both - common)]
+
+
+# Pairs of one text that are looked at first before links that they gave are taken into account; then twice as many, and so on.
+FIRST = 16
+
+
 def _block_links(measure: Measure) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def task(rows: pd.DataFrame) -> pd.DataFrame:
         """Links between two blocks of a bucket.
@@ -103,36 +149,32 @@ def _block_links(measure: Measure) -> Callable[[pd.DataFrame], pd.DataFrame]:
         together as well: that bucket has them.
         """
         rows = rows.sort_values("id").drop_duplicates(["id", "side"])
-        sets = {i: measure.elements(t.encode()) for i, t in zip(rows["id"], rows["text"], strict=True)}
-        signatures = {i: measure.signature(s) for i, s in sets.items()}
-        marks = {i: s.astype(np.uint8) for i, s in signatures.items()}
-        keys = {i: band_keys(s, measure.rows) for i, s in signatures.items()}
-        # An id that was repeated with another text may lack the key; without any, nothing is skipped.
-        band = next((int(at[0]) for k in keys.values() if (at := np.flatnonzero(k == rows["key"].iloc[0])).size), 0)
-        label = dict(zip(rows["id"], rows["label"], strict=True))
-        parent: dict[int, int] = {}
-
-        def root(x: int) -> int:
-            while parent.get(x, x) != x:
-                parent[x] = parent.get(parent[x], parent[x])
-                x = parent[x]
-            return x
-
-        left, right = (rows.loc[rows["side"].isin(s), "id"].tolist() for s in ((0, 2), (1, 2)))
-        if not left or not right:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        other, theirs = np.stack([marks[y] for y in right]), np.array([label[y] for y in right])
-        earlier = np.stack([keys[y][:band] for y in right])
+        left, right = (np.flatnonzero(rows["side"].isin(s)) for s in ((0, 2), (1, 2)))
         found = []
-        for x in left:
-            close = np.flatnonzero(theirs != label[x])
-            close = close[~(earlier[close] == keys[x][:band]).any(axis=1)]
-            close = close[(other[close] == marks[x]).mean(axis=1) >= measure.agree]
-            for y in (right[j] for j in close):
-                p, q = root(label[x]), root(label[y])
-                if p != q and measure.linked(sets[x], sets[y]):
-                    parent[max(p, q)] = min(p, q)
-                    found.append((min(x, y), max(x, y)))
+        if left.size and right.size:
+            ids, component = rows["id"].to_numpy(), rows["label"].to_numpy(copy=True)
+            sets = _Sets(measure, [t.encode() for t in rows["text"]])
+            marks, keys = sets.signatures.astype(np.uint8), band_keys(sets.signatures, measure.rows)
+            # An id that was repeated with another text may lack the key; without any, nothing is skipped.
+            band = next((int(at[0]) for k in keys if (at := np.flatnonzero(k == rows["key"].iloc[0])).size), 0)
+            earlier, same = keys[:, :band], rows["side"].iloc[0] == 2
+            most = max(1, COMPARED // int(sets.sizes.max()))
+            for x in left:
+                # Inside a block the pairs with those before were looked at from there.
+                close = right[np.searchsorted(right, x) :] if same else right
+                close = close[component[close] != component[x]]
+                close = close[~(earlier[close] == earlier[x]).any(axis=1)]
+                close = close[np.add.reduce(marks[close] == marks[x], axis=1, dtype=np.uint16) / marks.shape[1] >= measure.agree]
+                step = min(FIRST, most)
+                while close.size:
+                    some, close = close[:step], close[step:]
+                    for y in sets.possible(x, some):
+                        p, q = component[x], component[y]
+                        if p != q and sets.linked(x, y):
+                            component[component == max(p, q)] = min(p, q)
+                            found.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+                    close = close[component[close] != component[x]]
+                    step = min(2 * step, most)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return task
@@ -168,23 +210,16 @@ def _dealt(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
             keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64)
             ids = np.repeat(batch.column(0).to_numpy(), keys.size // batch.num_rows)
             part = (keys.view(np.uint64) % np.uint64(parts)).astype(np.int32)
-            order = np.argsort(part, kind="stable")
-            part, keys, ids = part[order], keys[order], ids[order]
-            first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-            cuts = list(zip(first.tolist(), [*first[1:].tolist(), part.size], strict=True))
-            arrays = (pa.array([x[i:j].tobytes() for i, j in cuts], pa.binary()) for x in (keys, ids))
-            yield pa.RecordBatch.from_arrays([pa.array(part[first]), *arrays], names=["part", "keys", "ids"])
+            yield dealt(part, {"keys": keys, "ids": ids})
 
     return task
 
 
 def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, id, hub) of the keys that several ids have, hub being the smallest; all arrays of a part are in one partition."""
-    parts = [tuple(np.frombuffer(b"".join(batch.column(i).to_pylist()), np.int64) for i in (1, 2)) for batch in batches]
-    if not parts:
+    key, ids = undealt(batches, (np.int64, np.int64))
+    if not key.size:
         return
-    key, ids = (np.concatenate(column) for column in zip(*parts, strict=True))
-    del parts
     order = np.argsort(key)
     key = key[order]
     # Most keys come up once and need no further look.
@@ -211,9 +246,9 @@ def links_of(bands: DataFrame, texts: DataFrame, measure: Measure, name: str, ro
     ``texts`` has (id, text) with one row per id.
     """
     parts = max(1, -(-rows // KEYS))
-    dealt = bands.select("id", "bands").mapInArrow(_dealt(parts), "part int, keys binary, ids binary").repartitionById(parts, "part")
+    arrays = bands.select("id", "bands").mapInArrow(_dealt(parts), "part int, keys binary, ids binary").repartitionById(parts, "part")
     with batches_of(bands.sparkSession, ROWS):
-        members = written(dealt.mapInArrow(_shared_keys, "key long, id long, hub long"), f"{name}-members")
+        members = written(arrays.mapInArrow(_shared_keys, "key long, id long, hub long"), f"{name}-members")
     needed = written(members.select("id").distinct(), f"{name}-ids")
     texts = texts.join(bounded_broadcast(needed), "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
     texts = written(texts, f"{name}-texts")
@@ -231,7 +266,7 @@ def links_of(bands: DataFrame, texts: DataFrame, measure: Measure, name: str, ro
     parts = F.ceil(F.col("members") / BLOCK).cast("int")
     # Every member goes to the pairs of blocks (i, j), i <= j, that its own block belongs to.
     own = F.pmod(F.xxhash64("id"), parts).cast("int")
-    dealt = (
+    blocks = (
         large.withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
         .select(
@@ -240,5 +275,5 @@ def links_of(bands: DataFrame, texts: DataFrame, measure: Measure, name: str, ro
         )
         .join(texts, "id")
     )
-    blocked = dealt.groupBy("key", "i", "j").applyInPandas(_block_links(measure), "a long, b long")
+    blocked = blocks.groupBy("key", "i", "j").applyInPandas(_block_links(measure), "a long, b long")
     return links.union(verified(listed, texts, measure)).union(blocked)
